@@ -7,7 +7,7 @@ from pyspark.sql import Column, functions as F
 
 def parse_symbols(text: Column) -> Column:
     """Comma-separated text to an array of trimmed, non-blank symbols."""
-    parts = F.transform(F.split(text, ","), F.trim)
+    parts = F.transform(F.split(text, ","), lambda s: F.trim(s))
     return F.filter(parts, lambda s: s != "")
 
 

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from barsmith.sources.paths import make_until_exit
+
 # A side with at most this many rows may be broadcast. Every side that goes
 # through `small_side` holds a key and a few doubles (about 100 bytes a row), so
 # the bound keeps a broadcast near 20 MB.
@@ -25,7 +27,7 @@ def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables of this application.
 
     The cluster names it in `spark.checkpoint.dir`. Only a local session may go
-    without: it gets a temporary folder of its own.
+    without: it gets a temporary folder of its own. The folder goes with the driver.
     """
     app = spark.sparkContext.applicationId
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -33,7 +35,9 @@ def scratch_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = _local_roots.setdefault(app, tempfile.mkdtemp(prefix="barsmith-"))
-    return f"{root.rstrip('/')}/barsmith-{app}"
+    folder = f"{root.rstrip('/')}/barsmith-{app}"
+    make_until_exit(spark, folder)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

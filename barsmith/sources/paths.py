@@ -20,6 +20,14 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop, True)
 
 
+def make_until_exit(spark: SparkSession, path: str) -> None:
+    """Create a folder that the driver removes when it exits."""
+    fs, hadoop = _open(spark, path)
+    if not fs.exists(hadoop):
+        fs.mkdirs(hadoop)
+        fs.deleteOnExit(hadoop)
+
+
 def folders(spark: SparkSession, pattern: str) -> list[str]:
     """Folders that match a glob pattern; empty if none do."""
     fs, hadoop = _open(spark, pattern)

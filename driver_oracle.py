@@ -1 +1,469 @@
-SQL = {}
+"""SQL twins of the registered queries, for DuckDB on the same tables."""
+
+from __future__ import annotations
+
+# Daily bars per brand from order lines; the row value ranks a day's trades.
+DAILY = """
+    trade AS (
+        SELECT p_brand AS symbol, l_shipdate AS ts, l_extendedprice / l_quantity AS price,
+               l_quantity AS size,
+               row(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) AS k
+        FROM lineitem JOIN part ON l_partkey = p_partkey),
+    daily AS (
+        SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS "timestamp",
+               arg_min(price, k) AS open, max(price) AS high, min(price) AS low,
+               arg_max(price, k) AS close, CAST(sum(size) AS DOUBLE) AS volume,
+               symbol, '1d' AS "interval"
+        FROM trade GROUP BY symbol, date_trunc('day', ts))
+"""
+# Hourly bars per event type.
+HOURLY = """
+    hourly AS (
+        SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS "timestamp",
+               arg_min(value, ts) AS open, max(value) AS high, min(value) AS low,
+               arg_max(value, ts) AS close, CAST(count(*) AS DOUBLE) AS volume,
+               event_type AS symbol, '1h' AS "interval"
+        FROM events GROUP BY event_type, date_trunc('hour', ts))
+"""
+RESAMPLED = """
+    resampled AS (
+        SELECT CAST(date_trunc('day', "timestamp") AS TIMESTAMP) AS "timestamp",
+               arg_min(open, "timestamp") AS open, max(high) AS high, min(low) AS low,
+               arg_max(close, "timestamp") AS close, sum(volume) AS volume,
+               symbol, '1d' AS "interval"
+        FROM hourly GROUP BY symbol, date_trunc('day', "timestamp"))
+"""
+UPSERT = """
+    stored AS (SELECT * FROM daily WHERE "timestamp" <= TIMESTAMP '2001-10-01'),
+    batch AS (
+        SELECT * REPLACE (close * 1.01::DOUBLE AS close) FROM daily
+        WHERE "timestamp" > TIMESTAMP '2001-09-24')
+"""
+MERGED = """
+    merged AS (
+        SELECT * FROM batch
+        UNION ALL
+        SELECT * FROM stored
+        WHERE NOT EXISTS (SELECT 1 FROM batch
+                          WHERE batch.symbol = stored.symbol AND batch."timestamp" = stored."timestamp"))
+"""
+UNIVERSE = """
+    universe AS (
+        SELECT p_brand AS symbol FROM part GROUP BY p_brand
+        HAVING count(*) >= (SELECT count(*) / count(DISTINCT p_brand) FROM part))
+"""
+FEATURES = """
+    step AS (
+        SELECT *,
+               close / nullif(lag(close, 1) OVER w, 0) - 1 AS ret1,
+               close / nullif(lag(close, 5) OVER w, 0) - 1 AS ret5,
+               close / nullif(lag(close, 10) OVER w, 0) - 1 AS ret10,
+               CASE WHEN count(close) OVER w5 = 5 THEN avg(close) OVER w5 END AS sma5,
+               CASE WHEN count(close) OVER w10 = 10 THEN avg(close) OVER w10 END AS sma10,
+               CASE WHEN count(close) OVER w20 = 20 THEN avg(close) OVER w20 END AS sma20
+        FROM daily
+        WINDOW w AS (PARTITION BY symbol ORDER BY "timestamp"),
+               w5 AS (PARTITION BY symbol ORDER BY "timestamp" ROWS 4 PRECEDING),
+               w10 AS (PARTITION BY symbol ORDER BY "timestamp" ROWS 9 PRECEDING),
+               w20 AS (PARTITION BY symbol ORDER BY "timestamp" ROWS 19 PRECEDING)),
+    rolled AS (
+        SELECT *,
+               close / nullif(sma5, 0) - 1 AS dist_sma5,
+               close / nullif(sma10, 0) - 1 AS dist_sma10,
+               close / nullif(sma20, 0) - 1 AS dist_sma20,
+               CASE WHEN count(ret1) OVER w10 = 10 THEN stddev_samp(ret1) OVER w10 END AS vol10
+        FROM step
+        WINDOW w10 AS (PARTITION BY symbol ORDER BY "timestamp" ROWS 9 PRECEDING)),
+    feature AS (
+        SELECT * FROM rolled
+        WHERE ret1 IS NOT NULL AND ret5 IS NOT NULL AND ret10 IS NOT NULL
+          AND dist_sma20 IS NOT NULL AND dist_sma10 IS NOT NULL AND dist_sma5 IS NOT NULL
+          AND vol10 IS NOT NULL)
+"""
+LABELS = """
+    ahead AS (
+        SELECT *, lead(close) OVER (PARTITION BY symbol ORDER BY "timestamp") AS close_t1 FROM feature),
+    labelled AS (
+        SELECT *, CAST(close_t1 > close AS INTEGER) AS label FROM ahead WHERE close_t1 IS NOT NULL)
+"""
+MODELS = """
+    brand AS (
+        SELECT DISTINCT p_brand AS symbol, CAST(replace(p_brand, 'Brand#', '') AS INTEGER) AS k FROM part),
+    model AS (
+        SELECT symbol, (k % 5 - 2) / 10.0::DOUBLE AS intercept,
+               [((k * i) % 7 - 3) / 10.0::DOUBLE FOR i IN [1, 2, 3, 4, 5, 6, 7]] AS coef
+        FROM brand WHERE k <= 20)
+"""
+
+
+def probability(rows: str) -> str:
+    return f"""
+        SELECT r.*, 1 / (1 + exp(-(intercept + coef[1] * ret1 + coef[2] * ret5 + coef[3] * ret10
+               + coef[4] * dist_sma5 + coef[5] * dist_sma10 + coef[6] * dist_sma20
+               + coef[7] * vol10))) AS p
+        FROM {rows} r LEFT JOIN model USING (symbol)
+"""
+
+
+SIGNAL = "CASE WHEN {p} >= 0.6 THEN 'buy' WHEN {p} <= 0.4 THEN 'sell' ELSE 'hold' END"
+SCORED = f"""
+    probable AS ({probability("labelled")}),
+    scored AS (
+        SELECT *, coalesce(p, 0.5) AS prob_up, {SIGNAL.format(p="coalesce(p, 0.5)")} AS signal,
+               CASE WHEN p IS NULL THEN 'no_model' ELSE 'ok' END AS status
+        FROM probable)
+"""
+
+
+def rounded(value: str, digits: int = 6) -> str:
+    """Rounded as the queries do it, in decimals: ties go away from zero."""
+    return f"CAST(CAST(CAST({value} AS DECIMAL(30, {digits + 3})) AS DECIMAL(30, {digits})) AS DOUBLE)"
+
+
+ALL_FEATURES = ", ".join(
+    f"{rounded(c)} AS {c}"
+    for c in ["ret1", "ret5", "ret10", "sma5", "sma10", "sma20", "dist_sma5", "dist_sma10", "dist_sma20", "vol10"]
+)
+BAR = '"timestamp", open, high, low, close, volume, symbol, "interval"'
+
+F = [DAILY, FEATURES]
+L = [DAILY, FEATURES, LABELS]
+S = [DAILY, FEATURES, LABELS, MODELS, SCORED]
+
+
+def sql(parts: list[str], body: str) -> str:
+    return "WITH " + ",".join(parts) + body
+
+
+ALL_DAILY = sql([DAILY], f"SELECT {BAR} FROM daily")
+ALL_HOURLY = sql([HOURLY], f"SELECT {BAR} FROM hourly")
+ALL_MERGED = sql([DAILY, UPSERT, MERGED], f"SELECT {BAR} FROM merged")
+ALL_LABELS = sql(
+    L, f'SELECT {BAR}, {ALL_FEATURES}, close_t1, label FROM labelled'
+)
+NEWEST = 'row_number() OVER (PARTITION BY symbol ORDER BY "timestamp" DESC)'
+TILES = sql(
+    L,
+    'SELECT symbol, "timestamp", CAST(ntile(6) OVER (PARTITION BY symbol ORDER BY "timestamp") AS INTEGER) AS tile FROM labelled',
+)
+
+
+def split(days: int) -> str:
+    return f"""
+    edge AS (SELECT symbol, max("timestamp") - INTERVAL {days} DAY AS cutoff FROM labelled GROUP BY symbol),
+    split AS (
+        SELECT labelled.*, CASE WHEN "timestamp" <= cutoff THEN 'train' ELSE 'test' END AS split
+        FROM labelled JOIN edge USING (symbol))
+"""
+
+
+BOTH = "symbol IN (SELECT symbol FROM split GROUP BY symbol HAVING count(DISTINCT split) = 2)"
+
+
+def rolling(columns: str, frames: str = "", digits: int = 6) -> str:
+    return sql([DAILY], f'SELECT symbol, "timestamp", {columns} FROM daily WINDOW w AS (PARTITION BY symbol ORDER BY "timestamp"){frames}')
+
+
+def frame(n: int) -> str:
+    return f', w{n} AS (PARTITION BY symbol ORDER BY "timestamp" ROWS {n - 1} PRECEDING)'
+
+
+def full(aggregate: str, n: int) -> str:
+    return f"CASE WHEN count(close) OVER w{n} = {n} THEN {aggregate}(close) OVER w{n} END"
+
+
+FRAMES = frame(5) + frame(10) + frame(20)
+RECENT = """
+    recent AS (
+        SELECT * FROM daily WHERE "timestamp" >= TIMESTAMP '2001-11-04' - INTERVAL 12 MONTH),
+    enough AS (
+        SELECT * FROM recent WHERE symbol IN (SELECT symbol FROM recent GROUP BY symbol HAVING count(*) >= 200))
+"""
+
+
+def bands() -> str:
+    return sql(
+        [DAILY],
+        f"""SELECT symbol, "timestamp", close, {full("avg", 20)} AS mid, {full("stddev_pop", 20)} AS dev
+        FROM daily WINDOW w20 AS (PARTITION BY symbol ORDER BY "timestamp" ROWS 19 PRECEDING)""",
+    )
+
+
+def usd(value: str) -> str:
+    return f"CASE WHEN {value} < 0 THEN '-' ELSE '' END || '$' || format('{{:,.2f}}', abs({value}))"
+
+
+def compact(value: str) -> str:
+    def scaled(unit: str, suffix: str) -> str:
+        # Half up, as the display rule has it; printf alone rounds ties to even.
+        return f"printf('%.1f{suffix}', floor({value} / {unit} * 10 + 0.5) / 10)"
+
+    return f"""CASE WHEN {value} >= 1e9 THEN {scaled("1e9", "B")} WHEN {value} >= 1e6 THEN {scaled("1e6", "M")}
+        WHEN {value} >= 1e3 THEN {scaled("1e3", "K")} ELSE printf('%.2f', {value}) END"""
+
+
+def percent(value: str) -> str:
+    return f"printf('%+.2f%%', {value})"
+
+
+SUMMARY = f"""
+    shown AS (SELECT *, {NEWEST} AS n FROM daily QUALIFY n <= 120),
+    summary AS (
+        SELECT symbol, count(*) AS bars, max(close) FILTER (n = 1) AS last_price,
+               coalesce(max(close) FILTER (n = 2), max(close) FILTER (n = 1)) AS before,
+               sum(coalesce(volume, 0)) AS total_volume
+        FROM shown GROUP BY symbol),
+    changed AS (
+        SELECT *, coalesce((last_price - before) / nullif(before, 0) * 100, 0) AS change_pct FROM summary)
+"""
+
+SQL = {
+    "raw_scan_daily": ALL_DAILY,
+    "raw_scan_hourly": ALL_HOURLY,
+    "store_scan": ALL_DAILY,
+    "store_scan_pruned": sql(
+        [DAILY],
+        f"""SELECT {BAR} FROM daily WHERE symbol IN ('Brand#3', 'Brand#14')
+        AND "timestamp" >= TIMESTAMP '1998-02-10' AND "timestamp" < TIMESTAMP '2000-06-15'""",
+    ),
+    "touched_partitions": sql(
+        [DAILY, UPSERT],
+        """SELECT DISTINCT "interval", symbol, CAST(year("timestamp") AS INTEGER) AS year,
+        CAST(month("timestamp") AS INTEGER) AS month FROM batch""",
+    ),
+    "touched_rows": sql(
+        [DAILY, UPSERT],
+        f"""SELECT {BAR} FROM daily WHERE EXISTS (
+            SELECT 1 FROM batch WHERE batch.symbol = daily.symbol
+            AND date_trunc('month', batch."timestamp") = date_trunc('month', daily."timestamp"))""",
+    ),
+    "fallback_source": sql(
+        [DAILY, HOURLY, RESAMPLED],
+        f"SELECT {BAR} FROM resampled UNION ALL SELECT {BAR} FROM daily",
+    ),
+    "write_read_daily": ALL_DAILY,
+    "write_read_hourly": ALL_HOURLY,
+    "upsert": ALL_MERGED,
+    "stream_upsert": ALL_MERGED,
+    "dry_run": sql([DAILY, UPSERT], "SELECT symbol, count(*) AS rows FROM batch GROUP BY symbol"),
+    "write_summary": sql(
+        [DAILY],
+        """SELECT symbol, count(*) AS rows, count(DISTINCT date_trunc('month', "timestamp")) AS files
+        FROM daily GROUP BY symbol""",
+    ),
+    "retention": sql(
+        [DAILY],
+        f"""SELECT {BAR} FROM daily WHERE "timestamp" >= TIMESTAMP '2001-11-04' - INTERVAL 365 DAY""",
+    ),
+    "expire_store": sql(
+        [DAILY],
+        f"""SELECT {BAR} FROM daily
+        WHERE "timestamp" >= date_trunc('month', TIMESTAMP '2001-11-04' - INTERVAL 365 DAY)""",
+    ),
+    "models_roundtrip": sql(
+        [MODELS],
+        """SELECT symbol, intercept, CAST(i - 1 AS INTEGER) AS position, coef[i] AS coef
+        FROM model, (SELECT unnest([1, 2, 3, 4, 5, 6, 7]) AS i)""",
+    ),
+    "normalize_raw": ALL_DAILY,
+    "wide_to_long": ALL_DAILY,
+    "to_utc": """SELECT event_id, CAST(date_trunc('second', ts) AS TIMESTAMP) AS naive,
+        CAST(date_trunc('second', ts) - INTERVAL 2 HOUR AS TIMESTAMP) AS aware FROM events""",
+    "partition_columns": sql(
+        [HOURLY],
+        """SELECT symbol, "timestamp", CAST(year("timestamp") AS INTEGER) AS year,
+        CAST(month("timestamp") AS INTEGER) AS month, CAST(day("timestamp") AS INTEGER) AS day FROM hourly""",
+    ),
+    "candles": sql(
+        [HOURLY],
+        """SELECT symbol, "interval", strftime("timestamp", '%Y-%m-%dT%H:%M:%S') || '+00:00' AS "timestamp",
+        open, high, low, close, volume FROM hourly""",
+    ),
+    "parse_symbols": """SELECT trim(s) AS symbol, count(*) AS requests FROM (
+        SELECT unnest(string_split(p_brand || ' ,, ' || p_type || ' ,,  ', ',')) AS s FROM part)
+        WHERE trim(s) <> '' GROUP BY trim(s)""",
+    "allow_symbols": sql(
+        [DAILY, UNIVERSE], f"SELECT {BAR} FROM daily WHERE symbol IN (SELECT symbol FROM universe)"
+    ),
+    "reject_symbols": sql(
+        [DAILY, HOURLY, RESAMPLED, UNIVERSE],
+        """SELECT symbol, count(*) AS requests, 'symbol not allowed' AS error
+        FROM (SELECT symbol FROM daily UNION ALL SELECT symbol FROM resampled)
+        WHERE symbol NOT IN (SELECT symbol FROM universe) GROUP BY symbol""",
+    ),
+    "last_months": sql([DAILY, RECENT], f"SELECT {BAR} FROM recent"),
+    "last_hours": sql(
+        [HOURLY],
+        f"""SELECT {BAR} FROM hourly JOIN (
+            SELECT symbol, max("timestamp") AS newest FROM hourly GROUP BY symbol) USING (symbol)
+        WHERE "timestamp" > newest - INTERVAL 12 HOUR""",
+    ),
+    "last_period_days": sql(
+        [HOURLY],
+        f"""SELECT {BAR} FROM hourly QUALIFY dense_rank() OVER (
+            PARTITION BY symbol ORDER BY CAST("timestamp" AS DATE) DESC) <= 5""",
+    ),
+    "last_period_months": sql(
+        [DAILY],
+        f"""SELECT {BAR} FROM daily WHERE "timestamp" >= TIMESTAMP '2001-11-04' - INTERVAL 6 MONTH""",
+    ),
+    "min_history": sql([DAILY, RECENT], f"SELECT {BAR} FROM enough"),
+    "drop_incomplete": sql(
+        [DAILY],
+        f"""SELECT {BAR}, lead(close) OVER (PARTITION BY symbol ORDER BY "timestamp") AS close_t1
+        FROM daily QUALIFY close_t1 IS NOT NULL""",
+    ),
+    "time_split": sql(L + [split(90)], 'SELECT symbol, "timestamp", split FROM split'),
+    "require_both_splits": sql(
+        L + [split(2455)], f'SELECT symbol, "timestamp", split FROM split WHERE {BOTH}'
+    ),
+    "symbol_filter": sql(
+        [DAILY], f"""SELECT {BAR} FROM daily WHERE symbol = 'Brand#13' AND "interval" = '1d'"""
+    ),
+    "latest_n": sql([DAILY], f"SELECT {BAR} FROM daily QUALIFY {NEWEST} <= 120"),
+    "latest_features": sql(
+        F, f'SELECT symbol, "timestamp", {ALL_FEATURES} FROM (SELECT * FROM feature QUALIFY {NEWEST} = 1)'
+    ),
+    "data_range": sql(
+        [HOURLY],
+        """SELECT symbol, count(*) AS rows, min("timestamp") AS first_timestamp,
+        max("timestamp") AS last_timestamp FROM hourly GROUP BY symbol""",
+    ),
+    "max_timestamp": sql(
+        [DAILY], 'SELECT symbol, max("timestamp") AS max_timestamp FROM daily GROUP BY symbol'
+    ),
+    "hourly_bars": ALL_HOURLY,
+    "stream_hourly_bars": ALL_HOURLY,
+    "daily_bars": ALL_DAILY,
+    "resample_daily": sql([HOURLY, RESAMPLED], f"SELECT {BAR} FROM resampled"),
+    "union_bars": sql(
+        [DAILY, UPSERT],
+        f"""SELECT {BAR}, CAST(0 AS BIGINT) AS ingest_seq FROM stored
+        UNION ALL SELECT {BAR}, CAST(1 AS BIGINT) AS ingest_seq FROM batch""",
+    ),
+    "dedupe_keep_last": ALL_MERGED,
+    "merge_stats": sql(
+        [DAILY, UPSERT],
+        """SELECT symbol, count(s) AS existing_rows, count(b) AS new_rows,
+        count(*) FILTER (s IS NOT NULL AND b IS NOT NULL) AS replaced_rows,
+        count(*) FILTER (s IS NULL) AS inserted_rows, count(*) AS merged_rows
+        FROM (SELECT symbol, "timestamp", 1 AS s FROM stored) AS o
+        FULL JOIN (SELECT symbol, "timestamp", 1 AS b FROM batch) AS n USING (symbol, "timestamp")
+        GROUP BY symbol""",
+    ),
+    "returns": rolling(
+        ", ".join(f"round(close / nullif(lag(close, {n}) OVER w, 0) - 1, 6) AS ret{n}" for n in (1, 5, 10))
+    ),
+    "sma": rolling(", ".join(f"{rounded(full('avg', n))} AS sma{n}" for n in (5, 10, 20)), FRAMES),
+    "dist_sma": rolling(
+        ", ".join(f"round(close / nullif({full('avg', n)}, 0) - 1, 6) AS dist_sma{n}" for n in (5, 10, 20)),
+        FRAMES,
+    ),
+    "volatility": sql(
+        [DAILY, FEATURES], 'SELECT symbol, "timestamp", round(vol10, 6) AS vol10 FROM rolled'
+    ),
+    "features": sql(F, f"SELECT {BAR}, {ALL_FEATURES} FROM feature"),
+    "next_close": rolling("close, lead(close) OVER w AS close_t1"),
+    "labels": ALL_LABELS,
+    "features_split_series": ALL_LABELS,
+    "rsi": sql(
+        [DAILY],
+        """SELECT symbol, "timestamp", round(100 * up / nullif(up + down, 0), 6) AS rsi FROM (
+            SELECT symbol, "timestamp",
+                   CASE WHEN count(move) OVER w14 = 14 THEN avg(greatest(move, 0)) OVER w14 END AS up,
+                   CASE WHEN count(move) OVER w14 = 14 THEN avg(greatest(-move, 0)) OVER w14 END AS down
+            FROM (SELECT symbol, "timestamp",
+                         close - lag(close) OVER (PARTITION BY symbol ORDER BY "timestamp") AS move FROM daily)
+            WINDOW w14 AS (PARTITION BY symbol ORDER BY "timestamp" ROWS 13 PRECEDING))""",
+    ),
+    "bollinger": f"""SELECT symbol, "timestamp", round(mid, 4) AS bb_middle,
+        round(mid + 2 * dev, 4) AS bb_upper, round(mid - 2 * dev, 4) AS bb_lower FROM ({bands()})""",
+    "price_position": f"""SELECT symbol, "timestamp",
+        round((close - (mid - 2 * dev)) / nullif((mid + 2 * dev) - (mid - 2 * dev), 0), 6) AS price_position
+        FROM ({bands()})""",
+    "volume_profile": sql(
+        [DAILY],
+        """SELECT symbol, bucket, round(lo + bucket * width, 6) AS price_from, sum(volume) AS volume, count(*) AS bars
+        FROM (SELECT symbol, lo, width, volume,
+                     CAST(least(floor(coalesce((close - lo) / nullif(width, 0), 0)), 9) AS INTEGER) AS bucket
+              FROM daily JOIN (SELECT symbol, min(close) AS lo, (max(close) - min(close)) / 10 AS width
+                               FROM daily GROUP BY symbol) USING (symbol))
+        GROUP BY symbol, bucket, lo, width""",
+    ),
+    "momentum": rolling("round(close / nullif(lag(close, 12) OVER w, 0) - 1, 6) AS momentum12"),
+    "predict_proba_fixed": sql(S, 'SELECT symbol, "timestamp", round(p, 6) AS prob_up FROM scored'),
+    "predict_class": sql(S, 'SELECT symbol, "timestamp", CAST(p > 0.5 AS INTEGER) AS predicted FROM scored'),
+    "predict_default": sql(
+        S, 'SELECT symbol, "timestamp", round(prob_up, 6) AS prob_up, signal, status FROM scored'
+    ),
+    "signals": sql(S, 'SELECT symbol, "timestamp", signal FROM scored'),
+    "signals_doc": sql(
+        S,
+        """SELECT symbol, "timestamp",
+        CASE WHEN prob_up > 0.7 THEN 'buy' WHEN prob_up < 0.3 THEN 'sell' ELSE 'hold' END AS signal FROM scored""",
+    ),
+    "confidence": sql(
+        S,
+        """SELECT symbol, "timestamp", CASE WHEN prob_up > 0.7 OR prob_up < 0.3 THEN 'high'
+        WHEN prob_up >= 0.6 OR prob_up <= 0.4 THEN 'medium' ELSE 'low' END AS confidence FROM scored""",
+    ),
+    "eval_metrics": sql(
+        S,
+        """SELECT symbol, round(avg(CAST(said = label AS INTEGER)), 6) AS accuracy,
+        round(coalesce(2.0 * sum(said * label) / nullif(sum(said) + sum(label), 0), 0), 6) AS f1,
+        count(*) AS n_test
+        FROM (SELECT symbol, label, CAST(p > 0.5 AS INTEGER) AS said FROM scored WHERE p IS NOT NULL)
+        GROUP BY symbol""",
+    ),
+    "score_latest_fixed": sql(
+        [
+            """recent_trade AS (SELECT 1)""",
+            DAILY.replace("daily AS", "every AS"),
+            """daily AS (SELECT * FROM every WHERE "timestamp" >= TIMESTAMP '2001-11-04' - INTERVAL 2 MONTH)""",
+            FEATURES,
+            MODELS,
+            f"newest AS (SELECT * FROM feature QUALIFY {NEWEST} = 1)",
+            f"probable AS ({probability('newest')})",
+        ],
+        f"""SELECT d.symbol, round(coalesce(p, 0.5), 6) AS prob_up,
+        {SIGNAL.format(p="coalesce(p, 0.5)")} AS signal, '2001-11-04T00:00:00+00:00' AS asof,
+        CASE WHEN p IS NOT NULL THEN 'ok' WHEN model.symbol IS NULL THEN 'no_model'
+             ELSE 'insufficient_history' END AS status
+        FROM (SELECT DISTINCT symbol FROM daily) AS d
+        LEFT JOIN probable USING (symbol) LEFT JOIN model USING (symbol)""",
+    ),
+    "training_split": sql(
+        [DAILY.replace("daily AS", "every AS"), RECENT.replace("FROM daily", "FROM every"),
+         "daily AS (SELECT * FROM enough)", FEATURES, LABELS, split(90)],
+        f'SELECT symbol, "timestamp", label, split FROM split WHERE {BOTH}',
+    ),
+    "cv_folds": TILES,
+    "cv_folds_split_series": TILES,
+    "market_summary": sql(
+        [DAILY, SUMMARY],
+        """SELECT symbol, bars, last_price, round(change_pct, 6) AS change_pct, total_volume FROM changed""",
+    ),
+    "price_card": sql(
+        [DAILY, SUMMARY],
+        f"""SELECT symbol, {usd("last_price")} AS price, {percent("change_pct")} AS change,
+        {compact("total_volume")} AS volume FROM changed""",
+    ),
+    "signal_card": sql(
+        S,
+        f"""SELECT symbol, upper(signal) AS signal,
+        printf('%d%%', CAST(floor(prob_up * 100 + 0.5) AS BIGINT)) AS confidence,
+        printf('%.1f%%', prob_up * 100) AS confidence_detail,
+        signal = 'buy' OR prob_up * 100 > 60 AS positive
+        FROM (SELECT * FROM scored QUALIFY {NEWEST} = 1)""",
+    ),
+    "format_compact": sql(
+        [DAILY], f'SELECT symbol, "timestamp", {compact("close * volume")} AS turnover FROM daily'
+    ),
+    "format_usd": sql([DAILY], f'SELECT symbol, "timestamp", {usd("(close - open)")} AS moved FROM daily'),
+    "format_pct": sql(
+        [DAILY], f'SELECT symbol, "timestamp", {percent("(close - open) / open * 100")} AS moved FROM daily'
+    ),
+    "sql_latest": sql(
+        [DAILY], f'SELECT symbol, "timestamp", close, volume FROM daily QUALIFY {NEWEST} <= 5'
+    ),
+}
