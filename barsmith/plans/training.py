@@ -24,7 +24,7 @@ def training_rows(bars: DataFrame, asof, months: int = 12, min_rows: int = 200,
 
 def train_report(bars: DataFrame, asof, months: int = 12, min_rows: int = 200, days: int = 90, model_path: str = "models"):
     """Models, and one report row per symbol with its hold-out metrics."""
-    rows = scratch_table(training_rows(bars, asof, months, min_rows, days), "training-rows")
+    rows = training_rows(bars, asof, months, min_rows, days)
     models = scratch_table(train_models(rows.where("split = 'train'")), "models")
     scores = evaluate(rows.where("split = 'test'"), models)
     report = models.select("symbol", "n_train", "status").join(scores, "symbol", "left").select(

@@ -8,9 +8,22 @@ from pyspark.sql.streaming import StreamingQuery
 from barsmith.operators.bars import build_bars, dedupe_keep_last
 from barsmith.operators.normalize import normalize
 from barsmith.schema import raw_schema
+from barsmith.session import scratch_table
 from barsmith.sources.store import Layout, upsert_bars
 
 
+def _upsert_once(batch: DataFrame, epoch: int, base: str, interval: str, layout: Layout, ntz: bool) -> None:
+    """Upsert a streaming batch under an id that a restarted query gives it again.
+
+    The batch is written first, so its stream plan runs once however often the
+    upsert reads it.
+    """
+    spark = batch.sparkSession
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    stored = scratch_table(batch, "batch")
+    upsert_bars(spark, base, stored, interval, layout, ntz, batch_id=f"{query}-{epoch}")
+
+
 def stream_ingest(
     spark: SparkSession,
     landing: str,
@@ -39,7 +52,7 @@ def stream_ingest(
         stamped = normalize(batch, interval, ntz=ntz, extra=["_file_time", "_file"])
         # Within a batch the newest file wins; within a file the tie-break does.
         newest = dedupe_keep_last(stamped, ["_file_time", "_file"]).drop("_file_time", "_file")
-        upsert_bars(spark, base, newest, interval, layout, ntz, batch_id=f"ingest-{epoch}")
+        _upsert_once(newest, epoch, base, interval, layout, ntz)
 
     return (
         raw.writeStream.foreachBatch(upsert)
@@ -69,7 +82,7 @@ def stream_bars(
     def upsert(batch: DataFrame, epoch: int) -> None:
         if ntz:
             batch = batch.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
-        upsert_bars(batch.sparkSession, base, batch, interval, layout, ntz, batch_id=f"bars-{epoch}")
+        _upsert_once(batch, epoch, base, interval, layout, ntz)
 
     return (
         bars.writeStream.outputMode("update")

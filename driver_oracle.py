@@ -352,15 +352,15 @@ SQL = {
         GROUP BY symbol""",
     ),
     "returns": rolling(
-        ", ".join(f"round(close / nullif(lag(close, {n}) OVER w, 0) - 1, 6) AS ret{n}" for n in (1, 5, 10))
+        ", ".join(f"CAST(CAST(CAST(close / nullif(lag(close, {n}) OVER w, 0) - 1 AS DECIMAL(30, 9)) AS DECIMAL(30, 6)) AS DOUBLE) AS ret{n}" for n in (1, 5, 10))
     ),
     "sma": rolling(", ".join(f"{rounded(full('avg', n))} AS sma{n}" for n in (5, 10, 20)), FRAMES),
     "dist_sma": rolling(
-        ", ".join(f"round(close / nullif({full('avg', n)}, 0) - 1, 6) AS dist_sma{n}" for n in (5, 10, 20)),
+        ", ".join(f"CAST(CAST(CAST(close / nullif({full('avg', n)}, 0) - 1 AS DECIMAL(30, 9)) AS DECIMAL(30, 6)) AS DOUBLE) AS dist_sma{n}" for n in (5, 10, 20)),
         FRAMES,
     ),
     "volatility": sql(
-        [DAILY, FEATURES], 'SELECT symbol, "timestamp", round(vol10, 6) AS vol10 FROM rolled'
+        [DAILY, FEATURES], 'SELECT symbol, "timestamp", CAST(CAST(CAST(vol10 AS DECIMAL(30, 9)) AS DECIMAL(30, 6)) AS DOUBLE) AS vol10 FROM rolled'
     ),
     "features": sql(F, f"SELECT {BAR}, {ALL_FEATURES} FROM feature"),
     "next_close": rolling("close, lead(close) OVER w AS close_t1"),
@@ -368,7 +368,7 @@ SQL = {
     "features_split_series": ALL_LABELS,
     "rsi": sql(
         [DAILY],
-        """SELECT symbol, "timestamp", round(100 * up / nullif(up + down, 0), 6) AS rsi FROM (
+        """SELECT symbol, "timestamp", CAST(CAST(CAST(100 * up / nullif(up + down, 0) AS DECIMAL(30, 9)) AS DECIMAL(30, 6)) AS DOUBLE) AS rsi FROM (
             SELECT symbol, "timestamp",
                    CASE WHEN count(move) OVER w14 = 14 THEN avg(greatest(move, 0)) OVER w14 END AS up,
                    CASE WHEN count(move) OVER w14 = 14 THEN avg(greatest(-move, 0)) OVER w14 END AS down
@@ -376,25 +376,25 @@ SQL = {
                          close - lag(close) OVER (PARTITION BY symbol ORDER BY "timestamp") AS move FROM daily)
             WINDOW w14 AS (PARTITION BY symbol ORDER BY "timestamp" ROWS 13 PRECEDING))""",
     ),
-    "bollinger": f"""SELECT symbol, "timestamp", round(mid, 4) AS bb_middle,
-        round(mid + 2 * dev, 4) AS bb_upper, round(mid - 2 * dev, 4) AS bb_lower FROM ({bands()})""",
+    "bollinger": f"""SELECT symbol, "timestamp", CAST(CAST(CAST(mid AS DECIMAL(30, 7)) AS DECIMAL(30, 4)) AS DOUBLE) AS bb_middle,
+        CAST(CAST(CAST(mid + 2 * dev AS DECIMAL(30, 7)) AS DECIMAL(30, 4)) AS DOUBLE) AS bb_upper, CAST(CAST(CAST(mid - 2 * dev AS DECIMAL(30, 7)) AS DECIMAL(30, 4)) AS DOUBLE) AS bb_lower FROM ({bands()})""",
     "price_position": f"""SELECT symbol, "timestamp",
-        round((close - (mid - 2 * dev)) / nullif((mid + 2 * dev) - (mid - 2 * dev), 0), 6) AS price_position
+        CAST(CAST(CAST((close - (mid - 2 * dev)) / nullif((mid + 2 * dev) - (mid - 2 * dev), 0) AS DECIMAL(30, 9)) AS DECIMAL(30, 6)) AS DOUBLE) AS price_position
         FROM ({bands()})""",
     "volume_profile": sql(
         [DAILY],
-        """SELECT symbol, bucket, round(lo + bucket * width, 6) AS price_from, sum(volume) AS volume, count(*) AS bars
+        """SELECT symbol, bucket, CAST(CAST(CAST(lo + bucket * width AS DECIMAL(30, 9)) AS DECIMAL(30, 6)) AS DOUBLE) AS price_from, sum(volume) AS volume, count(*) AS bars
         FROM (SELECT symbol, lo, width, volume,
                      CAST(least(floor(coalesce((close - lo) / nullif(width, 0), 0)), 9) AS INTEGER) AS bucket
               FROM daily JOIN (SELECT symbol, min(close) AS lo, (max(close) - min(close)) / 10 AS width
                                FROM daily GROUP BY symbol) USING (symbol))
         GROUP BY symbol, bucket, lo, width""",
     ),
-    "momentum": rolling("round(close / nullif(lag(close, 12) OVER w, 0) - 1, 6) AS momentum12"),
-    "predict_proba_fixed": sql(S, 'SELECT symbol, "timestamp", round(p, 6) AS prob_up FROM scored'),
+    "momentum": rolling("CAST(CAST(CAST(close / nullif(lag(close, 12) OVER w, 0) - 1 AS DECIMAL(30, 9)) AS DECIMAL(30, 6)) AS DOUBLE) AS momentum12"),
+    "predict_proba_fixed": sql(S, 'SELECT symbol, "timestamp", CAST(CAST(CAST(p AS DECIMAL(30, 9)) AS DECIMAL(30, 6)) AS DOUBLE) AS prob_up FROM scored'),
     "predict_class": sql(S, 'SELECT symbol, "timestamp", CAST(p > 0.5 AS INTEGER) AS predicted FROM scored'),
     "predict_default": sql(
-        S, 'SELECT symbol, "timestamp", round(prob_up, 6) AS prob_up, signal, status FROM scored'
+        S, 'SELECT symbol, "timestamp", CAST(CAST(CAST(prob_up AS DECIMAL(30, 9)) AS DECIMAL(30, 6)) AS DOUBLE) AS prob_up, signal, status FROM scored'
     ),
     "signals": sql(S, 'SELECT symbol, "timestamp", signal FROM scored'),
     "signals_doc": sql(
@@ -409,8 +409,8 @@ SQL = {
     ),
     "eval_metrics": sql(
         S,
-        """SELECT symbol, round(avg(CAST(said = label AS INTEGER)), 6) AS accuracy,
-        round(coalesce(2.0 * sum(said * label) / nullif(sum(said) + sum(label), 0), 0), 6) AS f1,
+        """SELECT symbol, CAST(CAST(CAST(avg(CAST(said = label AS INTEGER)) AS DECIMAL(30, 9)) AS DECIMAL(30, 6)) AS DOUBLE) AS accuracy,
+        CAST(CAST(CAST(coalesce(2.0 * sum(said * label) / nullif(sum(said) + sum(label), 0), 0) AS DECIMAL(30, 9)) AS DECIMAL(30, 6)) AS DOUBLE) AS f1,
         count(*) AS n_test
         FROM (SELECT symbol, label, CAST(p > 0.5 AS INTEGER) AS said FROM scored WHERE p IS NOT NULL)
         GROUP BY symbol""",
@@ -425,7 +425,7 @@ SQL = {
             f"newest AS (SELECT * FROM feature QUALIFY {NEWEST} = 1)",
             f"probable AS ({probability('newest')})",
         ],
-        f"""SELECT d.symbol, round(coalesce(p, 0.5), 6) AS prob_up,
+        f"""SELECT d.symbol, CAST(CAST(CAST(coalesce(p, 0.5) AS DECIMAL(30, 9)) AS DECIMAL(30, 6)) AS DOUBLE) AS prob_up,
         {SIGNAL.format(p="coalesce(p, 0.5)")} AS signal, '2001-11-04T00:00:00+00:00' AS asof,
         CASE WHEN p IS NOT NULL THEN 'ok' WHEN model.symbol IS NULL THEN 'no_model'
              ELSE 'insufficient_history' END AS status
@@ -441,7 +441,7 @@ SQL = {
     "cv_folds_split_series": TILES,
     "market_summary": sql(
         [DAILY, SUMMARY],
-        """SELECT symbol, bars, last_price, round(change_pct, 6) AS change_pct, total_volume FROM changed""",
+        """SELECT symbol, bars, last_price, CAST(CAST(CAST(change_pct AS DECIMAL(30, 9)) AS DECIMAL(30, 6)) AS DOUBLE) AS change_pct, total_volume FROM changed""",
     ),
     "price_card": sql(
         [DAILY, SUMMARY],

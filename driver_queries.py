@@ -269,16 +269,15 @@ def normalize_raw(spark, folder):
 @query
 def wide_to_long(spark, folder):
     """Bars of all brands side by side, as a download of many tickers has them."""
-    bars = daily(spark, folder)
-    brands = [r[0] for r in bars.select("symbol").distinct().orderBy("symbol").limit(1000).collect()]
     fields = ["open", "high", "low", "close", "volume"]
-    wide = bars.groupBy(F.col("timestamp").alias("Date")).pivot("symbol", brands).agg(
+    wide = daily(spark, folder).groupBy(F.col("timestamp").alias("Date")).pivot("symbol").agg(
         *[F.first(c).alias(c.capitalize()) for c in fields]
     )
-    wide = wide.withColumnsRenamed(
-        {f"{b}_{c.capitalize()}": f"{c.capitalize()}_{b}" for b in brands for c in fields}
-    )
-    return N.normalize(N.wide_to_long(wide, brands), "1d", ntz=True)
+    # Pivot names columns `TICKER_Field`; a download names them `Field_TICKER`.
+    pairs = [name.rsplit("_", 1) for name in wide.columns[1:]]
+    wide = wide.toDF("Date", *[f"{field}_{ticker}" for ticker, field in pairs])
+    tickers = list(dict.fromkeys(ticker for ticker, _ in pairs))
+    return N.normalize(N.wide_to_long(wide, tickers), "1d", ntz=True)
 
 
 @query
