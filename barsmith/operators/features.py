@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
 
 from barsmith.operators.series import SeriesPlan, over_series, plan_series
-from barsmith.schema import BAR_COLUMNS, FEATURE_COLUMNS, nan_to_null
+from barsmith.schema import BAR_COLUMNS, FEATURE_COLUMNS
 from barsmith.session import scratch_table
 
 WARM_UP = 19  # bars before the first one with every feature
@@ -57,8 +57,10 @@ def volatility(df: DataFrame, n: int = 10, plan: SeriesPlan | None = None) -> Da
 
 def _features(d: DataFrame, w: WindowSpec) -> DataFrame:
     # Both steps use one window specification: one exchange, one sort.
+    # Rows without 20 closes go anyway, so only the longest frame is counted.
     levels = {f"ret{n}": change(n, w) for n in (1, 5, 10)}
-    levels |= {f"sma{n}": full_frame(F.avg, "close", n, w) for n in (5, 10, 20)}
+    levels |= {f"sma{n}": F.avg("close").over(w.rowsBetween(1 - n, 0)) for n in (5, 10)}
+    levels["sma20"] = full_frame(F.avg, "close", 20, w)
     ratios = {f"dist_sma{n}": off_mean(n) for n in (5, 10, 20)}
     ratios["vol10"] = full_frame(F.stddev_samp, "ret1", 10, w)
     return d.withColumns(levels).withColumns(ratios)
@@ -67,12 +69,12 @@ def _features(d: DataFrame, w: WindowSpec) -> DataFrame:
 def drop_incomplete(df: DataFrame) -> DataFrame:
     """Rows without a missing value in any bar or feature column."""
     columns = [c for c in [*BAR_COLUMNS, *FEATURE_COLUMNS, "close_t1"] if c in df.columns]
-    return nan_to_null(df).dropna("any", subset=columns)
+    return df.dropna("any", subset=columns)  # NaN counts as missing here, too
 
 
 def add_features(df: DataFrame, plan: SeriesPlan | None = None) -> DataFrame:
     """The ten feature columns; bars in the warm-up are removed."""
-    return drop_incomplete(over_series(nan_to_null(df), _features, 20, plan=plan))
+    return drop_incomplete(over_series(df, _features, 20, plan=plan))
 
 
 def next_close(df: DataFrame, plan: SeriesPlan | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, WindowSpec, functions as F
 
 from barsmith.operators.features import full_frame, returns
 from barsmith.operators.series import SeriesPlan, over_series
-from barsmith.session import small_side
+from barsmith.session import sized_side
 
 
 def rsi(df: DataFrame, n: int = 14, plan: SeriesPlan | None = None) -> DataFrame:
@@ -79,7 +79,7 @@ def volume_profile(df: DataFrame, buckets: int = 10) -> DataFrame:
     bucket = F.least(F.floor(step), F.lit(buckets - 1)).cast("int")
     return (
         df.where(F.col("close").isNotNull())
-        .join(small_side(ranges), "symbol")
+        .join(sized_side(ranges), "symbol")
         .groupBy("symbol", bucket.alias("bucket"), "_low", width.alias("_width"))
         .agg(F.sum("volume").alias("volume"), F.count("*").alias("bars"))
         .select(

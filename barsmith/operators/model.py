@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from barsmith.functions.scalar import signal, sigmoid
 from barsmith.operators.series import SeriesPlan, series_position
 from barsmith.schema import FEATURES, model_schema
-from barsmith.session import BROADCAST_ROWS, scratch_table, small_side
+from barsmith.session import scratch_table, sized_side
 
 MAX_FIT_ROWS = 200_000
 MAX_ITER = 200
@@ -95,11 +95,9 @@ def train_models(df: DataFrame, keys=("symbol",), max_rows: int = MAX_FIT_ROWS)
         return _fit_group(group, keys)
 
     large = rows.groupBy(*keys).count().where(F.col("count") > max_rows).select(*keys)
-    large = scratch_table(large, "large-fits")
-    n_large = large.count()
-    if n_large == 0:
+    if large.isEmpty():
         return rows.groupBy(*keys).applyInPandas(fit, schema)
-    side = F.broadcast(large) if n_large <= BROADCAST_ROWS else large
+    side = sized_side(large)
     usual = rows.join(side, keys, "left_anti").groupBy(*keys).applyInPandas(fit, schema)
     return usual.unionByName(_train_large(rows.join(side, keys, "left_semi"), keys, schema))
 
@@ -167,7 +165,6 @@ def _loss_sums(rows: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
     """Log-loss, gradient and upper Hessian at each key's trial point."""
     trial = F.zip_with("beta", "step", lambda b, s: b + F.col("scale") * s)
     side = state.select(*keys, trial.alias("_at"))
-    side = F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
     inputs = [*[F.col(c) for c in FEATURES], F.lit(1.0)]
     z, p = F.col("_z"), F.col("_p")
     scored = (
@@ -200,7 +197,7 @@ def predict_proba(df: DataFrame, models: DataFrame, keys=("symbol",)) -> DataFra
     usable = models.where(F.col("coef").isNotNull()).select(*keys, "coef", "intercept")
     coef = [F.get("coef", i) for i in range(len(FEATURES))]
     z = F.col("intercept") + _dot(coef, [F.col(c) for c in FEATURES])
-    return df.join(small_side(usable), list(keys), "left").select(
+    return df.join(sized_side(usable), list(keys), "left").select(
         *df.columns, sigmoid(z).alias("prob_up")
     )
 

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barsmith.schema import at
-from barsmith.session import small_side
+from barsmith.session import sized_side
 
 # Spark limits rows per group before the shuffle only up to this many (its default
 # for spark.sql.optimizer.windowGroupLimitThreshold).
@@ -17,12 +17,12 @@ SALTS = 64
 
 def allow_symbols(df: DataFrame, universe: DataFrame) -> DataFrame:
     """Rows whose symbol is in the universe."""
-    return df.join(small_side(universe.select("symbol").distinct()), "symbol", "left_semi")
+    return df.join(sized_side(universe.select("symbol").distinct()), "symbol", "left_semi")
 
 
 def reject_symbols(requests: DataFrame, universe: DataFrame) -> DataFrame:
     """Rows whose symbol is not in the universe, with the reason."""
-    known = small_side(universe.select("symbol").distinct())
+    known = sized_side(universe.select("symbol").distinct())
     return requests.join(known, "symbol", "left_anti").withColumn(
         "error", F.lit("symbol not allowed")
     )
@@ -44,7 +44,7 @@ def last_months(df: DataFrame, asof, months: int = 12) -> DataFrame:
 
 def _within(df: DataFrame, cutoffs: DataFrame, keep: Column) -> DataFrame:
     # Cutoffs are one row per symbol; the bars themselves are not shuffled.
-    return df.join(small_side(cutoffs), "symbol").where(keep).select(*df.columns)
+    return df.join(sized_side(cutoffs), "symbol").where(keep).select(*df.columns)
 
 
 def last_hours(df: DataFrame, hours: int = 12) -> DataFrame:
@@ -76,7 +76,7 @@ def last_period(df: DataFrame, period: str, asof=None) -> DataFrame:
 def min_history(df: DataFrame, rows: int = 200) -> DataFrame:
     """Bars of symbols with at least `rows` of them."""
     enough = df.groupBy("symbol").count().where(F.col("count") >= rows).select("symbol")
-    return df.join(small_side(enough), "symbol", "left_semi")
+    return df.join(sized_side(enough), "symbol", "left_semi")
 
 
 def time_split(df: DataFrame, days: int = 90) -> DataFrame:
@@ -84,7 +84,7 @@ def time_split(df: DataFrame, days: int = 90) -> DataFrame:
     back = F.make_dt_interval(days=F.lit(days))
     cutoffs = df.groupBy("symbol").agg((F.max("timestamp") - back).alias("_cutoff"))
     side = F.when(F.col("timestamp") <= F.col("_cutoff"), "train").otherwise("test")
-    return df.join(small_side(cutoffs), "symbol").select(*df.columns, side.alias("split"))
+    return df.join(sized_side(cutoffs), "symbol").select(*df.columns, side.alias("split"))
 
 
 def require_both_splits(df: DataFrame) -> DataFrame:
@@ -94,7 +94,7 @@ def require_both_splits(df: DataFrame) -> DataFrame:
         F.count_if(F.col("split") == "test").alias("test"),
     )
     both = sides.where((F.col("train") > 0) & (F.col("test") > 0)).select("symbol")
-    return df.join(small_side(both), "symbol", "left_semi")
+    return df.join(sized_side(both), "symbol", "left_semi")
 
 
 def latest_n(df: DataFrame, n: int = 120) -> DataFrame:

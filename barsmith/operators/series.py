@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from barsmith.session import BROADCAST_ROWS, scratch_table
+from barsmith.session import scratch_table, sized_side
 
 MAX_SERIES_ROWS = 1_000_000
 # A unit may hold at most this share of a block; the repeated rows are whole units.
@@ -34,7 +34,6 @@ class SeriesPlan:
     max_rows: int = MAX_SERIES_ROWS
     unit: str | None = None
     units: DataFrame | None = None
-    small: bool = True
 
     @property
     def split(self) -> bool:
@@ -50,13 +49,10 @@ def plan_series(
     """
     keys = list(keys)
     long = df.groupBy(*keys).count().where(F.col("count") > max_rows).select(*keys)
-    long = scratch_table(long, "long-series")
-    n_long = long.count()
-    if n_long == 0:
+    if long.isEmpty():
         return SeriesPlan(keys, max_rows)
 
-    side = F.broadcast(long) if n_long <= BROADCAST_ROWS else long
-    rows = df.join(side, keys, "left_semi")
+    rows = df.join(sized_side(long), keys, "left_semi")
     for unit in UNITS:
         counts = scratch_table(
             rows.groupBy(*keys, _unit(unit).alias("_unit")).agg(F.count("*").alias("n")),
@@ -85,7 +81,7 @@ def plan_series(
         ),
         "series-blocks",
     )
-    return SeriesPlan(keys, max_rows, unit, units, units.count() <= BROADCAST_ROWS)
+    return SeriesPlan(keys, max_rows, unit, units)
 
 
 def _unit(unit: str) -> Column:
@@ -113,8 +109,6 @@ def spread(df: DataFrame, plan: SeriesPlan, back: int = 0, ahead: int = 0) -> Da
         near = near.over(by_unit.rowsBetween(-ahead, -1))
         targets.append(_reached(near, lambda b: b["at"] > F.col("start") - ahead))
     blocks = plan.units.select(*plan.keys, "_unit", F.concat(*targets).alias("_targets"))
-    if plan.small:
-        blocks = F.broadcast(blocks)
 
     whole = F.array(F.struct(F.lit(None).cast("bigint").alias(BLOCK), F.lit(True).alias(CORE)))
     return (
@@ -157,8 +151,6 @@ def series_position(df: DataFrame, plan: SeriesPlan | None = None) -> DataFrame:
             }
         )
     starts = plan.units.select(*plan.keys, BLOCK, "block_start", "total").distinct()
-    if plan.small:
-        starts = F.broadcast(starts)
     by_block = Window.partitionBy(*plan.keys, BLOCK)
     placed = spread(df, plan).withColumns(
         {

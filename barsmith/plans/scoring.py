@@ -9,7 +9,7 @@ from barsmith.operators.features import add_features
 from barsmith.operators.model import predict_proba, with_signal
 from barsmith.operators.select import last_period, latest_row
 from barsmith.schema import at
-from barsmith.session import small_side
+from barsmith.session import sized_side
 
 
 def score_latest(bars: DataFrame, models: DataFrame, asof, period: str = "2mo") -> DataFrame:
@@ -21,8 +21,8 @@ def score_latest(bars: DataFrame, models: DataFrame, asof, period: str = "2mo")
     recent = last_period(bars, period, asof)
     newest = latest_row(add_features(recent))
     scored = with_signal(predict_proba(newest, models))
-    scored = small_side(scored.select("symbol", "prob_up", "signal", "status"))
-    modelled = small_side(models.where(F.col("coef").isNotNull()).select("symbol", F.lit(True).alias("_known")))
+    scored = sized_side(scored.select("symbol", "prob_up", "signal", "status"))
+    modelled = sized_side(models.where(F.col("coef").isNotNull()).select("symbol", F.lit(True).alias("_known")))
     unscored = F.when(F.col("_known"), "insufficient_history").otherwise("no_model")
     return (
         recent.select("symbol")

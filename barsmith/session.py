@@ -1,19 +1,14 @@
-"""Session settings, scratch tables and size-checked broadcasts."""
+"""Session settings and tables written on the way."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from barsmith.sources.paths import make_until_exit
 
-# A side with at most this many rows may be broadcast. Every side that goes
-# through `small_side` holds a key and a few doubles (about 100 bytes a row), so
-# the bound keeps a broadcast near 20 MB.
-BROADCAST_ROWS = 200_000
-
 _local_roots: dict[str, str] = {}
 
 
@@ -57,12 +52,13 @@ def scratch_table(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Materialise a join side and mark it for broadcast only if it is small.
+def sized_side(df: DataFrame) -> DataFrame:
+    """A join side whose size Spark knows before it plans the join.
 
-    Beyond `max_rows` no hint is given: Spark then shuffles both sides, and
-    adaptive execution splits the partitions of hot keys.
+    Per-symbol tables (cutoffs, models, universes) are usually tiny, but they grow
+    with the number of symbols. Written first, they are broadcast only if their
+    files are below `spark.sql.autoBroadcastJoinThreshold`, and then the bars are
+    not shuffled at all. Beyond it both sides are shuffled, and adaptive execution
+    splits the partitions of hot keys.
     """
-    table = scratch_table(df, "side")
-    # Counting a Parquet table reads its footers only.
-    return F.broadcast(table) if table.count() <= max_rows else table
+    return scratch_table(df, "side")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barsmith.operators.normalize import normalize
 from barsmith.schema import raw_schema
-from barsmith.session import small_side
+from barsmith.session import sized_side
 
 
 def read_raw(spark: SparkSession, path: str, fmt: str = "parquet", interval: str = "1d") -> DataFrame:
@@ -24,7 +24,7 @@ def raw_bars(spark, path: str, fmt: str = "parquet", interval: str = "1d", zone=
 
 def with_fallback(primary: DataFrame, secondary: DataFrame) -> DataFrame:
     """The primary source, plus the secondary for symbols the primary lacks."""
-    known = small_side(primary.select("symbol").distinct())
+    known = sized_side(primary.select("symbol").distinct())
     return primary.unionByName(secondary.join(known, "symbol", "left_anti"))
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from barsmith.operators.bars import merge_bars
 from barsmith.operators.normalize import with_partitions
 from barsmith.schema import BAR_COLUMNS, at, bar_schema
-from barsmith.session import small_side
+from barsmith.session import sized_side
 from barsmith.sources.paths import delete, exists, folders
 
 # Touched partitions are pruned by literal values up to this many.
@@ -154,7 +154,7 @@ def read_touched(
     keeps exactly the touched combinations.
     """
     columns = layout.columns(interval)
-    touched = small_side(touched_partitions(batch, interval, layout))
+    touched = sized_side(touched_partitions(batch, interval, layout))
     df = _scan(spark, base, interval, layout, ntz, False)
     who = "symbol" if layout.by == "symbol" else "bucket"
     for names in ([c for c in columns if c not in ("interval", who)], [who]):

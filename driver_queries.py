@@ -125,11 +125,8 @@ def universe(spark, folder) -> DataFrame:
     """Brands with at least the average number of parts."""
     parts = spark.read.parquet(f"{folder}/part.parquet")
     per_brand = parts.groupBy("p_brand").count()
-    mean = per_brand.agg((F.sum("count") / F.count("*")).alias("mean"))
-    return (
-        per_brand.join(F.broadcast(mean), F.col("count") >= F.col("mean"))  # mean: one row
-        .select(F.col("p_brand").alias("symbol"))
-    )
+    mean = per_brand.agg(F.sum("count") / F.count("*")).first()[0]
+    return per_brand.where(F.col("count") >= mean).select(F.col("p_brand").alias("symbol"))
 
 
 def fixed_models(spark, folder) -> DataFrame:
