@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from barsmith.schema import at
+from barsmith.schema import at, months_back
 from barsmith.session import sized_side
 
 # Spark limits rows per group before the shuffle only up to this many (its default
@@ -33,13 +33,9 @@ def of_symbol(df: DataFrame, symbol: str, interval: str | None = None) -> DataFr
     return picked.where(F.col("interval") == interval) if interval else picked
 
 
-def months_before(df: DataFrame, asof, months: int) -> Column:
-    """Calendar months back from `asof`; a missing day becomes the month's last."""
-    return at(df, asof) - F.make_interval(months=F.lit(months))
-
-
 def last_months(df: DataFrame, asof, months: int = 12) -> DataFrame:
-    return df.where(F.col("timestamp") >= months_before(df, asof, months))
+    """Bars since `asof` less a number of calendar months."""
+    return df.where(F.col("timestamp") >= at(df, months_back(asof, months)))
 
 
 def _within(df: DataFrame, cutoffs: DataFrame, keep: Column) -> DataFrame:

@@ -70,6 +70,11 @@ def require_columns(df: DataFrame, columns=("timestamp", *PRICES, "volume")) ->
     return df
 
 
+def months_back(asof, months: int):
+    """Calendar months before a moment; a missing day becomes the month's last."""
+    return F.lit(asof).cast("timestamp_ntz") - F.make_interval(months=F.lit(months))
+
+
 def at(df: DataFrame, moment, column: str = "timestamp"):
     """A literal moment in the type of the frame's time column."""
     return F.lit(moment).cast(df.schema[column].dataType)

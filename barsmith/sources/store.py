@@ -16,12 +16,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from barsmith.operators.bars import merge_bars
 from barsmith.operators.normalize import with_partitions
-from barsmith.schema import BAR_COLUMNS, at, bar_schema
-from barsmith.session import sized_side
+from barsmith.operators.select import latest_n
+from barsmith.schema import BAR_COLUMNS, at, bar_schema, months_back
+from barsmith.session import scratch_table, sized_side
 from barsmith.sources.paths import delete, exists, folders
 
 # Touched partitions are pruned by literal values up to this many.
 LITERALS = 1000
+# Bars a symbol that trades on weekdays has in a month, at least.
+BARS_PER_MONTH = {"1d": 18, "1h": 110}
 
 
 @dataclass(frozen=True)
@@ -102,6 +105,29 @@ def read_bars(
     return df.select(*BAR_COLUMNS)
 
 
+def recent_bars(spark, base: str, interval: str, asof, months: int, **options) -> DataFrame:
+    """`read_bars` of the last calendar months before `asof`; older folders stay closed."""
+    return read_bars(spark, base, interval, since=months_back(asof, months), **options)
+
+
+def read_latest(spark, base: str, interval: str, n: int = 120, *, asof, **options) -> DataFrame:
+    """Each symbol's n newest bars, reading old partitions only where needed.
+
+    Most symbols have n bars in the months before `asof`. Of the older partitions
+    only the symbol column is read, to find symbols that do not; their older bars
+    are read then.
+    """
+    start = months_back(asof, n // BARS_PER_MONTH[interval] + 1)
+    newest = scratch_table(latest_n(read_bars(spark, base, interval, since=start, **options), n), "newest")
+    older = read_bars(spark, base, interval, until=start, **options)
+    full = newest.groupBy("symbol").count().where(F.col("count") == n).select("symbol")
+    short = sized_side(older.select("symbol").distinct().join(sized_side(full), "symbol", "left_anti"))
+    if short.isEmpty():
+        return newest
+    older = latest_n(older.join(short, "symbol", "left_semi"), n)
+    return latest_n(newest.unionByName(older.select(*newest.columns)), n)
+
+
 def write_bars(
     df: DataFrame, base: str, interval: str, layout: Layout = Layout(), replace: str = "dynamic"
 ) -> None:

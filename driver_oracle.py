@@ -226,6 +226,8 @@ SQL = {
         f"""SELECT {BAR} FROM daily WHERE symbol IN ('Brand#3', 'Brand#14')
         AND "timestamp" >= TIMESTAMP '1998-02-10' AND "timestamp" < TIMESTAMP '2000-06-15'""",
     ),
+    "recent_bars": sql([DAILY, RECENT], f"SELECT {BAR} FROM recent"),
+    "read_latest": sql([DAILY], f"SELECT {BAR} FROM daily QUALIFY {NEWEST} <= 120"),
     "touched_partitions": sql(
         [DAILY, UPSERT],
         """SELECT DISTINCT "interval", symbol, CAST(year("timestamp") AS INTEGER) AS year,

@@ -179,6 +179,16 @@ def store_scan_pruned(spark, folder):
     return P.read_bars(spark, base, "1d", wanted, "1998-02-10", "2000-06-15", BY_BUCKET, ntz=True)
 
 
+@query
+def recent_bars(spark, folder):
+    return P.recent_bars(spark, daily_store(spark, folder), "1d", ASOF, 12, layout=BY_BUCKET, ntz=True)
+
+
+@query
+def read_latest(spark, folder):
+    return P.read_latest(spark, daily_store(spark, folder), "1d", 120, asof=ASOF, layout=BY_BUCKET, ntz=True)
+
+
 @query
 def touched_partitions(spark, folder):
     return P.touched_partitions(corrections(spark, folder), "1d", BY_SYMBOL)

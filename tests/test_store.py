@@ -45,6 +45,15 @@ def test_scan_prunes_partitions(spark, tmp_path, layout):
     assert "GreaterThanOrEqual(timestamp" in plan
 
 
+def test_read_latest_goes_back_only_where_needed(spark, tmp_path, layout):
+    frames = [walk("A", 400, 1), walk("OLD", 30, 2), walk("FEW", 9, 3, start="2021-01-20")]
+    base = str(tmp_path / "store")
+    P.write_bars(to_spark(spark, *frames), base, "1d", layout)
+    for n, asof in ((5, "2021-02-03"), (50, "2021-02-03"), (350, "2021-02-03")):
+        got = P.read_latest(spark, base, "1d", n, asof=asof, layout=layout, ntz=True)
+        same(got.toPandas(), pd.concat([f.tail(n) for f in frames]))
+
+
 def test_upsert_replaces_and_adds(spark, tmp_path, layout):
     old, new = walk("A", 100, 1), walk("A", 130, 1)
     new["close"] += 7
@@ -95,9 +104,11 @@ def test_corrupt_files_can_be_skipped(spark, tmp_path, layout):
     base = str(tmp_path / "store")
     frame = walk("A", 60, 1)
     P.write_bars(to_spark(spark, frame), base, "1d", layout)
-    folder = f"{base}/interval=1d/symbol=A" if layout.by == "symbol" else f"{base}/interval=1d"
-    with open(f"{folder}/year=2020/month=2/{'bucket=0/' if layout.by == 'bucket' and os.path.isdir(f'{folder}/year=2020/month=2/bucket=0') else ''}bad.parquet", "wb") as f:
+    folder = os.path.dirname(read(spark, base, layout).inputFiles()[0].removeprefix("file://"))
+    with open(f"{folder}/bad.parquet", "wb") as f:
         f.write(b"not parquet")
+    with pytest.raises(Exception):
+        read(spark, base, layout).collect()
     same(read(spark, base, layout, ignore_corrupt=True).toPandas(), frame)
 
 
