@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from barsmith.functions.scalar import format_compact, format_pct, format_usd, iso_utc
 from barsmith.operators.select import latest_n
-from barsmith.schema import PRICES, require_columns
+from barsmith.schema import PRICES, nan_to_null, require_columns
 
 
 def to_candles(df: DataFrame) -> DataFrame:
@@ -32,7 +32,7 @@ def latest_nested(df: DataFrame, n: int = 120) -> DataFrame:
 
 def market_summary(df: DataFrame, n: int = 120) -> DataFrame:
     """Last price, change on the bar before in percent, and volume of n bars."""
-    shown = latest_n(df, n)
+    shown = nan_to_null(latest_n(df, n))
     # At most n bars per symbol are left, so the two last closes fit in a list.
     closes = F.reverse(F.sort_array(F.collect_list(F.struct("timestamp", "close"))))
     per_symbol = shown.groupBy("symbol").agg(

@@ -28,9 +28,15 @@ def walk(symbol: str, n: int, seed: int = 0, start="2020-01-01", gaps: bool = Fa
 
 
 def to_spark(spark, *frames: pd.DataFrame):
+    """Missing values become NULL, but for the symbol NAN they stay NaN."""
+
+    def value(v, symbol):
+        if isinstance(v, pd.Timestamp):
+            return v.to_pydatetime()
+        return None if isinstance(v, float) and np.isnan(v) and symbol != "NAN" else v
+
     rows = [
-        tuple(None if v is pd.NaT else v.to_pydatetime() if isinstance(v, pd.Timestamp) else v for v in r)
-        for r in pd.concat(frames).itertuples(index=False)
+        tuple(value(v, r.symbol) for v in r) for r in pd.concat(frames).itertuples(index=False)
     ]
     return spark.createDataFrame(rows, bar_schema(ntz=True))
 
