@@ -247,6 +247,19 @@ SQL = {
     "write_read_hourly": ALL_HOURLY,
     "upsert": ALL_MERGED,
     "stream_upsert": ALL_MERGED,
+    "ingest_update": sql(
+        [DAILY,
+         UPSERT.replace("batch AS", "landed AS") + """,
+    batch AS (
+        SELECT * FROM landed QUALIFY dense_rank() OVER (
+            PARTITION BY symbol ORDER BY CAST("timestamp" AS DATE) DESC) <= 2)""",
+         MERGED],
+        f"SELECT {BAR} FROM merged",
+    ),
+    "ingest_backfill": sql(
+        [DAILY],
+        f"""SELECT {BAR} FROM daily WHERE "timestamp" >= TIMESTAMP '2001-11-04' - INTERVAL 2 YEAR""",
+    ),
     "dry_run": sql([DAILY, UPSERT], "SELECT symbol, count(*) AS rows FROM batch GROUP BY symbol"),
     "write_summary": sql(
         [DAILY],
@@ -281,6 +294,18 @@ SQL = {
         """SELECT symbol, "interval", strftime("timestamp", '%Y-%m-%dT%H:%M:%S') || '+00:00' AS "timestamp",
         open, high, low, close, volume FROM hourly""",
     ),
+    "latest_response": sql(
+        [DAILY, HOURLY, RESAMPLED, UNIVERSE],
+        f"""SELECT symbol, '1d' AS "interval", NULL::VARCHAR AS error,
+        strftime("timestamp", '%Y-%m-%dT%H:%M:%S') || '+00:00' AS "timestamp", open, high, low, close, volume
+        FROM (SELECT * FROM resampled
+              UNION ALL SELECT * FROM daily WHERE symbol IN (SELECT symbol FROM universe))
+        QUALIFY {NEWEST} <= 20
+        UNION ALL
+        SELECT DISTINCT symbol, '1d', 'symbol not allowed', NULL, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE,
+               NULL::DOUBLE, NULL::DOUBLE
+        FROM daily WHERE symbol NOT IN (SELECT symbol FROM universe)""",
+    ),
     "parse_symbols": """SELECT trim(s) AS symbol, count(*) AS requests FROM (
         SELECT unnest(string_split(p_brand || ' ,, ' || p_type || ' ,,  ', ',')) AS s FROM part)
         WHERE trim(s) <> '' GROUP BY trim(s)""",

@@ -14,6 +14,8 @@ from barsmith.functions import scalar as S
 from barsmith.operators import bars as B, features as X, indicators as I, model as M
 from barsmith.operators import normalize as N, select as L, summary as D
 from barsmith.operators.series import plan_series
+from barsmith.plans.ingest import ingest
+from barsmith.plans.latest import latest_response as respond
 from barsmith.plans.scoring import score_latest
 from barsmith.plans.sql import register_views
 from barsmith.plans.training import report_json, train_report, training_rows
@@ -97,9 +99,9 @@ def daily_store_by_symbol(spark, folder) -> str:
     return base
 
 
-def raw_daily(spark, folder) -> DataFrame:
-    """Daily bars as a provider would deliver them."""
-    return daily(spark, folder).select(
+def as_raw(bars: DataFrame) -> DataFrame:
+    """Daily bars under the provider's column names."""
+    return bars.select(
         F.date_format("timestamp", "yyyy-MM-dd").alias("Date"),
         F.col("open").alias("Open"),
         F.col("high").alias("High"),
@@ -111,6 +113,12 @@ def raw_daily(spark, folder) -> DataFrame:
     )
 
 
+def land(bars: DataFrame, path: str, fmt: str) -> str:
+    """Write bars as the files a provider leaves."""
+    bars.write.option("header", True).format(fmt).save(path)
+    return path
+
+
 def stored_until(spark, folder) -> DataFrame:
     return daily(spark, folder).where(F.col("timestamp") <= F.lit("2001-10-01").cast("timestamp_ntz"))
 
@@ -151,8 +159,7 @@ def scored(spark, folder) -> DataFrame:
 
 @query
 def raw_scan_daily(spark, folder):
-    path = scratch_path(spark, "landing")
-    raw_daily(spark, folder).write.option("header", True).csv(path)
+    path = land(as_raw(daily(spark, folder)), scratch_path(spark, "landing"), "csv")
     return R.raw_bars(spark, path, "csv", "1d", ntz=True)
 
 
@@ -235,6 +242,23 @@ def upsert(spark, folder):
     return P.read_bars(spark, base, "1d", layout=BY_BUCKET, ntz=True)
 
 
+@query
+def ingest_update(spark, folder):
+    base = scratch_path(spark, "prices_1d")
+    P.write_bars(stored_until(spark, folder), base, "1d", BY_BUCKET)
+    landing = land(as_raw(corrections(spark, folder)), scratch_path(spark, "landing"), "csv")
+    ingest(spark, landing, base, "1d", layout=BY_BUCKET, ntz=True)
+    return P.read_bars(spark, base, "1d", layout=BY_BUCKET, ntz=True)
+
+
+@query
+def ingest_backfill(spark, folder):
+    base = scratch_path(spark, "prices_1d")
+    landing = land(as_raw(daily(spark, folder)), scratch_path(spark, "landing"), "json")
+    ingest(spark, landing, base, "1d", "backfill", asof=ASOF, fmt="json", layout=BY_BUCKET, ntz=True)
+    return P.read_bars(spark, base, "1d", layout=BY_BUCKET, ntz=True)
+
+
 @query
 def dry_run(spark, folder):
     return P.plan_write(corrections(spark, folder))
@@ -270,7 +294,7 @@ def models_roundtrip(spark, folder):
 
 @query
 def normalize_raw(spark, folder):
-    return N.normalize(raw_daily(spark, folder), "1d", ntz=True)
+    return N.normalize(as_raw(daily(spark, folder)), "1d", ntz=True)
 
 
 @query
@@ -312,6 +336,16 @@ def latest_nested(spark, folder):
     return D.latest_nested(hourly(spark, folder))
 
 
+@query
+def latest_response(spark, folder):
+    """Every symbol of both bar sets asked for; stored are the hourly ones, by day."""
+    stored = B.resample(hourly(spark, folder))
+    asked = stored.select("symbol").unionByName(daily(spark, folder).select("symbol"))
+    known = universe(spark, folder).unionByName(stored.select("symbol").distinct())
+    answer = respond(asked, known, stored, daily(spark, folder), "1d", 20)
+    return answer.select("symbol", "interval", "error", F.inline_outer("candles"))
+
+
 @query
 def parse_symbols(spark, folder):
     parts = spark.read.parquet(f"{folder}/part.parquet")
@@ -674,11 +708,7 @@ def stream_upsert(spark, folder):
     """Corrections arrive as landing files, in two streaming batches."""
     base, landing = scratch_path(spark, "prices_1d"), scratch_path(spark, "landing")
     P.write_bars(stored_until(spark, folder), base, "1d", BY_BUCKET)
-    corrections(spark, folder).select(
-        F.date_format("timestamp", "yyyy-MM-dd").alias("Date"),
-        *[F.col(c).alias(c.capitalize()) for c in ["open", "high", "low", "close", "volume"]],
-        F.col("symbol").alias("Ticker"),
-    ).repartition(2, "symbol").write.json(landing)
+    land(as_raw(corrections(spark, folder)).repartition(2, "Ticker"), landing, "json")
     stream_ingest(
         spark, landing, base, scratch_path(spark, "checkpoint"), "1d", "json", BY_BUCKET,
         ntz=True, files_per_batch=1,
