@@ -4,9 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
 
-from barsmith.operators.series import SeriesPlan, over_series, plan_series
+from barsmith.operators.series import (
+    BLOCK,
+    CORE,
+    SeriesPlan,
+    next_in_series,
+    over_series,
+    plan_series,
+    spread_windows,
+)
 from barsmith.schema import BAR_COLUMNS, FEATURE_COLUMNS
-from barsmith.session import scratch_table
 
 WARM_UP = 19  # bars before the first one with every feature
 
@@ -83,19 +90,20 @@ def next_close(df: DataFrame, plan: SeriesPlan | None = None) -> DataFrame:
     )
 
 
+def _label(df: DataFrame) -> DataFrame:
+    higher = F.col("close_t1") > F.col("close")
+    return drop_incomplete(df).withColumn("label", higher.cast("int"))
+
+
 def make_label(df: DataFrame, plan: SeriesPlan | None = None) -> DataFrame:
     """1 if the next bar of this frame closes higher, else 0; the last bar goes."""
-    labelled = drop_incomplete(next_close(df, plan))
-    return labelled.withColumn("label", (F.col("close_t1") > F.col("close")).cast("int"))
+    return _label(next_close(df, plan))
 
 
 def labelled_features(df: DataFrame, plan: SeriesPlan | None = None) -> DataFrame:
     """`add_features`, then `make_label` on the bars that remain."""
     plan = plan or plan_series(df)
-    features = add_features(df, plan)
     if not plan.split:
-        return make_label(features, plan)
-    # The next remaining bar may be in any later block, so cut the remaining bars
-    # anew. Their table is written once instead of being computed twice.
-    features = scratch_table(features, "features")
-    return make_label(features, plan_series(features, plan.keys, plan.max_rows))
+        return make_label(add_features(df, plan), plan)
+    remaining = drop_incomplete(_features(*spread_windows(df, plan, 20)).where(CORE)).drop(CORE)
+    return _label(next_in_series(remaining, "close", "close_t1", plan)).drop(BLOCK)

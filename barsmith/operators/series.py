@@ -135,8 +135,34 @@ def over_series(
     plan = plan or plan_series(df)
     if not plan.split:
         return compute(df, Window.partitionBy(*plan.keys).orderBy("timestamp"))
+    return compute(*spread_windows(df, plan, back, ahead)).where(CORE).drop(BLOCK, CORE)
+
+
+def spread_windows(
+    df: DataFrame, plan: SeriesPlan, back: int = 0, ahead: int = 0
+) -> tuple[DataFrame, WindowSpec]:
+    """The spread frame, and the window over one block of it."""
     window = Window.partitionBy(*plan.keys, BLOCK).orderBy("timestamp")
-    return compute(spread(df, plan, back, ahead), window).where(CORE).drop(BLOCK, CORE)
+    return spread(df, plan, back, ahead), window
+
+
+def next_in_series(rows: DataFrame, column: str, name: str, plan: SeriesPlan) -> DataFrame:
+    """Add `column` of the next row, for rows with a block, one copy each.
+
+    `rows` may have lost rows since it was spread, so a block's last row may find
+    its next one in any later block. The first value of each block is a small
+    table; only cut series are computed for it. `column` must not be NULL.
+    """
+    in_block = Window.partitionBy(*plan.keys, BLOCK).orderBy("timestamp")
+    by_block = Window.partitionBy(*plan.keys).orderBy(BLOCK)
+    cut = rows.where(F.col(BLOCK).isNotNull())
+    firsts = cut.groupBy(*plan.keys, BLOCK).agg(F.min_by(column, "timestamp").alias("_first"))
+    later = firsts.select(*plan.keys, BLOCK, F.lead("_first").over(by_block).alias("_later"))
+    return (
+        rows.withColumn(name, F.lead(column).over(in_block))
+        .join(sized_side(later), [*plan.keys, BLOCK], "left")
+        .select(*rows.columns, F.coalesce(name, "_later").alias(name))
+    )
 
 
 def series_position(df: DataFrame, plan: SeriesPlan | None = None) -> DataFrame:

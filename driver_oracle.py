@@ -294,6 +294,20 @@ SQL = {
         """SELECT symbol, "interval", strftime("timestamp", '%Y-%m-%dT%H:%M:%S') || '+00:00' AS "timestamp",
         open, high, low, close, volume FROM hourly""",
     ),
+    "recent_files": sql([DAILY, UPSERT], f"SELECT {BAR} FROM batch"),
+    "latest_nested": sql(
+        [HOURLY],
+        f"""SELECT symbol, "interval", strftime("timestamp", '%Y-%m-%dT%H:%M:%S') || '+00:00' AS "timestamp",
+        open, high, low, close, volume,
+        CAST(row_number() OVER (PARTITION BY symbol ORDER BY "timestamp") - 1 AS INTEGER) AS position
+        FROM (SELECT * FROM hourly QUALIFY {NEWEST} <= 120)""",
+    ),
+    "feature_array": sql(
+        L,
+        f"""SELECT symbol, "timestamp", CAST(i - 1 AS INTEGER) AS position, {rounded("inputs[i]")} AS value
+        FROM (SELECT *, [ret1, ret5, ret10, dist_sma5, dist_sma10, dist_sma20, vol10] AS inputs FROM labelled),
+             (SELECT unnest([1, 2, 3, 4, 5, 6, 7]) AS i)""",
+    ),
     "latest_response": sql(
         [DAILY, HOURLY, RESAMPLED, UNIVERSE],
         f"""SELECT symbol, '1d' AS "interval", NULL::VARCHAR AS error,

@@ -19,7 +19,7 @@ from barsmith.plans.latest import latest_response as respond
 from barsmith.plans.scoring import score_latest
 from barsmith.plans.sql import register_views
 from barsmith.plans.training import report_json, train_report, training_rows
-from barsmith.schema import BAR_COLUMNS, FEATURE_COLUMNS, FEATURES
+from barsmith.schema import BAR_COLUMNS, FEATURE_COLUMNS, FEATURES, bar_schema
 from barsmith.session import configure, scratch_path, scratch_table
 from barsmith.sources import raw as R, store as P
 from barsmith.sources.ticks import TRADE_ORDER, readings, trades
@@ -209,9 +209,11 @@ def touched_rows(spark, folder):
 
 @query
 def recent_files(spark, folder):
-    base = daily_store(spark, folder)
-    schema = BY_BUCKET.schema("1d", True)
-    return R.read_recent_files(spark, base, 10, schema).select(*BAR_COLUMNS)
+    """The files of the last write into a folder of bars."""
+    base = scratch_path(spark, "files")
+    stored_until(spark, folder).write.parquet(base)
+    corrections(spark, folder).repartition(1).write.mode("append").parquet(base)
+    return R.read_recent_files(spark, base, 1, bar_schema(ntz=True))
 
 
 @query
@@ -333,7 +335,10 @@ def candles(spark, folder):
 
 @query
 def latest_nested(spark, folder):
-    return D.latest_nested(hourly(spark, folder))
+    nested = D.latest_nested(hourly(spark, folder))
+    return nested.select("symbol", "interval", F.posexplode("candles").alias("position", "candle")).select(
+        "symbol", "interval", "position", "candle.*"
+    )
 
 
 @query
@@ -552,7 +557,8 @@ def momentum(spark, folder):
 
 @query
 def feature_array(spark, folder):
-    return key_and(M.feature_array(labelled(spark, folder)), "features")
+    rows = M.feature_array(labelled(spark, folder))
+    return rounded(key_and(rows, F.posexplode("features").alias("position", "value")), ["value"])
 
 
 @query
