@@ -9,8 +9,11 @@ Newton step sums its gradient and Hessian with an ordinary aggregation instead.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from barsmith.functions.scalar import signal, sigmoid
@@ -18,6 +21,10 @@ from barsmith.operators.series import SeriesPlan, series_position
 from barsmith.schema import FEATURES, model_schema
 from barsmith.session import scratch_table, sized_side
 
+# The functions that run in tasks travel with the job; executors need not have
+# this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MAX_FIT_ROWS = 200_000
 MAX_ITER = 200
 TOLERANCE = 1e-8

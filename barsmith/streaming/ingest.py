@@ -21,7 +21,8 @@ def _upsert_once(batch: DataFrame, epoch: int, base: str, interval: str, layout:
     spark = batch.sparkSession
     query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
     stored = scratch_table(batch, "batch")
-    upsert_bars(spark, base, stored, interval, layout, ntz, batch_id=f"{query}-{epoch}")
+    if not stored.isEmpty():
+        upsert_bars(spark, base, stored, interval, layout, ntz, batch_id=f"{query}-{epoch}")
 
 
 def stream_ingest(

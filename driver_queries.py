@@ -732,7 +732,13 @@ def stream_hourly_bars(spark, folder):
         .parquet(folder)
         .withColumn("ts", F.col("ts").cast("timestamp"))
     )
-    stream_bars(
-        readings(events), base, scratch_path(spark, "checkpoint"), layout=BY_BUCKET, ntz=True
-    ).awaitTermination()
+    # A stream keeps one state store per shuffle partition; some suffice here.
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 8)
+    try:
+        stream_bars(
+            readings(events), base, scratch_path(spark, "checkpoint"), layout=BY_BUCKET, ntz=True
+        ).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
     return P.read_bars(spark, base, "1h", layout=BY_BUCKET, ntz=True)
