@@ -456,7 +456,7 @@ SQL = {
         FROM (SELECT symbol, label, CAST(p > 0.5 AS INTEGER) AS said FROM scored WHERE p IS NOT NULL)
         GROUP BY symbol""",
     ),
-    "score_latest_fixed": sql(
+    "score_latest": sql(
         [
             """recent_trade AS (SELECT 1)""",
             DAILY.replace("daily AS", "every AS"),

@@ -16,7 +16,7 @@ from barsmith.operators import normalize as N, select as L, summary as D
 from barsmith.operators.series import plan_series
 from barsmith.plans.ingest import ingest
 from barsmith.plans.latest import latest_response as respond
-from barsmith.plans.scoring import score_latest
+from barsmith.plans.scoring import score_latest as score
 from barsmith.plans.sql import register_views
 from barsmith.plans.training import report_json, train_report, training_rows
 from barsmith.schema import BAR_COLUMNS, FEATURE_COLUMNS, FEATURES, bar_schema
@@ -620,15 +620,15 @@ def evaluate(spark, folder):
 
 
 @query
-def score_latest_fixed(spark, folder):
-    scores = score_latest(daily(spark, folder), fixed_models(spark, folder), ASOF)
+def score_latest(spark, folder):
+    scores = score(daily(spark, folder), fixed_models(spark, folder), ASOF)
     return rounded(scores, ["prob_up"])
 
 
 @query
 def score_latest_trained(spark, folder):
     models = scratch_table(M.train_models(labelled(spark, folder)), "models")
-    return score_latest(daily(spark, folder), models, ASOF)
+    return score(daily(spark, folder), models, ASOF)
 
 
 @query
