@@ -18,7 +18,7 @@ from barsmith.operators.bars import merge_bars
 from barsmith.operators.normalize import with_partitions
 from barsmith.operators.select import latest_n
 from barsmith.schema import BAR_COLUMNS, at, bar_schema, months_back
-from barsmith.session import scratch_table, sized_side
+from barsmith.session import scratch_table, setting, sized_side
 from barsmith.sources.paths import delete, exists, folders
 
 # Touched partitions are pruned by literal values up to this many.
@@ -137,14 +137,20 @@ def write_bars(
 
     Rebalancing sends a partition's rows to one task, and adaptive execution splits
     a partition that is too large into several, so a hot one gets several files.
+    Merging small tasks would save no file here, only leave fewer of them to write
+    all the folders, so it is off.
     """
     columns = layout.columns(interval)
     order = [*columns, *[c for c in ("symbol", "timestamp") if c not in columns]]
+    placed = layout.place(df.select(*BAR_COLUMNS), interval)
+    rows = placed.hint("rebalance", *columns).sortWithinPartitions(*order)
+    with setting(df.sparkSession, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        _save(rows, base, columns, replace)
+
+
+def _save(df: DataFrame, base: str, columns: list[str], replace: str) -> None:
     (
-        layout.place(df.select(*BAR_COLUMNS), interval)
-        .hint("rebalance", *columns)
-        .sortWithinPartitions(*order)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", replace)
         .option("compression", "snappy")
         .partitionBy(*columns)
@@ -224,16 +230,9 @@ def upsert_bars(
         else:
             existing = read_touched(spark, base, batch, interval, layout, ntz)
         write_bars(merge_bars(existing, batch), staged, interval, layout, "static")
-    columns = layout.columns(interval)
-    (
-        # Staged files are already one group per partition: no shuffle here.
-        _scan(spark, staged, interval, layout, ntz, False)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(*columns)
-        .parquet(base)
-    )
+    # Staged rows already lie together by partition: no shuffle here.
+    merged = _scan(spark, staged, interval, layout, ntz, False)
+    _save(merged, base, layout.columns(interval), "dynamic")
     delete(spark, staged)
 
 

@@ -20,7 +20,7 @@ from barsmith.plans.scoring import score_latest as score
 from barsmith.plans.sql import register_views
 from barsmith.plans.training import report_json, train_report, training_rows
 from barsmith.schema import BAR_COLUMNS, FEATURE_COLUMNS, FEATURES, bar_schema
-from barsmith.session import configure, scratch_path, scratch_table
+from barsmith.session import configure, scratch_path, scratch_table, setting
 from barsmith.sources import raw as R, store as P
 from barsmith.sources.ticks import TRADE_ORDER, readings, trades
 from barsmith.streaming.ingest import stream_bars, stream_ingest
@@ -755,12 +755,8 @@ def stream_hourly_bars(spark, folder):
         .withColumn("ts", F.col("ts").cast("timestamp"))
     )
     # A stream keeps one state store per shuffle partition; some suffice here.
-    usual = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", 8)
-    try:
+    with setting(spark, "spark.sql.shuffle.partitions", 8):
         stream_bars(
             readings(events), base, scratch_path(spark, "checkpoint"), layout=BY_BUCKET, ntz=True
         ).awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", usual)
     return P.read_bars(spark, base, "1h", layout=BY_BUCKET, ntz=True)
