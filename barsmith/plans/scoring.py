@@ -22,7 +22,8 @@ def score_latest(bars: DataFrame, models: DataFrame, asof, period: str = "2mo")
     newest = latest_row(add_features(recent))
     scored = with_signal(predict_proba(newest, models))
     scored = sized_side(scored.select("symbol", "prob_up", "signal", "status"))
-    modelled = sized_side(models.where(F.col("coef").isNotNull()).select("symbol", F.lit(True).alias("_known")))
+    modelled = models.where(F.col("coef").isNotNull())
+    modelled = sized_side(modelled.select("symbol", F.lit(True).alias("_known")))
     unscored = F.when(F.col("_known"), "insufficient_history").otherwise("no_model")
     return (
         recent.select("symbol")

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from barsmith.sources.store import Layout, read_bars
+from barsmith.sources.store import read_bars
 
 
-def register_views(spark: SparkSession, base: str, layout: Layout = Layout(), ntz: bool = False, intervals=("1d", "1h")) -> list[str]:
-    """Temporary views `bars_1d` and `bars_1h`; query them with `spark.sql`."""
-    names = []
-    for interval in intervals:
-        read_bars(spark, base, interval, layout=layout, ntz=ntz).createOrReplaceTempView(f"bars_{interval}")
-        names.append(f"bars_{interval}")
-    return names
+def register_views(spark: SparkSession, stores: dict[str, str], **options) -> list[str]:
+    """Temporary views `bars_1d`, `bars_1h` over {interval: folder}; query with `spark.sql`.
+
+    A view is read when it is queried; its filters prune as in `read_bars`.
+    """
+    for interval, base in stores.items():
+        read_bars(spark, base, interval, **options).createOrReplaceTempView(f"bars_{interval}")
+    return [f"bars_{interval}" for interval in stores]

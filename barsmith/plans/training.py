@@ -11,7 +11,9 @@ from barsmith.operators.series import plan_series
 from barsmith.session import scratch_table
 
 
-def training_rows(bars: DataFrame, asof, months: int = 12, min_rows: int = 200, days: int = 90) -> DataFrame:
+def training_rows(
+    bars: DataFrame, asof, months: int = 12, min_rows: int = 200, days: int = 90
+) -> DataFrame:
     """Labelled feature rows of recent bars, split by time into train and test.
 
     The rows are written once: the split, the check of both sides, the fits and
@@ -22,12 +24,20 @@ def training_rows(bars: DataFrame, asof, months: int = 12, min_rows: int = 200,
     return require_both_splits(time_split(labelled, days))
 
 
-def train_report(bars: DataFrame, asof, months: int = 12, min_rows: int = 200, days: int = 90, model_path: str = "models"):
+def train_report(
+    bars: DataFrame,
+    asof,
+    months: int = 12,
+    min_rows: int = 200,
+    days: int = 90,
+    model_path: str = "models",
+) -> tuple[DataFrame, DataFrame]:
     """Models, and one report row per symbol with its hold-out metrics."""
     rows = training_rows(bars, asof, months, min_rows, days)
     models = scratch_table(train_models(rows.where("split = 'train'")), "models")
     scores = evaluate(rows.where("split = 'test'"), models)
-    report = models.select("symbol", "n_train", "status").join(scores, "symbol", "left").select(
+    fitted = models.select("symbol", "n_train", "status")
+    report = fitted.join(scores, "symbol", "left").select(
         "symbol",
         F.struct("accuracy", "f1").alias("metrics"),
         F.concat(F.lit(f"{model_path}/symbol="), "symbol").alias("model_path"),

@@ -9,12 +9,13 @@ from barsmith.schema import raw_schema
 from barsmith.session import sized_side
 
 
+# Text files carry a header, and its names must be the expected ones.
+RAW_OPTIONS = {"header": True, "enforceSchema": False}
+
+
 def read_raw(spark: SparkSession, path: str, fmt: str = "parquet", interval: str = "1d") -> DataFrame:
     """Raw bars with the provider's column names. The schema is never inferred."""
-    reader = spark.read.schema(raw_schema(interval))
-    if fmt == "csv":
-        reader = reader.option("header", True).option("enforceSchema", False)
-    return reader.format(fmt).load(path)
+    return spark.read.schema(raw_schema(interval)).options(**RAW_OPTIONS).format(fmt).load(path)
 
 
 def raw_bars(spark, path: str, fmt: str = "parquet", interval: str = "1d", zone=None, ntz=False) -> DataFrame:

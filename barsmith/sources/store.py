@@ -1,5 +1,6 @@
 """The bar store: partitioned Parquet, unique on (interval, symbol, timestamp).
 
+Each interval has a base folder of its own, as hourly bars have one level more.
 Two layouts. `bucket` (default) files bars by interval, year, month (and day for
 hourly bars) and a hash of the symbol. The number of folders then depends on time
 and not on the number of symbols, and files stay large. `symbol` has one folder
@@ -241,7 +242,9 @@ def expire_bars(df: DataFrame, asof, days: int = 365) -> DataFrame:
     return df.where(F.col("timestamp") >= at(df, asof) - F.make_dt_interval(days=F.lit(days)))
 
 
-def expire_store(spark, base: str, interval: str, asof, days: int = 365, layout: Layout = Layout()) -> list[str]:
+def expire_store(
+    spark, base: str, interval: str, asof, days: int = 365, layout: Layout = Layout()
+) -> list[str]:
     """Delete the month folders that end before the retention limit; no file is read."""
     limit = spark.range(1).select(
         _month_number(F.lit(asof).cast("timestamp_ntz") - F.make_dt_interval(days=F.lit(days)))

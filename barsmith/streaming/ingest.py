@@ -9,6 +9,7 @@ from barsmith.operators.bars import build_bars, dedupe_keep_last
 from barsmith.operators.normalize import normalize
 from barsmith.schema import raw_schema
 from barsmith.session import scratch_table
+from barsmith.sources.raw import RAW_OPTIONS
 from barsmith.sources.store import Layout, upsert_bars
 
 
@@ -43,10 +44,14 @@ def stream_ingest(
     """
     raw = (
         spark.readStream.schema(raw_schema(interval))
-        .option("maxFilesPerTrigger", files_per_batch)
+        .options(**RAW_OPTIONS, maxFilesPerTrigger=files_per_batch)
         .format(fmt)
         .load(landing)
-        .select("*", F.col("_metadata.file_modification_time").alias("_file_time"), F.col("_metadata.file_path").alias("_file"))
+        .select(
+            "*",
+            F.col("_metadata.file_modification_time").alias("_file_time"),
+            F.col("_metadata.file_path").alias("_file"),
+        )
     )
 
     def upsert(batch: DataFrame, epoch: int) -> None:

@@ -717,7 +717,7 @@ def format_pct(spark, folder):
 
 @query
 def sql_latest(spark, folder):
-    register_views(spark, daily_store(spark, folder), BY_BUCKET, ntz=True)
+    register_views(spark, {"1d": daily_store(spark, folder)}, layout=BY_BUCKET, ntz=True)
     return spark.sql(
         """
         SELECT symbol, timestamp, close, volume FROM (

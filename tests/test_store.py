@@ -2,7 +2,6 @@ import os
 
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from barsmith.operators import bars as B
 from barsmith.plans.sql import register_views
@@ -152,6 +151,7 @@ def test_merge_stats(spark):
 def test_sql_views(spark, tmp_path, layout):
     base = str(tmp_path / "store")
     P.write_bars(to_spark(spark, walk("A", 30, 1)), base, "1d", layout)
-    assert register_views(spark, base, layout, ntz=True) == ["bars_1d", "bars_1h"]
+    stores = {"1d": base, "1h": str(tmp_path / "none")}
+    assert register_views(spark, stores, layout=layout, ntz=True) == ["bars_1d", "bars_1h"]
     assert spark.sql("SELECT count(*) FROM bars_1d").first()[0] == 30
     assert spark.sql("SELECT count(*) FROM bars_1h").first()[0] == 0
