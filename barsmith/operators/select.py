@@ -6,7 +6,8 @@ import re
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from barsmith.schema import at, months_back
+from barsmith.functions.scalar import parse_symbols
+from barsmith.schema import DEFAULT_SYMBOLS, at, months_back
 from barsmith.session import sized_side
 
 # Spark limits rows per group before the shuffle only up to this many (its default
@@ -15,6 +16,11 @@ GROUP_LIMIT = 1000
 SALTS = 64
 
 
+def symbol_universe(spark, text: str = DEFAULT_SYMBOLS) -> DataFrame:
+    """The symbols of a comma-separated list, as a frame."""
+    return spark.range(1).select(F.explode(parse_symbols(F.lit(text))).alias("symbol"))
+
+
 def allow_symbols(df: DataFrame, universe: DataFrame) -> DataFrame:
     """Rows whose symbol is in the universe."""
     return df.join(sized_side(universe.select("symbol").distinct()), "symbol", "left_semi")

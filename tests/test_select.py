@@ -59,7 +59,8 @@ def test_splits(spark):
 
 def test_universe(spark):
     bars = to_spark(spark, walk("A", 5), walk("Z", 5))
-    known = spark.sql("SELECT explode(array('A', 'B')) AS symbol")
+    known = L.symbol_universe(spark, "A, ,B,")
+    assert L.symbol_universe(spark).count() == 7
     assert L.allow_symbols(bars, known).count() == 5
     rejected = L.reject_symbols(spark.sql("SELECT explode(array('A', 'Q')) AS symbol"), known).collect()
     assert [(r["symbol"], r["error"]) for r in rejected] == [("Q", "symbol not allowed")]
