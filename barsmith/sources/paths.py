@@ -20,6 +20,16 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another one, which may be missing."""
+    fs, old = _open(spark, target)
+    _, new = _open(spark, source)
+    fs.delete(old, True)
+    fs.mkdirs(old.getParent())
+    if not fs.rename(new, old):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def make_until_exit(spark: SparkSession, path: str) -> None:
     """Create a folder that the driver removes when it exits."""
     fs, hadoop = _open(spark, path)

@@ -20,7 +20,7 @@ from barsmith.operators.normalize import with_partitions
 from barsmith.operators.select import latest_n
 from barsmith.schema import BAR_COLUMNS, at, bar_schema, months_back
 from barsmith.session import scratch_table, setting, sized_side
-from barsmith.sources.paths import delete, exists, folders
+from barsmith.sources.paths import delete, exists, folders, move
 
 # Touched partitions are pruned by literal values up to this many.
 LITERALS = 1000
@@ -146,17 +146,13 @@ def write_bars(
     placed = layout.place(df.select(*BAR_COLUMNS), interval)
     rows = placed.hint("rebalance", *columns).sortWithinPartitions(*order)
     with setting(df.sparkSession, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
-        _save(rows, base, columns, replace)
-
-
-def _save(df: DataFrame, base: str, columns: list[str], replace: str) -> None:
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", replace)
-        .option("compression", "snappy")
-        .partitionBy(*columns)
-        .parquet(base)
-    )
+        (
+            rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", replace)
+            .option("compression", "snappy")
+            .partitionBy(*columns)
+            .parquet(base)
+        )
 
 
 def plan_write(df: DataFrame) -> DataFrame:
@@ -220,9 +216,9 @@ def upsert_bars(
     """Merge a batch into the store: new bars are added, known ones replaced.
 
     The merged partitions are first written completely to a staging folder in the
-    store and only then put in place. If the job dies while replacing partitions,
-    repeating it with the same `batch_id` finishes from the staged copy. Applying
-    a batch twice leaves the store as it was after the first time.
+    store; then each staged folder takes the place of the old one. If the job dies
+    between, repeating it with the same `batch_id` moves the folders still staged.
+    Applying a batch twice leaves the store as it was after the first time.
     """
     staged = f"{base.rstrip('/')}/_staging/{batch_id or uuid.uuid4().hex}"
     if not exists(spark, f"{staged}/_SUCCESS"):
@@ -231,9 +227,10 @@ def upsert_bars(
         else:
             existing = read_touched(spark, base, batch, interval, layout, ntz)
         write_bars(merge_bars(existing, batch), staged, interval, layout, "static")
-    # Staged rows already lie together by partition: no shuffle here.
-    merged = _scan(spark, staged, interval, layout, ntz, False)
-    _save(merged, base, layout.columns(interval), "dynamic")
+    columns = layout.columns(interval)
+    for folder in folders(spark, "/".join([staged, *[f"{c}=*" for c in columns]])):
+        partition = "/".join(folder.split("/")[-len(columns):])
+        move(spark, folder, f"{base.rstrip('/')}/{partition}")
     delete(spark, staged)
 
 

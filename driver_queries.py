@@ -212,8 +212,8 @@ def recent_files(spark, folder):
     """The files of the last write into a folder of bars."""
     base = scratch_path(spark, "files")
     stored_until(spark, folder).write.parquet(base)
-    corrections(spark, folder).repartition(1).write.mode("append").parquet(base)
-    return R.read_recent_files(spark, base, 1, bar_schema(ntz=True))
+    corrections(spark, folder).repartition(4).write.mode("append").parquet(base)
+    return R.read_recent_files(spark, base, 4, bar_schema(ntz=True))
 
 
 @query

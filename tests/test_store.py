@@ -6,7 +6,7 @@ import pytest
 from barsmith.operators import bars as B
 from barsmith.plans.sql import register_views
 from barsmith.sources import raw as R, store as P
-from barsmith.sources.paths import exists
+from barsmith.sources.paths import delete, exists, move
 from helpers import same, to_spark, walk
 
 LAYOUTS = [P.Layout(by="symbol"), P.Layout(buckets=3)]
@@ -77,20 +77,28 @@ def test_upsert_leaves_other_files_alone(spark, tmp_path, layout):
 
 
 def test_upsert_finishes_after_a_crash(spark, tmp_path, layout, monkeypatch):
-    """The old partition is gone and the new one not yet there: repeat the batch."""
+    """The old partitions are gone and not all new ones there: repeat the batch."""
     base = str(tmp_path / "store")
     old = walk("A", 60, 1)
-    batch = old.tail(5).assign(close=1.0)
+    batch = old[old["timestamp"] >= "2020-01-28"].assign(close=1.0)
+    want = pd.concat([old[old["timestamp"] < "2020-01-28"], batch])
     P.write_bars(to_spark(spark, old), base, "1d", layout)
-    kept = P.delete
-    monkeypatch.setattr(P, "delete", lambda *a: None)
+    moved = []
+
+    def dies(spark, source, target):
+        if moved:
+            delete(spark, target)
+            raise OSError("lost")
+        moved.append(target)
+        move(spark, source, target)
+
+    monkeypatch.setattr(P, "move", dies)
+    with pytest.raises(OSError):
+        P.upsert_bars(spark, base, to_spark(spark, batch), "1d", layout, ntz=True, batch_id="b1")
+    assert read(spark, base, layout).count() < 60
+    monkeypatch.setattr(P, "move", move)
     P.upsert_bars(spark, base, to_spark(spark, batch), "1d", layout, ntz=True, batch_id="b1")
-    monkeypatch.setattr(P, "delete", kept)
-    assert exists(spark, f"{base}/_staging/b1/_SUCCESS")
-    month = "interval=1d/symbol=A/year=2020/month=3" if layout.by == "symbol" else "interval=1d/year=2020/month=3"
-    os.rename(f"{base}/{month}", str(tmp_path / "lost"))
-    P.upsert_bars(spark, base, to_spark(spark, batch), "1d", layout, ntz=True, batch_id="b1")
-    same(read(spark, base, layout).toPandas(), pd.concat([old.head(55), batch]))
+    same(read(spark, base, layout).toPandas(), want)
     assert not exists(spark, f"{base}/_staging/b1")
 
 
