@@ -57,15 +57,19 @@ def simhash(text: str, n: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > values.size).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the 64 bits as a bigint)."""
+def fingerprints(docs: DataFrame, n: int = SHINGLE, with_text_hash: bool = False) -> DataFrame:
+    """doc_id, fp (the 64 bits as a bigint); asked for, text_hash, Spark's xxhash64 of the text."""
+    names = ["doc_id", "text_hash", "fp"] if with_text_hash else ["doc_id", "fp"]
 
     def run(batches):
         for b in batches:
-            found = np.array([simhash(t or "", n) for t in b.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            found = np.array([simhash(t or "", n) for t in b.column(b.num_columns - 1).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(found.view(np.int64))], names=names)
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    hashed = [F.xxhash64("text").alias("text_hash")] if with_text_hash else []
+    return docs.select(F.col("doc_id").cast("bigint"), *hashed, "text").mapInArrow(
+        run, ", ".join(f"{c} bigint" for c in names)
+    )
 
 
 def block_masks() -> list[int]:
@@ -207,7 +211,8 @@ def links(distinct: DataFrame, bits: int = MAX_BITS) -> DataFrame:
 
 
 def groups(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
-    """(fp, component_id): each distinct fingerprint with the smallest doc_id it is linked to.
+    """(fp, root, component_id): each distinct fingerprint with its component's smallest
+    fingerprint and the smallest doc_id it is linked to.
 
     prints: doc_id, fp, better a written table: it is read twice.
     """
@@ -218,13 +223,13 @@ def groups(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     )
     rooted = scratch_table(rooted, "rooted")
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return scratch_table(rooted.join(lowest, "root").select("fp", "component_id"), "groups")
+    return scratch_table(rooted.join(lowest, "root").select("fp", "root", "component_id"), "groups")
 
 
 def near_duplicates(docs: DataFrame, n: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fp, component_id of every document."""
     prints = scratch_table(fingerprints(docs, n), "prints")
-    found = groups(prints, bits).withColumnRenamed("fp", "of")
+    found = groups(prints, bits).select(F.col("fp").alias("of"), "component_id")
     return prints.join(found, prints.fp == found.of).select("doc_id", "fp", "component_id")
 
 
