@@ -42,12 +42,14 @@ WORD = re.compile(r"[^\W\d_]+")
 class Params:
     """positives, unlabelled: most documents of each kind in the fitted sample. classifiers:
     each sees all the positives and its own part of the unlabelled. vocabulary: words kept by
-    a classifier, those that tell its two sets apart best. l2, steps, rate: of the descent."""
+    a classifier at most, those that tell its two sets apart best, by `apart` standard errors
+    or more. l2, steps, rate: of the descent."""
 
     positives: int = 2000
     unlabelled: int = 12000
     classifiers: int = 4
     vocabulary: int = 1000
+    apart: float = 5.0
     l2: float = 2e-4
     steps: int = 400
     rate: float = 0.05
@@ -110,7 +112,7 @@ def fit_group(prior: float, p: Params):
         apart = np.where(in_pos + in_unl >= 3, np.abs(share_p - share_u) / (spread + 1e-9), 0)
         vocabulary = np.asarray(coded.dictionary.to_pylist(), object)
         kept = np.lexsort((vocabulary, -apart))[: p.vocabulary]
-        kept = kept[apart[kept] > 2.5]
+        kept = kept[apart[kept] > p.apart]
         place = np.full(size, -1)
         place[kept] = np.arange(kept.size)
         known = place[codes] >= 0
