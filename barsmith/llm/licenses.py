@@ -132,7 +132,7 @@ def aligned(template: np.ndarray, doc: np.ndarray, low: int, high: int) -> tuple
                 score, equal, begin = 0, 0, i
             here = (score + (1 if hit else -1), equal + hit, begin)
             for other in (before.get(i), row.get(i - 1)):
-                if other and other[0] - 1 > here[0]:
+                if other and (other[0] - 1, other[1]) > here[:2]:
                     here = (other[0] - 1, other[1], other[2])
             row[i] = here
             if hit and (here[0], here[1]) > best[:2]:

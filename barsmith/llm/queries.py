@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.llm import licenses, lm, mixing, order_minhash, private, quotes, secrets, simhash, spaced_seeds, toxicity
+from barsmith.llm import licenses, lm, mixing, order_minhash, private, quotes, secrets, simhash, spaced_seeds, toxicity, twins
 from barsmith.llm.common import fold, table
 from barsmith.session import scratch_path
 
@@ -80,4 +80,4 @@ QUERIES = {
         op10_licenses,
     )
 }
-SQL: dict[str, str] = {}
+SQL = twins.SQL
