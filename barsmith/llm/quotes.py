@@ -142,26 +142,29 @@ def reach(answers: DataFrame) -> DataFrame:
     """__thread, __at, root, depth of all messages that answer another one.
 
     Each round doubles how far up a row looks; a chain of n answers takes log2(n) rounds, each
-    a join on (thread, position) of small rows.
+    a join on (thread, position) of small rows. Rows that have seen their root drop out, so
+    that a round joins only what is deeper than the rounds before have reached.
     """
-    rows = scratch_table(
+    open_rows = scratch_table(
         answers.select("__thread", "__at", F.col("parent").alias("root"), F.lit(1).cast("bigint").alias("depth")), "reach"
     )
-    while True:
-        up = rows.select(
-            "__thread", F.col("__at").alias("root"), F.col("root").alias("further"), F.col("depth").alias("more")
+    done = open_rows.limit(0)
+    while not open_rows.isEmpty():
+        marked = open_rows.withColumn("final", F.lit(False)).unionByName(done.withColumn("final", F.lit(True)))
+        up = marked.select(
+            "__thread", F.col("__at").alias("root"), F.col("root").alias("further"), F.col("depth").alias("more"), "final"
         )
-        grown = rows.join(up, ["__thread", "root"], "left").select(
+        grown = open_rows.join(up, ["__thread", "root"], "left").select(
             "__thread",
             "__at",
             F.coalesce("further", "root").alias("root"),
             (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-            F.col("further").isNotNull().alias("moved"),
+            F.coalesce("final", F.lit(True)).alias("final"),
         )
         grown = scratch_table(grown, "reach")
-        rows = grown.drop("moved")
-        if not grown.where("moved").limit(1).count():
-            return rows
+        done = done.unionByName(grown.where("final").drop("final"))
+        open_rows = grown.where("not final").drop("final")
+    return done
 
 
 def as_mail(turns: DataFrame) -> DataFrame:
