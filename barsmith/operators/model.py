@@ -93,10 +93,14 @@ def _model(fit: dict, n_train: int, status: str) -> dict:
 
 
 def train_models(df: DataFrame, keys=("symbol",), max_rows: int = MAX_FIT_ROWS) -> DataFrame:
-    """One model row per key from rows with the feature columns and a 0/1 label."""
+    """One model row per key from rows with the feature columns and a 0/1 label.
+
+    Rows with a missing input or label do not count, whatever the size of the key; a
+    key without any other row has no model.
+    """
     keys = list(keys)
     schema = model_schema(keys, df)
-    rows = df.select(*keys, *FEATURES, "label")
+    rows = df.select(*keys, *FEATURES, "label").dropna(subset=[*FEATURES, "label"])
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         return _fit_group(group, keys)
@@ -251,11 +255,15 @@ def check_predictions(df: DataFrame) -> DataFrame:
 
 
 def save_models(models: DataFrame, path: str) -> None:
-    models.write.mode("overwrite").parquet(path)
+    """One folder per symbol, `symbol=...` below the path."""
+    models.write.mode("overwrite").partitionBy("symbol").parquet(path)
 
 
 def load_models(spark, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The saved models; symbols are text even if they look like numbers."""
+    stored = spark.read.parquet(path).drop("symbol").schema
+    schema = T.StructType([*stored.fields, T.StructField("symbol", T.StringType())])
+    return spark.read.schema(schema).parquet(path)
 
 
 # --- temporal cross-validation ----------------------------------------------

@@ -44,12 +44,9 @@ def lower_columns(df: DataFrame) -> DataFrame:
 
 
 def find_timestamp_col(df: DataFrame) -> str:
-    """First column named like a date or timestamp, else the first column."""
-    for column in df.columns:
-        name = column.lower()
-        if "datetime" in name or "date" in name or "timestamp" in name:
-            return column
-    return df.columns[0]
+    """The leftmost column with a date or a timestamp in its name; without one, the leftmost."""
+    dated = re.compile("date|timestamp", re.IGNORECASE)
+    return min(df.columns, key=lambda column: dated.search(column) is None)
 
 
 def to_utc(df: DataFrame, column: str = "timestamp", zone: str | None = None, ntz: bool = False) -> DataFrame:
@@ -101,6 +98,26 @@ def wide_to_long(df: DataFrame, tickers: list[str], time_column: str = "Date") -
     return df.select(time_column, F.inline(F.array(*rows))).dropna("all", subset=fields)
 
 
+def _reason() -> Column:
+    keyless = F.col("timestamp").isNull() | F.col("symbol").isNull() | F.col("interval").isNull()
+    priceless = F.greatest(*[F.col(c).isNull() for c in PRICES])
+    return F.when(keyless, "no time, symbol or interval").when(priceless, "unreadable price")
+
+
+def accepted(df: DataFrame) -> DataFrame:
+    """Bars that may enter the store: with their whole key and all four prices.
+
+    A bar without a time has no place there, and one without a price must not replace a
+    stored one.
+    """
+    return df.where(_reason().isNull())
+
+
+def rejects(df: DataFrame) -> DataFrame:
+    """The other bars, each with the reason."""
+    return df.withColumn("reason", _reason()).where(F.col("reason").isNotNull())
+
+
 def with_partitions(df: DataFrame, interval: str) -> DataFrame:
     """Integer year and month (and day for hourly bars) of the UTC timestamp."""
     parts = {"year": F.year("timestamp"), "month": F.month("timestamp")}

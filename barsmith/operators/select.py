@@ -7,12 +7,11 @@ import re
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from barsmith.functions.scalar import parse_symbols
-from barsmith.schema import DEFAULT_SYMBOLS, at, months_back
+from barsmith.schema import DEFAULT_SYMBOLS, at, months_back, series_keys
 from barsmith.session import sized_side
 
-# Spark limits rows per group before the shuffle only up to this many (its default
-# for spark.sql.optimizer.windowGroupLimitThreshold).
-GROUP_LIMIT = 1000
+# Spark limits rows per group before the shuffle only up to so many.
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 SALTS = 64
 
 
@@ -30,7 +29,7 @@ def reject_symbols(requests: DataFrame, universe: DataFrame) -> DataFrame:
     """Rows whose symbol is not in the universe, with the reason."""
     known = sized_side(universe.select("symbol").distinct())
     return requests.join(known, "symbol", "left_anti").withColumn(
-        "error", F.lit("symbol not allowed")
+        "error", F.lit("symbol not allowed")  # fixed value
     )
 
 
@@ -40,13 +39,18 @@ def of_symbol(df: DataFrame, symbol: str, interval: str | None = None) -> DataFr
 
 
 def last_months(df: DataFrame, asof, months: int = 12) -> DataFrame:
-    """Bars since `asof` less a number of calendar months."""
-    return df.where(F.col("timestamp") >= at(df, months_back(asof, months)))
+    """Bars since `asof` less a number of calendar months, up to `asof`."""
+    return up_to(df, asof).where(F.col("timestamp") >= at(df, months_back(asof, months)))
+
+
+def up_to(df: DataFrame, asof) -> DataFrame:
+    """What is known at a moment: bars of that time or before."""
+    return df.where(F.col("timestamp") <= at(df, asof))
 
 
 def _within(df: DataFrame, cutoffs: DataFrame, keep: Column) -> DataFrame:
-    # Cutoffs are one row per symbol; the bars themselves are not shuffled.
-    return df.join(sized_side(cutoffs), "symbol").where(keep).select(*df.columns)
+    # Cutoffs are one row per series; the bars themselves are not shuffled.
+    return df.join(sized_side(cutoffs), series_keys(df)).where(keep).select(*df.columns)
 
 
 def last_hours(df: DataFrame, hours: int = 12) -> DataFrame:
@@ -54,12 +58,15 @@ def last_hours(df: DataFrame, hours: int = 12) -> DataFrame:
     if hours >= 24:
         return df
     back = F.make_dt_interval(hours=F.lit(hours))
-    cutoffs = df.groupBy("symbol").agg((F.max("timestamp") - back).alias("_cutoff"))
+    cutoffs = df.groupBy(*series_keys(df)).agg((F.max("timestamp") - back).alias("_cutoff"))
     return _within(df, cutoffs, F.col("timestamp") > F.col("_cutoff"))
 
 
 def last_period(df: DataFrame, period: str, asof=None) -> DataFrame:
-    """`5d`: each symbol's last 5 dates with bars. `2mo`, `1y`: calendar time to asof."""
+    """`5d`: each symbol's last 5 dates with bars. `2mo`, `1y`: calendar time to asof.
+
+    With `asof`, bars after it do not count.
+    """
     match = re.fullmatch(r"([1-9]\d*)(d|mo|y)", period)
     if not match:
         raise ValueError(f"unknown period: {period}")
@@ -68,35 +75,40 @@ def last_period(df: DataFrame, period: str, asof=None) -> DataFrame:
         if asof is None:
             raise ValueError(f"period {period} needs asof")
         return last_months(df, asof, n * (12 if unit == "y" else 1))
-    dates = df.select("symbol", F.to_date("timestamp").alias("_date")).distinct()
-    newest = Window.partitionBy("symbol").orderBy(F.desc("_date"))
+    df = df if asof is None else up_to(df, asof)
+    keys = series_keys(df)
+    dates = df.select(*keys, F.to_date("timestamp").alias("_date")).distinct()
+    newest = Window.partitionBy(*keys).orderBy(F.desc("_date"))
     dates = dates.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= n)
-    cutoffs = dates.groupBy("symbol").agg(F.min("_date").alias("_cutoff"))
+    cutoffs = dates.groupBy(*keys).agg(F.min("_date").alias("_cutoff"))
     return _within(df, cutoffs, F.to_date("timestamp") >= F.col("_cutoff"))
 
 
 def min_history(df: DataFrame, rows: int = 200) -> DataFrame:
     """Bars of symbols with at least `rows` of them."""
-    enough = df.groupBy("symbol").count().where(F.col("count") >= rows).select("symbol")
-    return df.join(sized_side(enough), "symbol", "left_semi")
+    keys = series_keys(df)
+    enough = df.groupBy(*keys).count().where(F.col("count") >= rows).select(*keys)
+    return df.join(sized_side(enough), keys, "left_semi")
 
 
 def time_split(df: DataFrame, days: int = 90) -> DataFrame:
     """`split` is test for bars within `days` of the symbol's last, else train."""
     back = F.make_dt_interval(days=F.lit(days))
-    cutoffs = df.groupBy("symbol").agg((F.max("timestamp") - back).alias("_cutoff"))
+    keys = series_keys(df)
+    cutoffs = df.groupBy(*keys).agg((F.max("timestamp") - back).alias("_cutoff"))
     side = F.when(F.col("timestamp") <= F.col("_cutoff"), "train").otherwise("test")
-    return df.join(sized_side(cutoffs), "symbol").select(*df.columns, side.alias("split"))
+    return df.join(sized_side(cutoffs), keys).select(*df.columns, side.alias("split"))
 
 
 def require_both_splits(df: DataFrame) -> DataFrame:
     """Rows of symbols that have both training and test rows."""
-    sides = df.groupBy("symbol").agg(
+    keys = series_keys(df)
+    sides = df.groupBy(*keys).agg(
         F.count_if(F.col("split") == "train").alias("train"),
         F.count_if(F.col("split") == "test").alias("test"),
     )
-    both = sides.where((F.col("train") > 0) & (F.col("test") > 0)).select("symbol")
-    return df.join(sized_side(both), "symbol", "left_semi")
+    both = sides.where((F.col("train") > 0) & (F.col("test") > 0)).select(*keys)
+    return df.join(sized_side(both), keys, "left_semi")
 
 
 def latest_n(df: DataFrame, n: int = 120) -> DataFrame:
@@ -105,10 +117,10 @@ def latest_n(df: DataFrame, n: int = 120) -> DataFrame:
         raise ValueError("n must be at least 1")
 
     def newest(d: DataFrame, *by) -> DataFrame:
-        w = Window.partitionBy("symbol", *by).orderBy(F.desc("timestamp"))
+        w = Window.partitionBy(*series_keys(df), *by).orderBy(F.desc("timestamp"))
         return d.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= n).drop("_rank")
 
-    if n > GROUP_LIMIT:
+    if n > int(df.sparkSession.conf.get(GROUP_LIMIT, "1000")):
         # No limit before the shuffle here: thin out slices of each symbol first.
         sliced = df.withColumn("_slice", F.pmod(F.xxhash64("timestamp"), F.lit(SALTS)))
         df = newest(sliced, "_slice").drop("_slice")

@@ -6,7 +6,9 @@ series with more than `max_rows` bars is cut into blocks of about that size:
 runs of whole calendar units (months, days, ...) found from a small count per
 (symbol, unit). The rows next to a block's edge, as many as the frame reaches
 back or ahead, are repeated into the neighbouring block, so each block computes
-exact values for its own rows. Nothing is sampled or dropped.
+exact values for its own rows. Nothing is sampled.
+
+A bar without a time has no place in a series: it never enters one, cut or not.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from barsmith.schema import series_keys
 from barsmith.session import scratch_table, sized_side
 
 MAX_SERIES_ROWS = 1_000_000
@@ -41,13 +44,14 @@ class SeriesPlan:
 
 
 def plan_series(
-    df: DataFrame, keys=("symbol",), max_rows: int = MAX_SERIES_ROWS
+    df: DataFrame, keys=None, max_rows: int = MAX_SERIES_ROWS
 ) -> SeriesPlan:
     """Count the rows of each series and cut those with more than `max_rows`.
 
     Runs one small job. On a store partitioned by symbol it reads no column data.
     """
-    keys = list(keys)
+    keys = list(keys or series_keys(df))
+    df = timed(df)
     long = df.groupBy(*keys).count().where(F.col("count") > max_rows).select(*keys)
     if long.isEmpty():
         return SeriesPlan(keys, max_rows)
@@ -84,6 +88,11 @@ def plan_series(
     return SeriesPlan(keys, max_rows, unit, units)
 
 
+def timed(df: DataFrame) -> DataFrame:
+    """Bars with a time."""
+    return df.where(F.col("timestamp").isNotNull())
+
+
 def _unit(unit: str) -> Column:
     return F.date_trunc(unit, F.col("timestamp"))
 
@@ -132,6 +141,7 @@ def over_series(
     plan: SeriesPlan | None = None,
 ) -> DataFrame:
     """Apply `compute(df, window)`, whose frames reach `back` and `ahead` rows."""
+    df = timed(df)
     plan = plan or plan_series(df)
     if not plan.split:
         return compute(df, Window.partitionBy(*plan.keys).orderBy("timestamp"))
@@ -142,6 +152,7 @@ def spread_windows(
     df: DataFrame, plan: SeriesPlan, back: int = 0, ahead: int = 0
 ) -> tuple[DataFrame, WindowSpec]:
     """The spread frame, and the window over one block of it."""
+    df = timed(df)
     window = Window.partitionBy(*plan.keys, BLOCK).orderBy("timestamp")
     return spread(df, plan, back, ahead), window
 
@@ -167,6 +178,7 @@ def next_in_series(rows: DataFrame, column: str, name: str, plan: SeriesPlan) ->
 
 def series_position(df: DataFrame, plan: SeriesPlan | None = None) -> DataFrame:
     """Add `position` (0-based, by time) and `length` of the row's series."""
+    df = timed(df)
     plan = plan or plan_series(df)
     if not plan.split:
         by_key = Window.partitionBy(*plan.keys)

@@ -8,10 +8,8 @@ from barsmith.operators.select import allow_symbols, last_period, reject_symbols
 from barsmith.operators.summary import latest_nested
 from barsmith.sources.raw import with_fallback
 
-# How far back the second source is asked, and how many of the
-# newest files make up a quick look at one symbol's folder.
+# How far back the second source is asked.
 FALLBACK_PERIODS = {"1h": "1d", "1d": "30d"}
-RECENT_FILES = {"1h": 20, "1d": 10}
 
 
 def latest_response(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from barsmith.operators.features import labelled_features
-from barsmith.operators.model import evaluate, train_models
+from barsmith.operators.model import evaluate, save_models, train_models
 from barsmith.operators.select import last_months, min_history, require_both_splits, time_split
 from barsmith.operators.series import plan_series
 from barsmith.session import scratch_table
@@ -48,6 +48,21 @@ def train_report(
     return models, report
 
 
+def train_run(
+    bars: DataFrame, asof, model_path: str, symbols: list[str] | None = None, dry_run: bool = False, **options
+) -> DataFrame:
+    """Train, save the models where the report says, and return the report.
+
+    `symbols` limits the universe. With `dry_run` nothing is saved.
+    """
+    if symbols is not None:
+        bars = bars.where(F.col("symbol").isin(symbols))
+    models, report = train_report(bars, asof, model_path=model_path, **options)
+    if not dry_run:
+        save_models(models, model_path)
+    return report
+
+
 def report_json(report: DataFrame) -> DataFrame:
     """One JSON document per symbol, so the report can be any size."""
     entry = F.to_json(F.struct("metrics", "model_path"), {"ignoreNullFields": "false"})

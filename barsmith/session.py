@@ -44,7 +44,9 @@ def scratch_dir(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = _local_roots.setdefault(app, tempfile.mkdtemp(prefix="barsmith-"))
+        if app not in _local_roots:
+            _local_roots[app] = tempfile.mkdtemp(prefix="barsmith-")
+        root = _local_roots[app]
     folder = f"{root.rstrip('/')}/barsmith-{app}"
     make_until_exit(spark, folder)
     return folder

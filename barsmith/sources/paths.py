@@ -21,15 +21,26 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def move(spark: SparkSession, source: str, target: str) -> None:
-    """Put a folder in the place of another one, which may be missing."""
-    fs, old = _open(spark, target)
-    _, new = _open(spark, source)
-    fs.delete(old, True)
-    fs.mkdirs(old.getParent())
-    if not fs.rename(new, old):
+    """Move a folder to a place that is free."""
+    fs, new = _open(spark, source)
+    _, place = _open(spark, target)
+    fs.mkdirs(place.getParent())
+    if not fs.rename(new, place):
         raise OSError(f"cannot move {source} to {target}")
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    fs, hadoop = _open(spark, path)
+    fs.create(hadoop, True).close()
+
+
+def names(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of the files and folders that match a glob pattern."""
+    fs, hadoop = _open(spark, pattern)
+    return sorted(str(s.getPath().getName()) for s in fs.globStatus(hadoop) or [])
+
+
 def make_until_exit(spark: SparkSession, path: str) -> None:
     """Create a folder that the driver removes when it exits."""
     fs, hadoop = _open(spark, path)

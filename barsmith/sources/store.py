@@ -10,22 +10,25 @@ tree per symbol; it suits a universe of at most some thousand symbols.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from barsmith.operators.bars import merge_bars
-from barsmith.operators.normalize import with_partitions
+from barsmith.operators.normalize import accepted, with_partitions
 from barsmith.operators.select import latest_n
 from barsmith.schema import BAR_COLUMNS, at, bar_schema, months_back
 from barsmith.session import scratch_table, setting, sized_side
-from barsmith.sources.paths import delete, exists, folders, move
+from barsmith.sources.paths import delete, exists, folders, move, names, touch
 
 # Touched partitions are pruned by literal values up to this many.
 LITERALS = 1000
 # Bars a symbol that trades on weekdays has in a month, at least.
 BARS_PER_MONTH = {"1d": 18, "1h": 110}
+RENAMES_AT_ONCE = 16
+ASIDE = "-old"
 
 
 @dataclass(frozen=True)
@@ -33,6 +36,11 @@ class Layout:
     by: str = "bucket"
     buckets: int = 16
 
+    @property
+    def mark(self) -> str:
+        """The name of the file in a store's folder that records its layout."""
+        return f"_layout-{self.by}-{self.buckets if self.by == 'bucket' else 0}"
+
     def columns(self, interval: str) -> list[str]:
         time = ["year", "month", "day"] if interval == "1h" else ["year", "month"]
         if self.by == "symbol":
@@ -56,7 +64,19 @@ class Layout:
         return schema
 
 
+def check_layout(spark, base: str, layout: Layout) -> bool:
+    """Whether the store has recorded this layout; an error if it has another one.
+
+    With another number of buckets reads would miss bars and updates double them.
+    """
+    marks = names(spark, f"{base.rstrip('/')}/_layout-*")
+    if marks and marks != [layout.mark]:
+        raise ValueError(f"the store at {base} has {marks[0]}, not {layout.mark}")
+    return bool(marks)
+
+
 def _scan(spark, base: str, interval: str, layout: Layout, ntz: bool, ignore_corrupt: bool) -> DataFrame:
+    check_layout(spark, base, layout)
     schema = layout.schema(interval, ntz)
     try:
         df = (
@@ -86,40 +106,49 @@ def read_bars(
     layout: Layout = Layout(),
     ntz: bool = False,
     ignore_corrupt: bool = False,
+    asof=None,
 ) -> DataFrame:
     """Canonical bars of one interval; an empty frame if there is no store.
 
-    `symbols`, `since` (inclusive) and `until` (exclusive) prune partitions.
+    `symbols`, `since` (inclusive), `until` (exclusive) and `asof` (inclusive) prune
+    partitions, hourly ones by day.
     """
     df = _scan(spark, base, interval, layout, ntz, ignore_corrupt)
-    month = F.col("year") * 12 + F.col("month")
+    if interval == "1h":
+        number = F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
+        folder = lambda m: F.year(m) * 10000 + F.month(m) * 100 + F.dayofmonth(m)
+    else:
+        number, folder = F.col("year") * 12 + F.col("month"), _month_number
     if symbols is not None:
         df = df.where(F.col("symbol").isin(symbols))
         if layout.by == "bucket":
             df = df.where(F.col("bucket").isin([layout.bucket(F.lit(s)) for s in symbols]))
     if since is not None:
         moment = at(df, since)
-        df = df.where((F.col("timestamp") >= moment) & (month >= _month_number(moment)))
+        df = df.where((F.col("timestamp") >= moment) & (number >= folder(moment)))
     if until is not None:
         moment = at(df, until)
-        df = df.where((F.col("timestamp") < moment) & (month <= _month_number(moment)))
+        df = df.where((F.col("timestamp") < moment) & (number <= folder(moment)))
+    if asof is not None:
+        moment = at(df, asof)
+        df = df.where((F.col("timestamp") <= moment) & (number <= folder(moment)))
     return df.select(*BAR_COLUMNS)
 
 
 def recent_bars(spark, base: str, interval: str, asof, months: int, **options) -> DataFrame:
-    """`read_bars` of the last calendar months before `asof`; older folders stay closed."""
-    return read_bars(spark, base, interval, since=months_back(asof, months), **options)
+    """`read_bars` of the last calendar months up to `asof`; other folders stay closed."""
+    return read_bars(spark, base, interval, since=months_back(asof, months), asof=asof, **options)
 
 
 def read_latest(spark, base: str, interval: str, n: int = 120, *, asof, **options) -> DataFrame:
-    """Each symbol's n newest bars, reading old partitions only where needed.
+    """Each symbol's n newest bars up to `asof`, reading old partitions only where needed.
 
     Most symbols have n bars in the months before `asof`. Of the older partitions
     only the symbol column is read, to find symbols that do not; their older bars
     are read then.
     """
     start = months_back(asof, n // BARS_PER_MONTH[interval] + 1)
-    newest = scratch_table(latest_n(read_bars(spark, base, interval, since=start, **options), n), "newest")
+    newest = scratch_table(latest_n(read_bars(spark, base, interval, since=start, asof=asof, **options), n), "newest")
     older = read_bars(spark, base, interval, until=start, **options)
     full = newest.groupBy("symbol").count().where(F.col("count") == n).select("symbol")
     short = sized_side(older.select("symbol").distinct().join(sized_side(full), "symbol", "left_anti"))
@@ -141,6 +170,7 @@ def write_bars(
     Merging small tasks would save no file here, only leave fewer of them to write
     all the folders, so it is off.
     """
+    recorded = check_layout(df.sparkSession, base, layout)
     columns = layout.columns(interval)
     order = [*columns, *[c for c in ("symbol", "timestamp") if c not in columns]]
     placed = layout.place(df.select(*BAR_COLUMNS), interval)
@@ -153,6 +183,8 @@ def write_bars(
             .partitionBy(*columns)
             .parquet(base)
         )
+    if not recorded or replace == "static":
+        touch(df.sparkSession, f"{base.rstrip('/')}/{layout.mark}")
 
 
 def plan_write(df: DataFrame) -> DataFrame:
@@ -216,22 +248,58 @@ def upsert_bars(
     """Merge a batch into the store: new bars are added, known ones replaced.
 
     The merged partitions are first written completely to a staging folder in the
-    store; then each staged folder takes the place of the old one. If the job dies
-    between, repeating it with the same `batch_id` moves the folders still staged.
-    Applying a batch twice leaves the store as it was after the first time.
+    store; then each old folder is moved aside and the staged one into its place, and
+    only after all moves are the old ones deleted. If the job dies between, the next
+    upsert, of whatever batch, first finishes the moves. Applying a batch twice leaves
+    the store as it was after the first time. Bars that `accepted` refuses are left out.
     """
+    recover(spark, base, interval, layout)
+    batch = accepted(batch)
     staged = f"{base.rstrip('/')}/_staging/{batch_id or uuid.uuid4().hex}"
-    if not exists(spark, f"{staged}/_SUCCESS"):
-        if not exists(spark, base):
-            existing = spark.createDataFrame([], bar_schema(ntz))
+    if not exists(spark, base):
+        existing = spark.createDataFrame([], bar_schema(ntz))
+    else:
+        existing = read_touched(spark, base, batch, interval, layout, ntz)
+    write_bars(merge_bars(existing, batch), staged, interval, layout, "static")
+    _publish(spark, base, staged, interval, layout)
+
+
+def recover(spark, base: str, interval: str, layout: Layout = Layout()) -> None:
+    """Finish what an upsert that died has staged completely; drop what it has not."""
+    check_layout(spark, base, layout)
+    for staged in folders(spark, f"{base.rstrip('/')}/_staging/*"):
+        if staged.endswith(ASIDE):
+            continue
+        if exists(spark, f"{staged}/_SUCCESS"):
+            _publish(spark, base, staged, interval, layout)
         else:
-            existing = read_touched(spark, base, batch, interval, layout, ntz)
-        write_bars(merge_bars(existing, batch), staged, interval, layout, "static")
+            delete(spark, staged)
+    for aside in folders(spark, f"{base.rstrip('/')}/_staging/*{ASIDE}"):
+        delete(spark, aside)
+
+
+def _publish(spark, base: str, staged: str, interval: str, layout: Layout) -> None:
+    """Put each staged folder in the place of the stored one, many at once.
+
+    At any moment a partition's old bars are in the store or aside, and its new ones
+    staged or in the store. A folder that is still staged has not been published, so
+    what is in its place is old.
+    """
     columns = layout.columns(interval)
-    for folder in folders(spark, "/".join([staged, *[f"{c}=*" for c in columns]])):
+
+    def publish(folder: str) -> None:
         partition = "/".join(folder.split("/")[-len(columns):])
-        move(spark, folder, f"{base.rstrip('/')}/{partition}")
+        place = f"{base.rstrip('/')}/{partition}"
+        if exists(spark, place):
+            move(spark, place, f"{staged}{ASIDE}/{partition}")
+        move(spark, folder, place)
+
+    with ThreadPoolExecutor(RENAMES_AT_ONCE) as pool:
+        list(pool.map(publish, folders(spark, "/".join([staged, *[f"{c}=*" for c in columns]]))))
+    if not check_layout(spark, base, layout):
+        touch(spark, f"{base.rstrip('/')}/{layout.mark}")
     delete(spark, staged)
+    delete(spark, f"{staged}{ASIDE}")
 
 
 def expire_bars(df: DataFrame, asof, days: int = 365) -> DataFrame:
@@ -252,6 +320,8 @@ def expire_store(
     gone = []
     for folder in folders(spark, f"{base.rstrip('/')}/{pattern}"):
         parts = dict(p.split("=", 1) for p in folder.split("/") if "=" in p)
+        if not (parts["year"].isdigit() and parts["month"].isdigit()):
+            continue  # bars without a time, of a store written by others
         if int(parts["year"]) * 12 + int(parts["month"]) < limit:
             delete(spark, folder)
             gone.append(folder)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barsmith.operators.bars import build_bars, dedupe_keep_last
-from barsmith.operators.normalize import normalize
+from barsmith.operators.normalize import accepted, normalize
 from barsmith.schema import raw_schema
 from barsmith.session import scratch_table
 from barsmith.sources.raw import RAW_OPTIONS
@@ -39,7 +39,8 @@ def stream_ingest(
 ) -> StreamingQuery:
     """Upsert every landing file not seen yet, then stop.
 
-    There is no watermark: a corrected bar counts however late it comes. A batch
+    There is no watermark: a corrected bar counts however late it comes. A bar without a
+    time or a price never enters, nor replaces a good one. A batch
     that is repeated after a failure has the same id, so the store takes it once.
     """
     raw = (
@@ -55,7 +56,7 @@ def stream_ingest(
     )
 
     def upsert(batch: DataFrame, epoch: int) -> None:
-        stamped = normalize(batch, interval, ntz=ntz, extra=["_file_time", "_file"])
+        stamped = accepted(normalize(batch, interval, ntz=ntz, extra=["_file_time", "_file"]))
         # Within a batch the newest file wins; within a file the tie-break does.
         newest = dedupe_keep_last(stamped, ["_file_time", "_file"]).drop("_file_time", "_file")
         _upsert_once(newest, epoch, base, interval, layout, ntz)

@@ -31,6 +31,8 @@ def to_spark(spark, *frames: pd.DataFrame):
     """Missing values become NULL, but for the symbol NAN they stay NaN."""
 
     def value(v, symbol):
+        if v is pd.NaT:
+            return None
         if isinstance(v, pd.Timestamp):
             return v.to_pydatetime()
         return None if isinstance(v, float) and np.isnan(v) and symbol != "NAN" else v

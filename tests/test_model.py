@@ -112,3 +112,21 @@ def test_cv_report(spark):
     assert got[["symbol", "fold"]].values.tolist() == [[s, f] for s in "AB" for f in (1, 2, 3)]
     a = got[got["symbol"] == "A"]
     assert a["n_train"].tolist() == [70, 140, 210] and a["n_test"].tolist() == [70, 70, 70]
+
+
+def test_missing_inputs_count_the_same_in_a_group_and_by_sums(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(300):
+        x = [float(v) for v in rng.normal(0, 1, len(FEATURES))]
+        label = int(x[0] + rng.normal() > 0)
+        if i % 10 == 0:
+            x[i % len(FEATURES)] = None if i % 20 else float("nan")
+        rows.append(("A", *x, None if i % 37 == 0 else label))
+    names = ", ".join(f"{f} double" for f in FEATURES)
+    frame = spark.createDataFrame([*rows, ("B", *[None] * len(FEATURES), 1)], f"symbol string, {names}, label int")
+    used = sum(all(v is not None and v == v for v in r) for r in rows)
+    group, sums = (M.train_models(frame, max_rows=n).collect() for n in (1000, 1))
+    assert [m["symbol"] for m in group] == [m["symbol"] for m in sums] == ["A"]
+    assert group[0]["n_train"] == sums[0]["n_train"] == used and group[0]["status"] == "ok"
+    assert np.allclose(group[0]["coef"], sums[0]["coef"], atol=1e-6)

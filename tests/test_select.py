@@ -5,6 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from barsmith.functions import scalar as S
+from barsmith.operators.features import add_features, returns
+from barsmith.operators.indicators import rsi
+from barsmith.operators.series import plan_series
 from barsmith.operators import normalize as N, select as L, summary as D
 from barsmith.schema import nan_to_null, require_columns
 from barsmith.session import scratch_dir, sized_side
@@ -155,3 +158,28 @@ def test_wide_to_long(spark):
 def test_nan_to_null(spark):
     df = spark.createDataFrame([(float("nan"), "x"), (1.0, "y")], "a double, b string")
     assert [r[0] for r in nan_to_null(df).collect()] == [None, 1.0]
+
+
+def test_nothing_after_asof(spark):
+    bars = to_spark(spark, walk("A", 400, 1))
+    for got in (L.last_months(bars, "2020-06-01", 2), L.last_period(bars, "5d", "2020-06-01"), L.last_period(bars, "1mo", "2020-06-01")):
+        assert got.agg(F.max("timestamp")).first()[0] == dt.datetime(2020, 6, 1)
+    assert L.last_period(bars, "5d", "2020-06-01").count() == 5
+
+
+def test_hourly_and_daily_bars_of_a_symbol_are_two_series(spark):
+    daily, hourly = walk("A", 40, 1), walk("A", 60, 2).assign(interval="1h")
+    both = to_spark(spark, daily, hourly)
+    apart = to_spark(spark, daily), to_spark(spark, hourly)
+    for f in (lambda d: L.latest_n(d, 4), lambda d: L.latest_n(d, 2000), lambda d: L.last_period(d, "3d"), lambda d: L.min_history(d, 50),
+              lambda d: L.time_split(d, 10), add_features, rsi):
+        want = sorted(map(str, [r for d in apart for r in f(d).collect()]))
+        assert sorted(map(str, f(both).collect())) == want
+
+
+def test_bars_without_a_time_enter_no_series(spark):
+    frame = walk("A", 400, 1)
+    bars = to_spark(spark, frame, frame.head(1).assign(timestamp=pd.NaT))
+    for rows in (1_000_000, 50):  # uncut, and cut into blocks
+        got = returns(bars, plan=plan_series(bars, max_rows=rows))
+        assert got.count() == 400 and got.where("ret1 is not null").count() == 399

@@ -6,7 +6,7 @@ import pytest
 from barsmith.operators import bars as B
 from barsmith.plans.sql import register_views
 from barsmith.sources import raw as R, store as P
-from barsmith.sources.paths import delete, exists, move
+from barsmith.sources.paths import move
 from helpers import same, to_spark, walk
 
 LAYOUTS = [P.Layout(by="symbol"), P.Layout(buckets=3)]
@@ -48,7 +48,7 @@ def test_read_latest_goes_back_only_where_needed(spark, tmp_path, layout):
     frames = [walk("A", 400, 1), walk("OLD", 30, 2), walk("FEW", 9, 3, start="2021-01-20")]
     base = str(tmp_path / "store")
     P.write_bars(to_spark(spark, *frames), base, "1d", layout)
-    for n, asof in ((5, "2021-02-03"), (50, "2021-02-03"), (350, "2021-02-03")):
+    for n, asof in ((5, "2021-02-04"), (50, "2021-02-04"), (350, "2021-02-04")):
         got = P.read_latest(spark, base, "1d", n, asof=asof, layout=layout, ntz=True)
         same(got.toPandas(), pd.concat([f.tail(n) for f in frames]))
 
@@ -76,30 +76,69 @@ def test_upsert_leaves_other_files_alone(spark, tmp_path, layout):
     assert len(kept) == len(files) - 1
 
 
-def test_upsert_finishes_after_a_crash(spark, tmp_path, layout, monkeypatch):
-    """The old partitions are gone and not all new ones there: repeat the batch."""
-    base = str(tmp_path / "store")
+def test_upsert_survives_a_crash_at_every_move(spark, tmp_path, layout, monkeypatch):
+    """After a crash at any move no bar is lost, and any later upsert makes the store whole."""
     old = walk("A", 60, 1)
     batch = old[old["timestamp"] >= "2020-01-28"].assign(close=1.0)
-    want = pd.concat([old[old["timestamp"] < "2020-01-28"], batch])
+    later = walk("B", 3, 2)
+    want = pd.concat([old[old["timestamp"] < "2020-01-28"], batch, later])
+    for stop in range(1, 5):
+        base, moved = str(tmp_path / f"store{stop}"), []
+        P.write_bars(to_spark(spark, old), base, "1d", layout)
+
+        def dies(spark, source, target):
+            moved.append(target)
+            if len(moved) >= stop:
+                raise OSError("lost")
+            move(spark, source, target)
+
+        monkeypatch.setattr(P, "move", dies)
+        monkeypatch.setattr(P, "RENAMES_AT_ONCE", 1)
+        with pytest.raises(OSError):
+            P.upsert_bars(spark, base, to_spark(spark, batch), "1d", layout, ntz=True)
+        monkeypatch.setattr(P, "move", move)
+        P.upsert_bars(spark, base, to_spark(spark, later), "1d", layout, ntz=True)
+        same(read(spark, base, layout).toPandas(), want)
+        assert os.listdir(f"{base}/_staging") == []
+
+
+def test_half_written_staging_is_dropped(spark, tmp_path, layout):
+    base, old = str(tmp_path / "store"), walk("A", 40, 1)
+    P.write_bars(to_spark(spark, old), base, "1d", layout)
+    P.write_bars(to_spark(spark, old.tail(2).assign(close=1.0)), f"{base}/_staging/x", "1d", layout, "static")
+    os.remove(f"{base}/_staging/x/_SUCCESS")
+    P.upsert_bars(spark, base, to_spark(spark, walk("B", 3, 2)), "1d", layout, ntz=True)
+    same(read(spark, base, layout).toPandas(), pd.concat([old, walk("B", 3, 2)]))
+
+
+def test_another_layout_is_refused(spark, tmp_path):
+    base, bars = str(tmp_path / "store"), to_spark(spark, walk("A", 40, 1))
+    P.upsert_bars(spark, base, bars, "1d", P.Layout(buckets=4), ntz=True)
+    assert read(spark, base, P.Layout(buckets=4)).count() == 40
+    for other in (P.Layout(), P.Layout(by="symbol")):
+        for use in (lambda: read(spark, base, other), lambda: P.upsert_bars(spark, base, bars, "1d", other, ntz=True),
+                    lambda: P.write_bars(bars, base, "1d", other)):
+            with pytest.raises(ValueError, match="layout"):
+                use()
+
+
+def test_bad_bars_never_replace_good_ones(spark, tmp_path, layout):
+    base, old = str(tmp_path / "store"), walk("A", 40, 1)
     P.write_bars(to_spark(spark, old), base, "1d", layout)
-    moved = []
-
-    def dies(spark, source, target):
-        if moved:
-            delete(spark, target)
-            raise OSError("lost")
-        moved.append(target)
-        move(spark, source, target)
-
-    monkeypatch.setattr(P, "move", dies)
-    with pytest.raises(OSError):
-        P.upsert_bars(spark, base, to_spark(spark, batch), "1d", layout, ntz=True, batch_id="b1")
-    assert read(spark, base, layout).count() < 60
-    monkeypatch.setattr(P, "move", move)
-    P.upsert_bars(spark, base, to_spark(spark, batch), "1d", layout, ntz=True, batch_id="b1")
-    same(read(spark, base, layout).toPandas(), want)
-    assert not exists(spark, f"{base}/_staging/b1")
+    bad = to_spark(spark, old.tail(2).assign(close=float("nan")), old.head(1).assign(timestamp=pd.NaT))
+    P.upsert_bars(spark, base, bad, "1d", layout, ntz=True)
+    same(read(spark, base, layout).toPandas(), old)
+
+
+def test_hourly_scans_prune_days(spark, tmp_path):
+    base, layout = str(tmp_path / "store"), P.Layout(buckets=2)
+    frame = walk("A", 300, 1).assign(interval="1h")
+    frame["timestamp"] = pd.date_range("2020-01-01", periods=300, freq="h")
+    P.write_bars(to_spark(spark, frame), base, "1h", layout)
+    got = P.read_bars(spark, base, "1h", since="2020-01-05 06:00:00", asof="2020-01-06 02:00:00", layout=layout, ntz=True)
+    same(got.toPandas(), frame[(frame["timestamp"] >= "2020-01-05 06:00") & (frame["timestamp"] <= "2020-01-06 02:00")])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "day" in plan[plan.index("PartitionFilters"): plan.index("PushedFilters")]
 
 
 def test_missing_store_is_empty(spark, tmp_path):
