@@ -516,3 +516,37 @@ SQL = {
         [DAILY], f'SELECT symbol, "timestamp", close, volume FROM daily QUALIFY {NEWEST} <= 5'
     ),
 }
+
+
+def past(name: str) -> str:
+    """A twin as of an earlier day, with no trade after it."""
+    cut = "FROM trade WHERE ts <= TIMESTAMP '1999-06-15' GROUP BY symbol"
+    return SQL[name].replace("2001-11-04", "1999-06-15").replace("FROM trade GROUP BY symbol", cut)
+
+
+SQL |= {f"{name}_past": past(name) for name in ("last_months", "recent_bars", "score_latest", "training_split")}
+SQL |= {
+    "upsert_after_crash": ALL_MERGED,
+    "rejected_bars": sql(
+        [DAILY],
+        """SELECT symbol, CASE WHEN day("timestamp") = 13 THEN 'unreadable price'
+            ELSE 'no time, symbol or interval' END AS reason, count(*) AS bars
+        FROM daily WHERE day("timestamp") IN (13, 14) GROUP BY ALL""",
+    ),
+    "ingest_backfill_hourly": sql(
+        [HOURLY],
+        f"""SELECT {BAR} FROM hourly QUALIFY dense_rank() OVER (
+            PARTITION BY symbol ORDER BY CAST("timestamp" AS DATE) DESC) <= 30""",
+    ),
+    "ingest_update_hourly": sql(
+        [HOURLY],
+        f"""SELECT {BAR} FROM hourly JOIN (
+            SELECT symbol, max("timestamp") AS newest FROM hourly GROUP BY symbol) USING (symbol)
+        WHERE "timestamp" > newest - INTERVAL 12 HOUR AND CAST("timestamp" AS DATE) = CAST(newest AS DATE)""",
+    ),
+    "latest_n_of_both_intervals": sql(
+        [HOURLY, RESAMPLED],
+        f"""SELECT {BAR} FROM (SELECT * FROM hourly UNION ALL SELECT * FROM resampled)
+        QUALIFY row_number() OVER (PARTITION BY symbol, "interval" ORDER BY "timestamp" DESC) <= 4""",
+    ),
+}

@@ -14,7 +14,7 @@ from barsmith.functions import scalar as S
 from barsmith.operators import bars as B, features as X, indicators as I, model as M
 from barsmith.operators import normalize as N, select as L, summary as D
 from barsmith.operators.series import plan_series
-from barsmith.plans.ingest import ingest
+from barsmith.plans.ingest import ingest, ingest_rejects
 from barsmith.plans.latest import latest_response as respond
 from barsmith.plans.scoring import score_latest as score
 from barsmith.plans.sql import register_views
@@ -760,3 +760,84 @@ def stream_hourly_bars(spark, folder):
             readings(events), base, scratch_path(spark, "checkpoint"), layout=BY_BUCKET, ntz=True
         ).awaitTermination()
     return P.read_bars(spark, base, "1h", layout=BY_BUCKET, ntz=True)
+
+
+# --- as of a past day, after a crash, with bad rows, and hourly -------------
+
+PAST = "1999-06-15"
+
+
+@query
+def last_months_past(spark, folder):
+    return L.last_months(daily(spark, folder), PAST, 12)
+
+
+@query
+def recent_bars_past(spark, folder):
+    return P.recent_bars(spark, daily_store(spark, folder), "1d", PAST, 12, layout=BY_BUCKET, ntz=True)
+
+
+@query
+def score_latest_past(spark, folder):
+    return rounded(score(daily(spark, folder), fixed_models(spark, folder), PAST), ["prob_up"])
+
+
+@query
+def training_split_past(spark, folder):
+    return key_and(training_rows(daily(spark, folder), PAST), "label", "split")
+
+
+@query
+def upsert_after_crash(spark, folder):
+    """The corrections are staged in full, and the job dies before it publishes them."""
+    base = scratch_path(spark, "prices_1d")
+    P.write_bars(stored_until(spark, folder), base, "1d", BY_BUCKET)
+    existing = P.read_touched(spark, base, corrections(spark, folder), "1d", BY_BUCKET, ntz=True)
+    merged = B.merge_bars(existing, corrections(spark, folder))
+    P.write_bars(merged, f"{base}/_staging/died", "1d", BY_BUCKET, "static")
+    P.recover(spark, base, "1d", BY_BUCKET)
+    return P.read_bars(spark, base, "1d", layout=BY_BUCKET, ntz=True)
+
+
+@query
+def rejected_bars(spark, folder):
+    """Landed bars of the 13th have no closing price, those of the 14th no readable date."""
+    raw = as_raw(daily(spark, folder))
+    day = F.substring("Date", 9, 2)
+    raw = raw.withColumn("Close", F.when(day != "13", F.col("Close")))
+    raw = raw.withColumn("Date", F.when(day == "14", "unknown").otherwise(F.col("Date")))
+    landing = land(raw, scratch_path(spark, "landing"), "csv")
+    found = ingest_rejects(spark, landing, "1d", "csv", ntz=True)
+    return found.groupBy("symbol", "reason").agg(F.count("*").alias("bars"))
+
+
+def land_hourly(spark, folder):
+    times = hourly(spark, folder).select(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("Datetime"), "*")
+    raw = times.select(
+        "Datetime",
+        *[F.col(c).alias(c.capitalize()) for c in ("open", "high", "low", "close")],
+        F.col("close").alias("Adj Close"),
+        F.col("volume").alias("Volume"),
+        F.col("symbol").alias("Ticker"),
+    )
+    return land(raw, scratch_path(spark, "landing"), "csv")
+
+
+@query
+def ingest_backfill_hourly(spark, folder):
+    base = scratch_path(spark, "prices_1h")
+    ingest(spark, land_hourly(spark, folder), base, "1h", "backfill", layout=BY_BUCKET, ntz=True)
+    return P.read_bars(spark, base, "1h", layout=BY_BUCKET, ntz=True)
+
+
+@query
+def ingest_update_hourly(spark, folder):
+    base = scratch_path(spark, "prices_1h")
+    ingest(spark, land_hourly(spark, folder), base, "1h", "update", layout=BY_BUCKET, ntz=True)
+    return P.read_bars(spark, base, "1h", layout=BY_BUCKET, ntz=True)
+
+
+@query
+def latest_n_of_both_intervals(spark, folder):
+    bars = hourly(spark, folder)
+    return L.latest_n(bars.unionByName(B.resample(bars, "1d").select(*bars.columns)), 4)
