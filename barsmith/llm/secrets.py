@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from barsmith.llm.common import fresh
 from barsmith.llm.spans import digest, matches
+from barsmith.session import scratch_table
 from barsmith.sources.paths import exists
 
 
@@ -111,6 +112,8 @@ def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> D
         )
     else:
         pending = stands.withColumn("rules", names)
+    # written, so that the scan stays behind the join: each blob is scanned at one path only
+    pending = scratch_table(pending, "pending")
     texts = plain.select("blob", row.alias("row"), "text").join(pending.hint("shuffle_hash"), ["blob", "row"])
     every = [
         F.when(F.array_contains("rules", f"{r.kind}@{r.version}"), found_by(r, F.col("text"))).otherwise(
