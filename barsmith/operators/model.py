@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from barsmith.functions.scalar import signal, sigmoid
 from barsmith.operators.series import SeriesPlan, series_position
 from barsmith.schema import FEATURES, model_schema
-from barsmith.session import scratch_table, sized_side
+from barsmith.session import discard, scratch_table, sized_side
 
 # The functions that run in tasks travel with the job; executors need not have
 # this package installed.
@@ -105,10 +105,9 @@ def train_models(df: DataFrame, keys=("symbol",), max_rows: int = MAX_FIT_ROWS)
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         return _fit_group(group, keys)
 
-    large = rows.groupBy(*keys).count().where(F.col("count") > max_rows).select(*keys)
-    if large.isEmpty():
+    side = sized_side(rows.groupBy(*keys).count().where(F.col("count") > max_rows).select(*keys))
+    if side.isEmpty():
         return rows.groupBy(*keys).applyInPandas(fit, schema)
-    side = sized_side(large)
     usual = rows.join(side, keys, "left_anti").groupBy(*keys).applyInPandas(fit, schema)
     return usual.unionByName(_train_large(rows.join(side, keys, "left_semi"), keys, schema))
 
@@ -157,8 +156,10 @@ def _train_large(rows: DataFrame, keys: list[str], schema: T.StructType) -> Data
         if state.where("not done").isEmpty():
             break
         sums = _loss_sums(rows, state.where("not done"), keys)
-        state = state.join(sums, keys, "left").mapInPandas(advance, state_schema)
-        state = scratch_table(state, "large-state")
+        before = state
+        state = scratch_table(state.join(sums, keys, "left").mapInPandas(advance, state_schema), "large-state")
+        discard(before)
+    discard(rows)
 
     def finish(batches):
         for batch in batches:

@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from barsmith.schema import series_keys
-from barsmith.session import scratch_table, sized_side
+from barsmith.session import discard, scratch_table, sized_side
 
 MAX_SERIES_ROWS = 1_000_000
 # A unit may hold at most this share of a block; the repeated rows are whole units.
@@ -48,20 +48,19 @@ def plan_series(
 ) -> SeriesPlan:
     """Count the rows of each series and cut those with more than `max_rows`.
 
-    Runs one small job. On a store partitioned by symbol it reads no column data.
+    One count of the rows if no series is that long; on a store partitioned by symbol it
+    reads no column data.
     """
     keys = list(keys or series_keys(df))
     df = timed(df)
-    long = df.groupBy(*keys).count().where(F.col("count") > max_rows).select(*keys)
+    long = sized_side(df.groupBy(*keys).count().where(F.col("count") > max_rows).select(*keys))
     if long.isEmpty():
         return SeriesPlan(keys, max_rows)
 
-    rows = df.join(sized_side(long), keys, "left_semi")
+    # The rows are counted once, by the finest unit; the others add those counts up.
+    finest = scratch_table(_count(df.join(long, keys, "left_semi"), keys, "timestamp", UNITS[-1], F.count("*")))
     for unit in UNITS:
-        counts = scratch_table(
-            rows.groupBy(*keys, _unit(unit).alias("_unit")).agg(F.count("*").alias("n")),
-            "series-units",
-        )
+        counts = _count(finest, keys, "_unit", unit, F.sum("n"))
         largest = counts.agg(F.max("n")).first()[0]
         if largest <= max(max_rows // UNIT_SHARE, 1):
             break
@@ -85,6 +84,7 @@ def plan_series(
         ),
         "series-blocks",
     )
+    discard(finest)
     return SeriesPlan(keys, max_rows, unit, units)
 
 
@@ -93,8 +93,13 @@ def timed(df: DataFrame) -> DataFrame:
     return df.where(F.col("timestamp").isNotNull())
 
 
-def _unit(unit: str) -> Column:
-    return F.date_trunc(unit, F.col("timestamp"))
+def _unit(unit: str, moment: str = "timestamp") -> Column:
+    return F.date_trunc(unit, F.col(moment))
+
+
+def _count(df: DataFrame, keys: list[str], moment: str, unit: str, rows: Column) -> DataFrame:
+    """Rows `n` of each series and calendar unit."""
+    return df.select("*", _unit(unit, moment).alias("_in")).groupBy(*keys, F.col("_in").alias("_unit")).agg(rows.alias("n"))
 
 
 def spread(df: DataFrame, plan: SeriesPlan, back: int = 0, ahead: int = 0) -> DataFrame:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from barsmith.functions.scalar import format_compact, format_pct, format_usd, iso_utc
 from barsmith.operators.select import latest_n
-from barsmith.schema import PRICES, nan_to_null, require_columns
+from barsmith.schema import PRICES, nan_to_null, require_columns, series_keys
 
 
 def to_candles(df: DataFrame) -> DataFrame:
@@ -31,19 +31,19 @@ def latest_nested(df: DataFrame, n: int = 120) -> DataFrame:
 
 
 def market_summary(df: DataFrame, n: int = 120) -> DataFrame:
-    """Last price, change on the bar before in percent, and volume of n bars."""
-    shown = nan_to_null(latest_n(df, n))
-    # At most n bars per symbol are left, so the two last closes fit in a list.
-    closes = F.reverse(F.sort_array(F.collect_list(F.struct("timestamp", "close"))))
-    per_symbol = shown.groupBy("symbol").agg(
-        closes.alias("closes"),
+    """Of each series the last price, change on the bar before in percent, and volume of n bars."""
+    keys = series_keys(df)
+    by_time = Window.partitionBy(*keys).orderBy("timestamp")
+    shown = nan_to_null(latest_n(df, n)).withColumn("_before", F.lag("close").over(by_time))
+    per_series = shown.groupBy(*keys).agg(
+        F.max_by(F.struct("close", "_before"), "timestamp").alias("newest"),
         F.sum(F.coalesce("volume", F.lit(0.0))).alias("total_volume"),
         F.count("*").alias("bars"),
     )
-    last = F.col("closes")[0]["close"]
-    before = F.coalesce(F.get("closes", 1)["close"], last)
-    return per_symbol.select(
-        "symbol",
+    last = F.col("newest.close")
+    before = F.coalesce("newest._before", last)
+    return per_series.select(
+        *keys,
         "bars",
         last.alias("last_price"),
         F.coalesce(F.try_divide(last - before, before) * 100, F.lit(0.0)).alias("change_pct"),

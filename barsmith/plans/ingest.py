@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barsmith.operators.normalize import accepted, rejects
 from barsmith.operators.select import last_hours, last_period
-from barsmith.session import scratch_table
+from barsmith.session import discard, scratch_table
 from barsmith.sources.raw import raw_bars
 from barsmith.sources.store import Layout, plan_write, upsert_bars, write_summary
 
@@ -42,13 +42,14 @@ def ingest(
     bars = raw_bars(spark, landing, fmt, interval, ntz=ntz)
     if symbols is not None:
         bars = bars.where(F.col("symbol").isin(symbols))
-    bars = scratch_table(accepted(bars), "landed")
-    bars = last_period(bars, (BACKFILL if kind == "backfill" else UPDATE)[interval], asof)
+    landed = scratch_table(accepted(bars), "landed")
+    bars = last_period(landed, (BACKFILL if kind == "backfill" else UPDATE)[interval], asof)
     if kind == "update" and interval == "1h":
         bars = last_hours(bars, hours)
     if dry_run:
         return plan_write(bars)
     upsert_bars(spark, base, bars, interval, layout, ntz)
+    discard(landed)
     return write_summary(spark, base, interval, layout, ntz)
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barsmith.operators.select import allow_symbols, last_period, reject_symbols
 from barsmith.operators.summary import latest_nested
 from barsmith.sources.raw import with_fallback
+from barsmith.sources.store import read_latest
 
 # How far back the second source is asked.
 FALLBACK_PERIODS = {"1h": "1d", "1d": "30d"}
@@ -36,3 +37,20 @@ def latest_response(
     )
     refused = reject_symbols(asked, universe).withColumn("interval", F.lit(interval))
     return answered.unionByName(refused, allowMissingColumns=True)
+
+
+def stored_response(
+    spark: SparkSession,
+    requests: DataFrame,
+    universe: DataFrame,
+    base: str,
+    second: DataFrame | None = None,
+    interval: str = "1h",
+    n: int = 120,
+    *,
+    asof,
+    **options,
+) -> DataFrame:
+    """`latest_response` from the store's newest bars up to `asof`."""
+    bars = read_latest(spark, base, interval, n, asof=asof, **options)
+    return latest_response(requests, universe, bars, second, interval, n)

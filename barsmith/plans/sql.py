@@ -10,8 +10,11 @@ from barsmith.sources.store import read_bars
 def register_views(spark: SparkSession, stores: dict[str, str], **options) -> list[str]:
     """Temporary views `bars_1d`, `bars_1h` over {interval: folder}; query with `spark.sql`.
 
-    A view is read when it is queried; its filters prune as in `read_bars`.
+    A view has the columns of a bar and those of the store's folders. Filters on year, month,
+    day, and bucket or symbol, open only the folders they name; a filter on the timestamp
+    alone opens them all. For views of some symbols or of a time, give `symbols`, `since`,
+    `until` or `asof` as to `read_bars`: these always prune.
     """
     for interval, base in stores.items():
-        read_bars(spark, base, interval, **options).createOrReplaceTempView(f"bars_{interval}")
+        read_bars(spark, base, interval, folders=True, **options).createOrReplaceTempView(f"bars_{interval}")
     return [f"bars_{interval}" for interval in stores]

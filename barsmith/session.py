@@ -8,7 +8,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barsmith.sources.paths import make_until_exit
+from barsmith.sources.paths import delete, make_until_exit
 
 _local_roots: dict[str, str] = {}
 
@@ -66,7 +66,14 @@ def scratch_table(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._scratch = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a scratch table before the driver exits; nothing may read it any more."""
+    delete(table.sparkSession, table._scratch)
 
 
 def sized_side(df: DataFrame) -> DataFrame:
@@ -76,6 +83,6 @@ def sized_side(df: DataFrame) -> DataFrame:
     with the number of symbols. Written first, they are broadcast only if their
     files are below `spark.sql.autoBroadcastJoinThreshold`, and then the bars are
     not shuffled at all. Beyond it both sides are shuffled, and adaptive execution
-    splits the partitions of hot keys.
+    splits the partitions of hot keys. A scratch table is taken as it is.
     """
-    return scratch_table(df, "side")
+    return df if "_scratch" in vars(df) else scratch_table(df, "side")

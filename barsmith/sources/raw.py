@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barsmith.operators.normalize import normalize
@@ -14,8 +15,17 @@ RAW_OPTIONS = {"header": True, "enforceSchema": False}
 
 
 def read_raw(spark: SparkSession, path: str, fmt: str = "parquet", interval: str = "1d") -> DataFrame:
-    """Raw bars with the provider's column names. The schema is never inferred."""
-    return spark.read.schema(raw_schema(interval)).options(**RAW_OPTIONS).format(fmt).load(path)
+    """Raw bars with the provider's column names; none if there is no such folder.
+
+    The schema is never inferred.
+    """
+    schema = raw_schema(interval)
+    try:
+        return spark.read.schema(schema).options(**RAW_OPTIONS).format(fmt).load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def raw_bars(spark, path: str, fmt: str = "parquet", interval: str = "1d", zone=None, ntz=False) -> DataFrame:
@@ -42,8 +52,17 @@ def recent_files(spark: SparkSession, path: str, n: int) -> list[str]:
     return [row["path"] for row in newest.collect()]
 
 
-def read_recent_files(spark: SparkSession, path: str, n: int, schema=None) -> DataFrame:
-    """Only the n newest files of a Parquet folder, with its partition columns."""
-    reader = spark.read.option("basePath", path)
+def read_recent_files(
+    spark: SparkSession, path: str, n: int, schema=None, ignore_corrupt: bool = False
+) -> DataFrame:
+    """Only the n newest files of a Parquet folder, with its partition columns.
+
+    With `ignore_corrupt` files that cannot be read count as empty. A folder without
+    files gives an empty frame of the schema, or one without columns.
+    """
+    files = recent_files(spark, path, n)
+    if not files:
+        return spark.createDataFrame([], schema or "")
+    reader = spark.read.options(basePath=path, ignoreCorruptFiles=ignore_corrupt)
     reader = reader.schema(schema) if schema else reader
-    return reader.parquet(*recent_files(spark, path, n))
+    return reader.parquet(*files)

@@ -107,10 +107,11 @@ def read_bars(
     ntz: bool = False,
     ignore_corrupt: bool = False,
     asof=None,
+    folders: bool = False,
 ) -> DataFrame:
     """Canonical bars of one interval; an empty frame if there is no store.
 
-    `symbols`, `since` (inclusive), `until` (exclusive) and `asof` (inclusive) prune
+    With `folders` the partition columns (year, month and so on) come too. `symbols`, `since` (inclusive), `until` (exclusive) and `asof` (inclusive) prune
     partitions, hourly ones by day.
     """
     df = _scan(spark, base, interval, layout, ntz, ignore_corrupt)
@@ -132,7 +133,8 @@ def read_bars(
     if asof is not None:
         moment = at(df, asof)
         df = df.where((F.col("timestamp") <= moment) & (number <= folder(moment)))
-    return df.select(*BAR_COLUMNS)
+    more = [c for c in layout.columns(interval) if c not in BAR_COLUMNS] if folders else []
+    return df.select(*BAR_COLUMNS, *more)
 
 
 def recent_bars(spark, base: str, interval: str, asof, months: int, **options) -> DataFrame:
@@ -212,7 +214,8 @@ def read_touched(
 
     A batch usually touches few dates, so those (and the symbols or buckets, if
     few) become literal filters, which prune for certain. The semi-join then
-    keeps exactly the touched combinations.
+    keeps exactly the touched combinations; where they are too many for literals,
+    Spark prunes by the joined side at run time.
     """
     columns = layout.columns(interval)
     touched = sized_side(touched_partitions(batch, interval, layout))
@@ -222,7 +225,8 @@ def read_touched(
         values = touched.select(*names).distinct().limit(LITERALS + 1).collect()
         if 0 < len(values) <= LITERALS:
             df = df.where(_any_of(names, values))
-    return df.join(touched, columns, "left_semi").select(*BAR_COLUMNS)
+    # Spark prunes at run time by a side that has a filter, whatever it lets through.
+    return df.join(touched.where(F.col("year") > -1), columns, "left_semi").select(*BAR_COLUMNS)
 
 
 def _any_of(names: list[str], rows: list) -> Column:

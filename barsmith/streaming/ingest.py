@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from barsmith.operators.bars import build_bars, dedupe_keep_last
 from barsmith.operators.normalize import accepted, normalize
 from barsmith.schema import raw_schema
-from barsmith.session import scratch_table
+from barsmith.session import discard, scratch_table
 from barsmith.sources.raw import RAW_OPTIONS
 from barsmith.sources.store import Layout, upsert_bars
 
@@ -24,6 +24,7 @@ def _upsert_once(batch: DataFrame, epoch: int, base: str, interval: str, layout:
     stored = scratch_table(batch, "batch")
     if not stored.isEmpty():
         upsert_bars(spark, base, stored, interval, layout, ntz, batch_id=f"{query}-{epoch}")
+    discard(stored)
 
 
 def stream_ingest(
@@ -82,7 +83,8 @@ def stream_bars(
     """Build bars from a tick stream and keep the store up to date.
 
     Each batch emits the bars it changed, in full, and upserts them. Ticks more
-    than `delay` behind the newest one no longer change their bar.
+    than `delay` behind the newest one may no longer change their bar: `dropped` counts
+    what was left out, and `rebuild_bars` repairs such bars from stored ticks.
     """
     bars = build_bars(ticks.withWatermark("timestamp", delay), interval, order)
 
@@ -98,3 +100,30 @@ def stream_bars(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def dropped(query: StreamingQuery) -> int:
+    """What the query's recent batches left out as too late.
+
+    Spark counts after the tasks' own sums: several ticks of one bar in a task are one.
+    """
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )
+
+
+def rebuild_bars(
+    ticks: DataFrame,
+    base: str,
+    interval: str = "1h",
+    order=("timestamp",),
+    layout: Layout = Layout(),
+    ntz: bool = False,
+) -> None:
+    """Replace stored bars by those of the ticks, late ones included; give whole bars' ticks."""
+    bars = build_bars(ticks, interval, order)
+    if ntz:
+        bars = bars.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    upsert_bars(ticks.sparkSession, base, bars, interval, layout, ntz)

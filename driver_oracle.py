@@ -550,3 +550,24 @@ SQL |= {
         QUALIFY row_number() OVER (PARTITION BY symbol, "interval" ORDER BY "timestamp" DESC) <= 4""",
     ),
 }
+SQL |= {name: ALL_DAILY for name in ("two_level_columns", "lower_columns", "required_columns", "corrupt_files", "missing_sources")}
+SQL |= {
+    "broken_predictions": sql(S, 'SELECT symbol, "timestamp" FROM scored WHERE day("timestamp") IN (13, 14)'),
+    "repeated_batch": ALL_MERGED,
+    "rebuilt_bars": ALL_HOURLY,
+    "stored_response": sql(
+        [DAILY, UNIVERSE],
+        f"""SELECT symbol, '1d' AS "interval", NULL::VARCHAR AS error,
+        strftime("timestamp", '%Y-%m-%dT%H:%M:%S') || '+00:00' AS "timestamp", open, high, low, close, volume
+        FROM daily WHERE symbol IN (SELECT symbol FROM universe) QUALIFY {NEWEST} <= 20
+        UNION ALL
+        SELECT DISTINCT symbol, '1d', 'symbol not allowed', NULL, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE,
+               NULL::DOUBLE, NULL::DOUBLE
+        FROM daily WHERE symbol NOT IN (SELECT symbol FROM universe)""",
+    ),
+    "sql_month": sql(
+        [DAILY],
+        """SELECT symbol, "timestamp", close FROM daily
+        WHERE "timestamp" >= TIMESTAMP '2000-03-01' AND "timestamp" < TIMESTAMP '2000-04-01'""",
+    ),
+}

@@ -15,15 +15,15 @@ from barsmith.operators import bars as B, features as X, indicators as I, model
 from barsmith.operators import normalize as N, select as L, summary as D
 from barsmith.operators.series import plan_series
 from barsmith.plans.ingest import ingest, ingest_rejects
-from barsmith.plans.latest import latest_response as respond
+from barsmith.plans.latest import latest_response as respond, stored_response as respond_from_store
 from barsmith.plans.scoring import score_latest as score
 from barsmith.plans.sql import register_views
 from barsmith.plans.training import report_json, train_report, training_rows
-from barsmith.schema import BAR_COLUMNS, FEATURE_COLUMNS, FEATURES, bar_schema
+from barsmith.schema import BAR_COLUMNS, FEATURE_COLUMNS, FEATURES, bar_schema, require_columns
 from barsmith.session import configure, scratch_path, scratch_table, setting
 from barsmith.sources import raw as R, store as P
 from barsmith.sources.ticks import TRADE_ORDER, readings, trades
-from barsmith.streaming.ingest import stream_bars, stream_ingest
+from barsmith.streaming.ingest import rebuild_bars, stream_bars, stream_ingest
 
 ASOF = "2001-11-04"
 BY_SYMBOL = P.Layout(by="symbol")
@@ -684,7 +684,7 @@ def cv_report(spark, folder):
 
 @query
 def market_summary(spark, folder):
-    return rounded(D.market_summary(daily(spark, folder)), ["change_pct"])
+    return rounded(D.market_summary(daily(spark, folder)), ["change_pct"]).drop("interval")
 
 
 @query
@@ -841,3 +841,99 @@ def ingest_update_hourly(spark, folder):
 def latest_n_of_both_intervals(spark, folder):
     bars = hourly(spark, folder)
     return L.latest_n(bars.unionByName(B.resample(bars, "1d").select(*bars.columns)), 4)
+
+
+# --- the rest of the sources and checks --------------------------------------
+
+
+@query
+def two_level_columns(spark, folder):
+    """Bars under names of two levels, of which the time has only the second."""
+    raw = as_raw(daily(spark, folder))
+    raw = raw.toDF(*[f"('', '{c}')" if c == "Date" else f"('{c}', 'ALL')" for c in raw.columns])
+    return N.normalize(raw, "1d", ntz=True)
+
+
+@query
+def lower_columns(spark, folder):
+    """Bars whose time column is found by its name among names in lower case."""
+    raw = N.lower_columns(as_raw(daily(spark, folder))).withColumnRenamed("ticker", "symbol")
+    named = raw.select("symbol", *raw.columns[:-1]).withColumnRenamed(N.find_timestamp_col(raw), "timestamp")
+    return N.select_bars(N.to_utc(N.tag(named, interval="1d"), ntz=True))
+
+
+@query
+def required_columns(spark, folder):
+    return require_columns(daily(spark, folder), BAR_COLUMNS)
+
+
+@query
+def corrupt_files(spark, folder):
+    """A store in which a file of each month is no Parquet file."""
+    base = scratch_path(spark, "prices_1d")
+    P.write_bars(daily(spark, folder), base, "1d", BY_BUCKET)
+    months = daily(spark, folder).select(
+        F.lit("no bars").alias("value"), F.lit("1d").alias("interval"),
+        F.year("timestamp").alias("year"), F.month("timestamp").alias("month"), F.lit(0).alias("bucket"),
+    ).distinct()
+    months.write.mode("append").partitionBy("interval", "year", "month", "bucket").text(base)
+    return P.read_bars(spark, base, "1d", layout=BY_BUCKET, ntz=True, ignore_corrupt=True)
+
+
+@query
+def missing_sources(spark, folder):
+    """Neither a store nor a landing folder that is not there adds a bar."""
+    none = scratch_path(spark, "none")
+    stored = P.read_bars(spark, none, "1d", ntz=True)
+    return daily(spark, folder).unionByName(stored).unionByName(R.raw_bars(spark, none, "csv", "1d", ntz=True))
+
+
+@query
+def broken_predictions(spark, folder):
+    """Scores of the 13th are no probabilities, signals of the 14th none of the three."""
+    day = F.dayofmonth("timestamp")
+    broken = scored(spark, folder).withColumns(
+        {
+            "prob_up": F.when(day == 13, 1.5).otherwise(F.col("prob_up")),
+            "signal": F.when(day == 14, "wait").otherwise(F.col("signal")),
+        }
+    )
+    return key_and(M.check_predictions(broken))
+
+
+@query
+def repeated_batch(spark, folder):
+    """A batch that comes again under its id, as a restarted stream sends it."""
+    base = scratch_path(spark, "prices_1d")
+    P.write_bars(stored_until(spark, folder), base, "1d", BY_BUCKET)
+    for _ in range(2):
+        P.upsert_bars(spark, base, corrections(spark, folder), "1d", BY_BUCKET, ntz=True, batch_id="stream-0")
+    return P.read_bars(spark, base, "1d", layout=BY_BUCKET, ntz=True)
+
+
+@query
+def rebuilt_bars(spark, folder):
+    """Bars of every second reading, repaired from all of them."""
+    base = scratch_path(spark, "prices_1h")
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    for some in (events.where(F.col("event_id") % 2 == 0), events):
+        rebuild_bars(readings(some), base, layout=BY_BUCKET, ntz=True)
+    return P.read_bars(spark, base, "1h", layout=BY_BUCKET, ntz=True)
+
+
+@query
+def stored_response(spark, folder):
+    """Every brand asked for, answered from the store."""
+    asked = daily(spark, folder).select("symbol")
+    answer = respond_from_store(
+        spark, asked, universe(spark, folder), daily_store(spark, folder), interval="1d", n=20,
+        asof=ASOF, layout=BY_BUCKET, ntz=True,
+    )
+    return answer.select("symbol", "interval", "error", F.inline_outer("candles"))
+
+
+@query
+def sql_month(spark, folder):
+    """One month by SQL; the other folders stay closed."""
+    register_views(spark, {"1d": daily_store(spark, folder)}, layout=BY_BUCKET, ntz=True)
+    return spark.sql("SELECT symbol, timestamp, close FROM bars_1d WHERE year = 2000 AND month = 3")

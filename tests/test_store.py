@@ -5,6 +5,7 @@ import pytest
 
 from barsmith.operators import bars as B
 from barsmith.plans.sql import register_views
+from barsmith.schema import bar_schema
 from barsmith.sources import raw as R, store as P
 from barsmith.sources.paths import move
 from helpers import same, to_spark, walk
@@ -178,6 +179,19 @@ def test_recent_files(spark, tmp_path):
     assert {r["symbol"] for r in got.select("symbol").distinct().collect()} == {"S2", "S3"}
 
 
+def test_folders_without_files_and_broken_files(spark, tmp_path):
+    empty, base = tmp_path / "empty", str(tmp_path / "files")
+    empty.mkdir()
+    schema = bar_schema(ntz=True)
+    assert R.read_recent_files(spark, str(empty), 3, schema).count() == 0
+    assert R.read_recent_files(spark, str(empty), 3).count() == 0
+    assert R.read_raw(spark, str(tmp_path / "none"), "csv").count() == 0
+    to_spark(spark, walk("A", 30, 1)).coalesce(1).write.parquet(base)
+    with open(f"{base}/broken.parquet", "w") as f:
+        f.write("no bars")
+    assert R.read_recent_files(spark, base, 2, schema, ignore_corrupt=True).count() == 30
+
+
 def test_dedupe_prefers_the_newest_version(spark):
     rows = [("1d", "A", 1, 0, 5.0), ("1d", "A", 1, 2, 1.0), ("1d", "A", 1, 1, 9.0), ("1d", "A", 2, 0, 3.0),
             ("1d", "A", 2, 0, 4.0)]
@@ -202,3 +216,24 @@ def test_sql_views(spark, tmp_path, layout):
     assert register_views(spark, stores, layout=layout, ntz=True) == ["bars_1d", "bars_1h"]
     assert spark.sql("SELECT count(*) FROM bars_1d").first()[0] == 30
     assert spark.sql("SELECT count(*) FROM bars_1h").first()[0] == 0
+
+
+def test_sql_filters_prune_folders(spark, tmp_path, layout):
+    base = str(tmp_path / "store")
+    P.write_bars(to_spark(spark, walk("A", 90, 1), walk("B", 90, 2)), base, "1d", layout)
+    register_views(spark, {"1d": base}, layout=layout, ntz=True)
+    part = spark.sql("SELECT * FROM bars_1d WHERE year = 2020 AND month = 2")
+    filters = part._jdf.queryExecution().executedPlan().toString()
+    filters = filters[filters.index("PartitionFilters"): filters.index("PushedFilters")]
+    assert "year" in filters and "month" in filters
+    assert part.count() == 58
+
+
+def test_many_touched_partitions_are_pruned_too(spark, tmp_path, layout, monkeypatch):
+    base, old = str(tmp_path / "store"), walk("A", 200, 1)
+    P.write_bars(to_spark(spark, old), base, "1d", layout)
+    monkeypatch.setattr(P, "LITERALS", 0)
+    touched = P.read_touched(spark, base, to_spark(spark, old.tail(3)), "1d", layout, ntz=True)
+    assert "dynamicpruning" in touched._jdf.queryExecution().executedPlan().toString().lower()
+    month = old["timestamp"].dt.month == old["timestamp"].iloc[-1].month
+    assert touched.count() == month.sum()

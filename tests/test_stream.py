@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from barsmith.operators.bars import build_bars
 from barsmith.sources import store as P
-from barsmith.streaming.ingest import stream_bars, stream_ingest
+from barsmith.streaming.ingest import dropped, rebuild_bars, stream_bars, stream_ingest
 from helpers import same, to_spark, walk
 
 LAYOUT = P.Layout(buckets=2)
@@ -54,3 +54,26 @@ def test_streamed_bars_equal_batch_bars(spark, tmp_path):
     got = P.read_bars(spark, base, "1h", layout=LAYOUT).toPandas()
     want = build_bars(ticks, "1h").toPandas()
     same(got, want)
+
+
+def test_late_ticks_are_counted_and_repaired(spark, tmp_path):
+    def ticks(*hours):
+        return spark.createDataFrame([(h,) for h in hours], "hour int").select(
+            F.lit("A").alias("symbol"),
+            F.timestamp_seconds(1_700_000_000 + F.col("hour") * 3600).alias("timestamp"),
+            (F.col("hour") + 1.0).alias("price"),
+            F.lit(1.0).alias("size"),
+        ).coalesce(1)
+
+    path, base, check = (str(tmp_path / n) for n in ("ticks", "store", "check"))
+    left_out = []
+    for hours in ((0, 1, 30), (2, 31)):
+        ticks(*hours).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(ticks(0).schema).parquet(path)
+        query = stream_bars(stream, base, check, layout=LAYOUT)
+        query.awaitTermination()
+        left_out.append(dropped(query))
+    stored = lambda: P.read_bars(spark, base, "1h", layout=LAYOUT).count()
+    assert left_out == [0, 1] and stored() == 4
+    rebuild_bars(spark.read.parquet(path), base, layout=LAYOUT)
+    assert stored() == 5
