@@ -571,3 +571,40 @@ SQL |= {
         WHERE "timestamp" >= TIMESTAMP '2000-03-01' AND "timestamp" < TIMESTAMP '2000-04-01'""",
     ),
 }
+
+
+def facts(keys: str, train: str, test: str) -> str:
+    """Counts and status of models trained on some rows and tested on others."""
+    one_class = f"min(label) FILTER ({train}) = max(label) FILTER ({train})"
+    return f"""{keys}, count(*) FILTER ({train}) AS n_train,
+        CASE WHEN {one_class} THEN NULL ELSE nullif(count(*) FILTER ({test}), 0) END AS n_test,
+        CASE WHEN {one_class} THEN 'single_class' ELSE 'ok' END AS status,
+        CASE WHEN NOT {one_class} AND count(*) FILTER ({test}) > 0 THEN true END AS "within" """
+
+
+SQL |= {
+    "training_report_facts": SQL["training_split"].replace(
+        'SELECT symbol, "timestamp", label, split FROM split',
+        f"""SELECT {facts("symbol, 'models/symbol=' || symbol AS model_path", "split = 'train'", "split = 'test'")} FROM split""",
+    ) + " GROUP BY symbol",
+    "cv_report_facts": sql(
+        [*L, """
+    tiled AS (SELECT symbol, label, ntile(6) OVER (PARTITION BY symbol ORDER BY "timestamp") AS tile FROM labelled)"""],
+        f"""SELECT {facts("symbol, CAST(fold AS INTEGER) AS fold", "tile <= fold", "tile = fold + 1")}
+        FROM tiled, range(1, 6) AS f(fold) GROUP BY symbol, fold HAVING n_train > 0""",
+    ),
+    "score_latest_trained_facts": sql(
+        [DAILY.replace("daily AS", "every AS"), "daily AS (SELECT * FROM every)", FEATURES, LABELS,
+         "model AS (SELECT symbol FROM labelled GROUP BY symbol HAVING min(label) < max(label))",
+         """recent AS (SELECT symbol, count(*) AS bars FROM every
+            WHERE "timestamp" >= TIMESTAMP '2001-11-04' - INTERVAL 2 MONTH GROUP BY symbol)"""],
+        """SELECT r.symbol, '2001-11-04T00:00:00+00:00' AS asof, true AS "within",
+        CASE WHEN m.symbol IS NULL THEN 'no_model' WHEN bars < 20 THEN 'insufficient_history' ELSE 'ok' END AS status
+        FROM recent AS r LEFT JOIN model AS m USING (symbol)""",
+    ),
+}
+SQL["evaluate_facts"] = sql(
+    [*L, split(90)],
+    f"""SELECT symbol, count(*) FILTER (split = 'test') AS n_test, true AS "within" FROM split WHERE {BOTH}
+    GROUP BY symbol HAVING min(label) FILTER (split = 'train') < max(label) FILTER (split = 'train')""",
+)

@@ -937,3 +937,41 @@ def sql_month(spark, folder):
     """One month by SQL; the other folders stay closed."""
     register_views(spark, {"1d": daily_store(spark, folder)}, layout=BY_BUCKET, ntz=True)
     return spark.sql("SELECT symbol, timestamp, close FROM bars_1d WHERE year = 2000 AND month = 3")
+
+
+# --- what holds for trained models whatever their numbers --------------------
+
+
+def within(*shares):
+    """Whether all given shares lie between 0 and 1; those of no model are missing."""
+    fine = F.lit(True)
+    for share in shares:
+        fine = fine & F.col(share).between(0.0, 1.0)
+    return fine
+
+
+@query
+def training_report_facts(spark, folder):
+    report = train_report(daily(spark, folder), ASOF)[1]
+    return report.select(
+        "symbol", "model_path", "n_train", "n_test", "status", within("metrics.accuracy", "metrics.f1").alias("within")
+    )
+
+
+@query
+def cv_report_facts(spark, folder):
+    report = M.cv_report(labelled(spark, folder), 5)
+    return report.select("symbol", "fold", "n_train", "n_test", "status", within("accuracy", "f1").alias("within"))
+
+
+@query
+def score_latest_trained_facts(spark, folder):
+    """Every symbol once, with a probability and the signal that follows from it."""
+    scores = score_latest_trained(spark, folder)
+    follows = F.col("signal") == S.signal(F.col("prob_up"))
+    return scores.select("symbol", "asof", "status", (within("prob_up") & follows).alias("within"))
+
+
+@query
+def evaluate_facts(spark, folder):
+    return evaluate(spark, folder).select("symbol", "n_test", within("accuracy", "f1").alias("within"))
