@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from barsmith.schema import BAR_COLUMNS, INTERVALS, KEYS, PRICES
+from barsmith.schema import BAR_COLUMNS, INTERVALS, KEYS, PRICES, series_keys
 
 
 def _moment(columns) -> Column:
@@ -86,13 +86,14 @@ def merge_bars(existing: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def merge_stats(existing: DataFrame, batch: DataFrame) -> DataFrame:
-    """Rows per symbol: existing, new, replaced, inserted, and after the merge."""
-    keys = ["symbol", "timestamp"]
+    """Rows per series: existing, new, replaced, inserted, and after the merge."""
+    series = series_keys(existing)
+    keys = [*series, "timestamp"]
     old = existing.select(*keys, F.lit(1).alias("old"), F.lit(0).alias("new"))
     new = batch.select(*keys, F.lit(0).alias("old"), F.lit(1).alias("new"))
     per_bar = old.unionAll(new).groupBy(*keys).agg(F.sum("old").alias("old"), F.sum("new").alias("new"))
     was, came = F.col("old") > 0, F.col("new") > 0
-    return per_bar.groupBy("symbol").agg(
+    return per_bar.groupBy(*series).agg(
         F.sum("old").alias("existing_rows"),
         F.sum("new").alias("new_rows"),
         F.count_if(was & came).alias("replaced_rows"),

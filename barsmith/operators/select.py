@@ -87,7 +87,7 @@ def last_period(df: DataFrame, period: str, asof=None) -> DataFrame:
 def min_history(df: DataFrame, rows: int = 200) -> DataFrame:
     """Bars of symbols with at least `rows` of them."""
     keys = series_keys(df)
-    enough = df.groupBy(*keys).count().where(F.col("count") >= rows).select(*keys)
+    enough = row_counts(df).where(F.col("rows") >= rows).select(*keys)
     return df.join(sized_side(enough), keys, "left_semi")
 
 
@@ -132,7 +132,7 @@ def latest_row(df: DataFrame) -> DataFrame:
 
 
 def data_range(df: DataFrame) -> DataFrame:
-    return df.groupBy("symbol").agg(
+    return df.groupBy(*series_keys(df)).agg(
         F.count("*").alias("rows"),
         F.min("timestamp").alias("first_timestamp"),
         F.max("timestamp").alias("last_timestamp"),
@@ -140,8 +140,8 @@ def data_range(df: DataFrame) -> DataFrame:
 
 
 def max_timestamp(df: DataFrame) -> DataFrame:
-    return df.groupBy("symbol").agg(F.max("timestamp").alias("max_timestamp"))
+    return df.groupBy(*series_keys(df)).agg(F.max("timestamp").alias("max_timestamp"))
 
 
 def row_counts(df: DataFrame) -> DataFrame:
-    return df.groupBy("symbol").agg(F.count("*").alias("rows"))
+    return df.groupBy(*series_keys(df)).agg(F.count("*").alias("rows"))

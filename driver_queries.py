@@ -436,12 +436,12 @@ def latest_features(spark, folder):
 
 @query
 def data_range(spark, folder):
-    return L.data_range(hourly(spark, folder))
+    return L.data_range(hourly(spark, folder)).drop("interval")
 
 
 @query
 def max_timestamp(spark, folder):
-    return L.max_timestamp(daily(spark, folder))
+    return L.max_timestamp(daily(spark, folder)).drop("interval")
 
 
 # --- bars -------------------------------------------------------------------
@@ -475,7 +475,7 @@ def dedupe_keep_last(spark, folder):
 
 @query
 def merge_stats(spark, folder):
-    return B.merge_stats(stored_until(spark, folder), corrections(spark, folder))
+    return B.merge_stats(stored_until(spark, folder), corrections(spark, folder)).drop("interval")
 
 
 # --- features ---------------------------------------------------------------

@@ -177,6 +177,15 @@ def test_hourly_and_daily_bars_of_a_symbol_are_two_series(spark):
         assert sorted(map(str, f(both).collect())) == want
 
 
+def test_aggregates_keep_intervals_apart(spark):
+    daily = to_spark(spark, walk("A", 5, 1))
+    both = daily.unionByName(daily.limit(2).withColumn("interval", F.lit("1h")))
+    counts = lambda df: {r["interval"]: r["rows"] for r in df.collect()}
+    assert counts(L.data_range(both)) == counts(L.row_counts(both)) == {"1d": 5, "1h": 2}
+    assert L.max_timestamp(both).count() == 2
+    assert {r["interval"]: r["bars"] for r in D.market_summary(both).collect()} == {"1d": 5, "1h": 2}
+
+
 def test_bars_without_a_time_enter_no_series(spark):
     frame = walk("A", 400, 1)
     bars = to_spark(spark, frame, frame.head(1).assign(timestamp=pd.NaT))

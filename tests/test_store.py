@@ -204,7 +204,7 @@ def test_dedupe_prefers_the_newest_version(spark):
 
 def test_merge_stats(spark):
     old, new = walk("A", 10, 1), walk("A", 13, 1).tail(5)
-    got = B.merge_stats(to_spark(spark, old), to_spark(spark, new, walk("B", 2, 2))).toPandas().set_index("symbol")
+    got = B.merge_stats(to_spark(spark, old), to_spark(spark, new, walk("B", 2, 2))).drop("interval").toPandas().set_index("symbol")
     assert got.loc["A"].tolist() == [10, 5, 2, 3, 13]
     assert got.loc["B"].tolist() == [0, 2, 0, 2, 2]
 
