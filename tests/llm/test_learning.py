@@ -83,6 +83,32 @@ def test_language_model_without_rare_table(docs, monkeypatch):
     assert np.allclose([g[5] for g in got], [w[5] for w in want])
 
 
+def test_language_model_learns_from_whole_texts(docs, monkeypatch):
+    """Every pair of neighbours of every training text is counted once, in short and long texts."""
+    texts = ["one two", None, "", "b a " * 1500 + "odd", *(f"w{i} x{i} y{i}" for i in range(40))]
+    seen = []
+
+    def counting(train, kind, klass, kinds):
+        matrix = real(train, kind, klass, kinds)
+        seen.append((klass, matrix.copy()))
+        return matrix
+
+    real = lm.following
+    monkeypatch.setattr(lm, "following", counting)
+    lm.scores(docs(texts)).count()
+    with open(lm.TOKENIZER, "rb") as f:
+        subwords = lm.Subwords(f.read())
+    want = [Counter() for _ in seen]
+    for i, t in enumerate(texts):
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            ids = [subwords.end, *subwords.apart(lm.words_of(t))[0].tolist(), subwords.end]
+            for w, (klass, _) in zip(want, seen):
+                w.update((z, klass[a]) for a, z in zip(ids, ids[1:]))
+    assert len(seen) == 2
+    for w, (_, matrix) in zip(want, seen):
+        assert {(z, a): matrix[z, a] for z, a in zip(*np.nonzero(matrix))} == w
+
+
 def test_language_model_of_no_rows(docs):
     assert lm.scores(docs([])).count() == 0
 
