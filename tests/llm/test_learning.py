@@ -42,6 +42,14 @@ def test_windows_score_each_token_once():
         assert mine.tolist() == list(range(n))
 
 
+def test_windows_give_half_of_themselves_as_context():
+    """No token but the first of a text is scored with less than half a window before it."""
+    shape, n = attention.Shape(rows=1, classes=1), 1000
+    _, index, counted = attention.windows(np.array([n]), shape.context, shape.overlap)
+    seen = np.broadcast_to(np.arange(shape.context), index.shape)
+    assert shape.context >= 32 and seen[counted & (index >= shape.context)].min() >= shape.context // 2
+
+
 def test_scores_are_probabilities():
     """Over all texts of one token and of none, the probabilities of a small model sum to one."""
     rng = np.random.default_rng(2)
