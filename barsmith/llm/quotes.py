@@ -3,13 +3,13 @@
 A message's lines have a quote level, the number of `>` in front. Lines of one level, up to a
 blank line, are a passage. Passages are normalised (lower case, letters and digits only, one
 blank between words), so that a client's wrapping does not matter, and hashed. The own passages
-(level 0) of all messages are the originals: per thread and hash the earliest message that
-wrote it. Quoted passages are joined to them; a message answers the latest message that wrote
-one of its passages of the lowest linked level, if earlier than itself. Conversations are the
+(level 0) of all messages are the originals. A quoted passage is linked to the latest message of
+the thread that wrote it, earlier than the one that quotes; a message answers the latest message
+so linked to its passages of the lowest linked level. Conversations are the
 trees of these links, in reply order, with quotes and their introductions removed.
 
-The join is to one original per hash, so that a passage quoted a thousand times makes a thousand
-rows. Roots and depths are found by doubling the links' reach.
+Originals and quotes are ordered by thread, hash and position and each quote looks back (`as_of`), so
+that a passage written and quoted a thousand times makes two thousand rows. Roots and depths are found by doubling the links' reach.
 
 Defined cases: a null text counts as empty; it quotes nothing. A message without a linked quote
 begins a conversation. Messages of one thread at the same position count as one node, which
@@ -23,12 +23,12 @@ import re
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barsmith.llm.common import fresh, ship
-from barsmith.session import scratch_table
+from barsmith.session import scratch_table, sized_side
 
 ship(__name__)
 
@@ -102,16 +102,10 @@ def linked(messages: DataFrame, thread: str, position: str, text: str) -> DataFr
         "messages",
     )
     placed = parsed.where("__thread is not null and __at is not null")
-    originals = (
-        placed.select("__thread", "__at", F.explode("__wrote").alias("hash"))
-        .groupBy("__thread", "hash")
-        .agg(F.min("__at").alias("wrote_at"))
-    )
+    originals = placed.select("__thread", "__at", F.explode("__wrote").alias("hash")).distinct()
+    quotes = placed.select("__row", "__thread", "__at", F.posexplode("__quoted").alias("level", "hashes"))
     quoted = (
-        placed.select("__row", "__thread", "__at", F.posexplode("__quoted").alias("level", "hashes"))
-        .select("__row", "__thread", "__at", "level", F.explode("hashes").alias("hash"))
-        .join(originals, ["__thread", "hash"])
-        .where("wrote_at < __at")
+        as_of(originals, quotes.select("__row", "__thread", "__at", "level", F.explode("hashes").alias("hash")))
         .groupBy("__row", "__thread", "__at")
         .agg(
             F.count("*").alias("found"),
@@ -138,6 +132,38 @@ def linked(messages: DataFrame, thread: str, position: str, text: str) -> DataFr
     )
 
 
+def as_of(originals: DataFrame, quotes: DataFrame) -> DataFrame:
+    """The quotes with wrote_at, the greatest position below their own at which the thread has an original of
+    their hash; quotes without one are left out.
+
+    Rows are cut into parts by ranges of (thread, hash, position), so that a passage of very many
+    messages is several parts. Of the few passages that lie in more than one, each part
+    is given the last original of the parts before it.
+    """
+    rows = quotes.withColumn("wrote_at", F.lit(None).cast("bigint")).unionByName(
+        originals.withColumn("wrote_at", F.col("__at")), allowMissingColumns=True
+    )
+    rows = rows.repartitionByRange("__thread", "hash", "__at").withColumn("part", F.spark_partition_id())
+    rows = scratch_table(rows, "passages")
+    key = ["__thread", "hash"]
+    cut = rows.groupBy(*key).agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
+    lasts = rows.join(sized_side(cut.select(*key)), key, "left_semi").groupBy(*key, "part").agg(F.max("wrote_at").alias("last"))
+    before = Window.partitionBy(*key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = lasts.withColumn("carried", F.max("last").over(before)).drop("last")
+    # of one position, quotes come before originals
+    back = Window.partitionBy("part", *key).orderBy("__at", F.col("wrote_at").isNotNull()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    return (
+        rows.withColumn("latest", F.max("wrote_at").over(back))
+        .where("wrote_at is null")
+        .join(sized_side(carried), [*key, "part"], "left")
+        .withColumn("wrote_at", F.coalesce("latest", "carried"))
+        .where("wrote_at is not null")
+        .select("__row", "__thread", "__at", "level", "wrote_at")
+    )
+
+
 def reach(answers: DataFrame) -> DataFrame:
     """__thread, __at, root, depth of all messages that answer another one.
 

@@ -142,6 +142,18 @@ def test_links(spark):
     assert found["u", 1][0] is None and found[None, 9][0] is None and found["t", None] == (None, None, 0, 0, 0, "")
 
 
+def test_links_to_the_latest_of_equal_passages(spark):
+    """Also where one passage of one thread lies in several parts."""
+    rows = [("t", i, b) for i, b in enumerate(["hi", "ok", "foo", "ok", "> ok\n\nyes", "ok"])]
+    rows += [("many", i, "> ok\n\nok" if i else "ok") for i in range(300)]
+    rows += [("many", 300 + i, f"> ok\n\nother {i}") for i in range(200)]
+    frame = spark.createDataFrame(rows, "thread string, at int, body string")
+    found = {(r[0], r[1]): (r.parent, r.root, r.depth) for r in quotes.linked(frame, "thread", "at", "body").collect()}
+    assert found["t", 4] == (3, 3, 1) and found["t", 5] == (None, 5, 0) and len(found) == len(rows)
+    assert all(found["many", i] == (i - 1, 0, i) for i in range(1, 300))
+    assert all(found["many", i] == (299, 0, 300) for i in range(300, 500))
+
+
 def test_mail_and_back(spark):
     rows = [("c", i, "user" if i % 2 == 0 else "bot", f"turn {i}\nof many") for i in range(40)] + [("d", 0, "user", None)]
     frame = spark.createDataFrame(rows, "conv_id string, turn bigint, role string, text string")
