@@ -5,7 +5,7 @@ one with the smallest hash goes into an inverted index. A document's shingles ar
 there, and hits of one template that lie within a band of diagonals are one candidate. Each
 candidate is aligned with its template in that band (local alignment: an equal word is worth 1,
 a replaced, added or missing word costs 1). It counts if the equal words cover `COVERAGE` of the
-template; of findings that overlap, the one with more equal words stays.
+template, and the words before and after it are aligned again, for further copies; of findings that overlap, the one with more equal words stays.
 
 The index holds the templates only, a fixed list, and goes to the tasks with the code.
 
@@ -149,9 +149,15 @@ def scan(text: str, index: Index, coverage: float = COVERAGE) -> list[tuple]:
     found = []
     for t, low, high in index.candidates(numbers):
         template = index.words[t]
-        matched, begin, end = aligned(template, numbers, low - BAND, high + BAND)
-        if matched >= coverage * template.size:
-            found.append((-matched, -matched / template.size, begin, end, t))
+        parts = [(0, numbers.size)]
+        while parts:
+            a, b = parts.pop()
+            if b - a < coverage * template.size:
+                continue
+            matched, begin, end = aligned(template, numbers[a:b], low - BAND - a, high + BAND - a)
+            if matched and matched >= coverage * template.size:
+                found.append((-matched, -matched / template.size, a + begin, a + end, t))
+                parts += [(a, a + begin), (a + end, b)]
     kept: list[tuple] = []
     taken = np.zeros(len(words), bool)
     for minus, share, begin, end, t in sorted(found):

@@ -103,6 +103,15 @@ def test_licenses_in_texts(docs):
     assert licenses.findings(docs([])).count() == 0
 
 
+def test_licenses_find_every_adjacent_copy(docs):
+    """Copies of the short notices, next to each other or a word apart, are found one by one."""
+    notices = {k: t.rstrip(".") for k, t in licenses.TEMPLATES.items() if k.endswith("notice")}
+    cases = [(k, gap, n) for k in notices for gap in (" ", " and ", ". So two ") for n in (2, 3, 4, 7)]
+    texts = [gap.join([notices[k]] * n) for k, gap, n in cases]
+    got = [(r.doc_id, r.license, texts[r.doc_id][r.start : r.end]) for r in licenses.findings(docs(texts)).collect()]
+    assert sorted(got) == sorted((i, k, notices[k]) for i, (k, _, n) in enumerate(cases) for _ in range(n))
+
+
 def test_licenses_of_the_fixture(docs):
     texts = fixture_texts(1000)
     found = {r.doc_id for r in licenses.findings(docs(texts)).collect()}
