@@ -7,7 +7,12 @@ candidate is aligned with its template in that band (local alignment: an equal w
 a replaced, added or missing word costs 1). It counts if the equal words cover `COVERAGE` of the
 template, and the words before and after it are aligned again, for further copies; of findings that overlap, the one with more equal words stays.
 
-The index holds the templates only, a fixed list, and goes to the tasks with the code.
+Templates are whole licenses (`license_texts/`, named by SPDX), the headers that stand in source
+files, and apart from both short notices and excerpts, for texts that have no more than that. Long
+templates have wider bands. A candidate is aligned only if its band of the document has enough of
+the template's words, in any order.
+
+The index holds the templates only and goes to the tasks with the code.
 
 Words are runs of letters and digits in lower case. A null or empty text has no findings.
 """
@@ -15,6 +20,7 @@ Words are runs of letters and digits in lower case. A null or empty text has no
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -27,39 +33,66 @@ from barsmith.llm.common import ship
 ship(__name__)
 
 SHINGLE, WINDOW, BAND, COVERAGE = 3, 2, 6, 0.75
+ONE = 2**24
 WORD = re.compile(r"[^\W_]+")
 
-# The customary notices of well-known licenses.
-TEMPLATES = {
+_GNU_HEADER = """This {it} is free software; you can redistribute it and/or modify it under the terms of the
+GNU {name} as published by the Free Software Foundation; either version {version} of the License, or (at
+your option) any later version. This {it} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
+without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name}
+for more details. You should have received a copy of the GNU {name} along with this {it}"""
+_GNU_EXCERPT = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {name} "
+    "as published by the Free Software Foundation"
+)
+_GPL, _LGPL, _AGPL = "General Public License", "Lesser General Public License", "Affero General Public License"
+
+# Whole licenses, headers, and the customary notices and excerpts of well-known ones.
+TEMPLATES = {p.stem: p.read_text("utf-8").strip() for p in sorted(Path(__file__).with_name("license_texts").glob("*.txt"))} | {
+    "GPL-2.0-header": _GNU_HEADER.format(it="program", name=_GPL, version="2"),
+    "GPL-3.0-header": _GNU_HEADER.format(it="program", name=_GPL, version="3"),
+    "LGPL-2.1-header": _GNU_HEADER.format(it="library", name=_LGPL, version="2.1"),
+    "LGPL-3.0-header": _GNU_HEADER.format(it="program", name=_LGPL, version="3"),
+    "AGPL-3.0-header": _GNU_HEADER.format(it="program", name=_AGPL, version="3"),
+    "Apache-2.0-header": (
+        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance "
+        "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless "
+        "required by applicable law or agreed to in writing, software distributed under the License is distributed on "
+        "an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for "
+        "the specific language governing permissions and limitations under the License"
+    ),
+    "MPL-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/"
+    ),
     "MIT-notice": "Released under the MIT License.",
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
     "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
     "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
     "CC-BY-4.0-notice": "Licensed under CC BY 4.0.",
     "CC-BY-SA-4.0-notice": "Licensed under CC BY-SA 4.0.",
-    "MIT": (
+    "MIT-excerpt": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
         "associated documentation files (the Software), to deal in the Software without restriction, including "
         "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
         "copies of the Software, and to permit persons to whom the Software is furnished to do so"
     ),
-    "ISC": (
+    "ISC-excerpt": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
         "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
     ),
-    "BSD": (
+    "BSD-excerpt": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
         "that the following conditions are met"
     ),
-    "Apache-2.0": (
+    "Apache-2.0-excerpt": (
         "you may not use this file except in compliance with the License. You may obtain a copy of the License at "
         "http://www.apache.org/licenses/LICENSE-2.0"
     ),
-    "GPL": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-        "Public License as published by the Free Software Foundation"
-    ),
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "GPL-excerpt": _GNU_EXCERPT.format(name=_GPL),
+    "LGPL-excerpt": _GNU_EXCERPT.format(name=_LGPL),
+    "AGPL-excerpt": _GNU_EXCERPT.format(name=_AGPL),
+    "MPL-2.0-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 
 
@@ -71,6 +104,8 @@ class Index:
         self.names = [name for name, words in split.items() if words]
         self.number = {w: i + 1 for i, w in enumerate(sorted({w for words in split.values() for w in words}))}
         self.words = [np.array([self.number[w] for w in split[name]]) for name in self.names]
+        self.bands = [max(BAND, w.size // 100) for w in self.words]
+        self.bags = [np.unique(w, return_counts=True) for w in self.words]
         self.base = len(self.number) + 1
         self.places: dict[int, list[tuple[int, int]]] = {}
         for t, words in enumerate(self.words):
@@ -109,36 +144,48 @@ class Index:
         )
         out: list[list[int]] = []
         for t, d in hits:
-            if out and out[-1][0] == t and d - out[-1][2] <= BAND and d - out[-1][1] <= 2 * BAND:
+            if out and out[-1][0] == t and d - out[-1][2] <= self.bands[t] and d - out[-1][1] <= 2 * self.bands[t]:
                 out[-1][2] = d
             else:
                 out.append([t, d, d])
         return [tuple(c) for c in out]
 
+    def common(self, t: int, numbers: np.ndarray) -> int:
+        """How many words of a template are in the text, in any order: no alignment has more equal ones."""
+        words, counts = self.bags[t]
+        return int(np.minimum(np.bincount(numbers, minlength=self.base)[words], counts).sum())
+
 
 def aligned(template: np.ndarray, doc: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
     """(equal words, first word, end) of the best local alignment with low <= i - j <= high.
 
-    i counts the document's words, j the template's.
+    i counts the document's words, j the template's. A cell's value is its score times `ONE` and its
+    number of equal words; the cells of a row stand by their diagonal.
     """
-    best = (0, 0, 0, 0)
-    before: dict[int, tuple[int, int, int]] = {}  # by i: score, equal words, begin
+    width, left = high - low + 1, max(0, -low)
+    padded = np.full(left + max(doc.size, template.size + high), -1)
+    padded[left : left + doc.size] = doc
+    none = -(ONE**2)
+    before, begun = np.full(width + 1, none), np.zeros(width + 1, np.int64)  # of the row before; one more cell
+    steps = np.arange(width) * ONE
+    best, first, end = 0, 0, 0
     for j in range(template.size):
-        row: dict[int, tuple[int, int, int]] = {}
-        for i in range(max(0, j + low), min(doc.size - 1, j + high) + 1):
-            score, equal, begin = before.get(i - 1, (0, 0, i))
-            hit = int(template[j] == doc[i])
-            if score <= 0:
-                score, equal, begin = 0, 0, i
-            here = (score + (1 if hit else -1), equal + hit, begin)
-            for other in (before.get(i), row.get(i - 1)):
-                if other and (other[0] - 1, other[1]) > here[:2]:
-                    here = (other[0] - 1, other[1], other[2])
-            row[i] = here
-            if hit and (here[0], here[1]) > best[:2]:
-                best = (*here[:2], here[2], i + 1)
-        before = row
-    return best[1:]
+        words = padded[j + low + left : j + high + left + 1]
+        hit = words == template[j]
+        fresh = before[:-1] < ONE
+        value = np.where(fresh, 0, before[:-1]) + np.where(hit, ONE + 1, -ONE)
+        begin = np.where(fresh, np.arange(width) + (j + low), begun[:-1])
+        missing = before[1:] - ONE
+        begin = np.where(missing > value, begun[1:], begin)
+        value = np.where(words < 0, none, np.maximum(value, missing))
+        # added words: the greatest value to the left less the steps from there, the nearest of equal ones
+        reach = np.maximum.accumulate(value + steps)
+        source = np.maximum.accumulate(np.where(value + steps == reach, np.arange(width), 0))
+        before[:-1], begun[:-1] = np.where(words < 0, none, reach - steps), begin[source]
+        k = int(np.argmax(np.where(hit, before[:-1], none)))
+        if hit[k] and before[k] > best:
+            best, first, end = int(before[k]), int(begun[k]), j + low + k + 1
+    return best % ONE, first, end
 
 
 def scan(text: str, index: Index, coverage: float = COVERAGE) -> list[tuple]:
@@ -148,14 +195,15 @@ def scan(text: str, index: Index, coverage: float = COVERAGE) -> list[tuple]:
     numbers = index.numbers(words)
     found = []
     for t, low, high in index.candidates(numbers):
-        template = index.words[t]
-        parts = [(0, numbers.size)]
+        template, band = index.words[t], index.bands[t]
+        need = coverage * template.size
+        parts = [(max(0, low - band), min(numbers.size, high + band + template.size))]
         while parts:
             a, b = parts.pop()
-            if b - a < coverage * template.size:
+            if b - a < need or index.common(t, numbers[a:b]) < need:
                 continue
-            matched, begin, end = aligned(template, numbers[a:b], low - BAND - a, high + BAND - a)
-            if matched and matched >= coverage * template.size:
+            matched, begin, end = aligned(template, numbers[a:b], low - band - a, high + band - a)
+            if matched and matched >= need:
                 found.append((-matched, -matched / template.size, a + begin, a + end, t))
                 parts += [(a, a + begin), (a + end, b)]
     kept: list[tuple] = []
@@ -179,10 +227,9 @@ NAMES = ["license", "start", "end", "matched", "coverage"]
 
 def findings(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
     """One row for each license text found: doc_id, license, start, end, matched, coverage."""
-    templates = TEMPLATES if templates is None else templates
+    index = Index(TEMPLATES if templates is None else templates)
 
     def run(batches):
-        index = Index(templates)
         for b in batches:
             out = [
                 (doc_id, *row)

@@ -103,6 +103,22 @@ def test_licenses_in_texts(docs):
     assert licenses.findings(docs([])).count() == 0
 
 
+def test_whole_licenses_are_told_from_parts(docs):
+    """Whole texts are found from their first to their last word, as themselves; parts only as parts."""
+    whole = {k: t for k, t in licenses.TEMPLATES.items() if not k.endswith(("notice", "excerpt"))}
+    assert {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "CC0-1.0",
+            "Unlicense", "EPL-1.0", "AGPL-3.0-header"} <= set(whole)
+    names = list(whole)
+    part = " ".join(whole["MIT"].split()[:90])
+    texts = [f"Here follows: {whole[k]}, so it was." for k in names] + [part]
+    rows = licenses.findings(docs(texts)).collect()
+    got = {r.doc_id: r for r in rows}
+    for i, k in enumerate(names):
+        found = licenses.WORD.findall(texts[i][got[i].start : got[i].end])
+        assert (got[i].license, got[i].coverage, found) == (k, 1, licenses.WORD.findall(whole[k])), k
+    assert got[len(names)].license == "MIT-excerpt" and len(rows) == len(texts)
+
+
 def test_licenses_find_every_adjacent_copy(docs):
     """Copies of the short notices, next to each other or a word apart, are found one by one."""
     notices = {k: t.rstrip(".") for k, t in licenses.TEMPLATES.items() if k.endswith("notice")}
