@@ -1,14 +1,15 @@
 """Personal data by bootstrapped contextual extraction.
 
 Seeds are entities that a pattern and a check prove: mail addresses, IP addresses, payment cards
-(Luhn) and phone numbers. Tokens with digits that no seed covers are open instances. The words
+(Luhn) and phone numbers. Tokens with digits that no seed covers, and runs of such tokens with one
+blank between them, are open instances, of whatever length. The words
 around an instance are lexical patterns: the two words before it, and the word on each side.
 
 Spark scores the graph of patterns and instances in rounds. A pattern's confidence for a kind is
 the confidence of its instances for it, summed, over one more than its number of instances; it
 needs the weight of `SUPPORT` instances. An open instance's confidence is that of at least
 one of its patterns being right, 1 - prod(1 - confidence); from `ACCEPT` on it is an entity
-and lends its weight to its patterns in the next round. After `ROUNDS` rounds every mention of an
+and lends its weight to its patterns in the next round. When a round accepts nothing new, every mention of an
 accepted instance within an accepting pattern is a span, besides those of the seeds.
 
 Only DataFrame functions are used. Instances and patterns are grouped with partial aggregation;
@@ -27,7 +28,7 @@ from barsmith.llm.spans import digest, let, matches
 from barsmith.session import scratch_table
 
 KINDS = ("email", "ip", "card", "phone")
-SUPPORT, ACCEPT, ROUNDS, LEAST_DIGITS = 3.0, 0.75, 3, 4
+SUPPORT, ACCEPT = 3.0, 0.75
 
 # Each search begins at the start of a run or where the last match ended, and never goes
 # back into a run: long runs cost their length.
@@ -37,6 +38,7 @@ IP = "(?:\\G|(?<![0-9]))[0-9]++\\.[0-9]++\\.[0-9]++\\.[0-9]++"
 CARD = "[0-9](?:[\\x20-]?[0-9])++"
 PHONE = "\\+[0-9][\\x20().0-9-]+[0-9]"
 OPEN = "(?:\\G|(?<!\\S))[^\\s0-9]*+[0-9]\\S*+"
+OPEN_RUN = OPEN + "(?:\\x20[^\\s0-9]*+[0-9]\\S*+)++"
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 
 SPAN = "array<struct<start:bigint,end:bigint,value:string,kind:string>>"
@@ -83,8 +85,10 @@ def seeds(text: Column) -> Column:
 
 
 def opened(text: Column, known: Column) -> Column:
-    """Tokens with digits that overlap no seed, without punctuation at their ends."""
-    tokens = _kind(text, "", OPEN, text.rlike("[0-9]"))
+    """Tokens with digits and runs of them that overlap no seed, without punctuation at their ends."""
+    tokens = F.concat(
+        _kind(text, "", OPEN, text.rlike("[0-9]")), _kind(text, "", OPEN_RUN, text.rlike("[0-9]\\S*\\x20[^\\s0-9]*+[0-9]"))
+    )
     bare = F.transform(
         tokens,
         lambda s: let(
@@ -102,9 +106,7 @@ def opened(text: Column, known: Column) -> Column:
     )
     return F.filter(
         bare,
-        lambda s: (F.length(digits(s["value"])) >= LEAST_DIGITS)
-        & (F.length(s["value"]) <= 64)
-        & ~F.exists(known, lambda k: (k["start"] < s["end"]) & (s["start"] < k["end"])),
+        lambda s: ~F.exists(known, lambda k: (k["start"] < s["end"]) & (s["start"] < k["end"])),
     )
 
 
@@ -154,7 +156,7 @@ def mentions(docs: DataFrame) -> DataFrame:
     return known.select("doc_id", "text_hash", spans.alias("spans")).withColumn("row", F.monotonically_increasing_id())
 
 
-def bootstrap(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def bootstrap(edges: DataFrame) -> DataFrame:
     """(value, kind, pattern) of open instances that are accepted, and the patterns that do so.
 
     edges: pattern, value, kind ("" of an open instance).
@@ -163,8 +165,8 @@ def bootstrap(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     sizes = edges.groupBy("pattern").agg(F.countDistinct("value").alias("n"))
     sure = edges.where("kind <> ''").select("value", "kind", F.lit(1.0).alias("conf")).distinct()
     open_edges = edges.where("kind = ''").select("pattern", "value")
-    believed = sure
-    for _ in range(rounds):
+    believed, count, before = sure, 0, -1
+    while count > before:  # weights only grow, and so does what is accepted
         weights = (
             edges.select("pattern", "value").distinct().join(believed, "value")
             .groupBy("pattern", "kind").agg(F.sum("conf").alias("weight"))
@@ -179,6 +181,7 @@ def bootstrap(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             .where(F.col("conf") >= ACCEPT)
         )
         accepted = scratch_table(instances, "accepted")
+        before, count = count, accepted.count()
         believed = sure.unionByName(accepted.join(sure.select("value", "kind"), ["value", "kind"], "left_anti"))
     return met.select("value", "kind", "pattern").join(accepted.select("value", "kind"), ["value", "kind"])
 

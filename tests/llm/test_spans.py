@@ -126,6 +126,26 @@ def test_patterns_find_unseen_identifiers(docs):
     assert rows[10] == rows[11] == ""
 
 
+def test_short_and_several_token_identifiers(docs):
+    """Numbers of few digits, over 64 characters, or written in several tokens."""
+    known = [f"filler{i} contact card number 41111111111111{n} today" for i, n in enumerate((11, 29, 37, 45, 52, 60, 78, 86, 94))]
+    known += [f"{i} contact card number 4{i:014d}{c} today" for i in range(40) for c in range(10) if luhn(f"4{i:014d}{c}")]
+    found = ["Z7", "020 7946 0958", "7" + "z" * 80]
+    rows = {r.doc_id: r for r in private.redacted(docs(known + [f"our contact card number {v} today" for v in found])).collect()}
+    for i in range(len(found)):
+        assert rows[len(known) + i].text == "our contact card number [CARD] today"
+
+
+def test_rounds_end_when_nothing_new_is_accepted(spark):
+    """Instances that are known by others, seven times over."""
+    edges = [
+        (f"p{level}{k}", f"v{level + step}-{i}", "card" if level + step == 0 else "")
+        for level in range(7) for k in range(5) for step in range(2) for i in range(20)
+    ]
+    got = private.bootstrap(spark.createDataFrame(edges, "pattern string, value string, kind string"))
+    assert {r.value for r in got.collect()} == {f"v{level}-{i}" for level in range(1, 8) for i in range(20)}
+
+
 def test_masking(docs):
     text = "write to a@b.co or 10.0.0.1 é"
     frame = docs([text, None, "clean"]).withColumn("n_chars", F.length("text")).withColumn("text_hash_of", F.lit("kept"))
