@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barsmith.llm import licenses, lm, mixing, order_minhash, private, quotes, secrets, simhash, spaced_seeds, toxicity, twins
+from barsmith.llm import (
+    lexical,
+    licenses,
+    lm,
+    mixing,
+    order_minhash,
+    private,
+    quotes,
+    secrets,
+    simhash,
+    spaced_seeds,
+    toxicity,
+    twins,
+    variants,
+    warc,
+)
 from barsmith.llm.common import fold, table
 from barsmith.session import scratch_path
 
@@ -65,6 +80,20 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.findings(table(spark, sf_dir, "documents"))
 
 
+def op11_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages into ZIP packages of WARC records, and back by their indexes."""
+    manifest = warc.write(table(spark, sf_dir, "pages"), scratch_path(spark, "packages"))
+    return warc.pages(warc.records(warc.ranges(manifest)))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -78,6 +107,9 @@ QUERIES = {
         op8_secret_ledger,
         op9_private,
         op10_licenses,
+        op11_warc_zip,
+        op12_spelling_variants,
+        op13_lexical_search,
     )
 }
 SQL = twins.SQL

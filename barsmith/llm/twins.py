@@ -90,4 +90,45 @@ SELECT a.conv_id, a.turn, a.role, a.parent, u.root, u.depth,
 FROM answers a JOIN up u ON u.conv_id = a.conv_id AND u.turn = a.turn
 """
 
-SQL = {"op3_mixing": MIXING, "op4_quotation_linking": QUOTATION}
+# Base32 of a SHA-1: eight times five hex digits, and each time four letters of five bits.
+ARCHIVES = """
+WITH hashed AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+lasts AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS last FROM hashed)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(8), lambda g: array_to_string(list_transform([15, 10, 5, 0], lambda s:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(hex, g * 5 + 1, 5))::BIGINT >> s) & 31) + 1)::INTEGER, 1)
+  ), '')), '') AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to
+FROM lasts
+"""
+
+_TERMS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+
+RANKING = f"""
+WITH texts AS (SELECT doc_id, {_TERMS} AS terms FROM documents),
+whole AS (SELECT count(*) AS docs, sum(len(terms))::BIGINT AS length FROM texts WHERE len(terms) > 0),
+postings AS (
+  SELECT doc_id, term, n, count(*) AS tf FROM (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM texts) GROUP BY ALL
+), asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM postings, whole GROUP BY term, docs
+), scores AS (
+  SELECT item_id, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // length))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term), whole GROUP BY ALL
+), ranks AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+  FROM scores WHERE score > 0
+)
+SELECT * FROM ranks WHERE rank <= 10
+"""
+
+SQL = {
+    "op3_mixing": MIXING,
+    "op4_quotation_linking": QUOTATION,
+    "op11_warc_zip": ARCHIVES,
+    "op13_lexical_search": RANKING,
+}
