@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import time
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -20,13 +24,61 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop, True)
 
 
-def move(spark: SparkSession, source: str, target: str) -> None:
-    """Move a folder to a place that is free."""
-    fs, new = _open(spark, source)
+def move(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a file or folder; False if it is no longer there or its new place is taken."""
+    fs, old = _open(spark, source)
     _, place = _open(spark, target)
+    return fs.exists(old) and not fs.exists(place) and fs.rename(old, place)
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a file that is not there yet, whole from its first moment; False if there is one.
+
+    Of several that try, one succeeds: by a link on a local disk, else by a rename, which HDFS
+    and stores with real renames refuse if the place is taken.
+    """
+    fs, place = _open(spark, path)
     fs.mkdirs(place.getParent())
-    if not fs.rename(new, place):
-        raise OSError(f"cannot move {source} to {target}")
+    draft = f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}"
+    _, hadoop = _open(spark, draft)
+    if fs.getScheme() == "file":
+        local, target = hadoop.toUri().getPath(), place.toUri().getPath()
+        with open(local, "w", encoding="utf-8") as file:
+            file.write(text)
+        try:
+            os.link(local, target)
+        except FileExistsError:
+            return False
+        finally:
+            os.remove(local)
+        return True
+    stream = fs.create(hadoop, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    made = not fs.exists(place) and fs.rename(hadoop, place)
+    if not made:
+        fs.delete(hadoop, False)
+    return made
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None if there is no such file."""
+    fs, hadoop = _open(spark, path)
+    if not fs.exists(hadoop):
+        return None
+    stream = fs.open(hadoop)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def age(spark: SparkSession, path: str) -> float:
+    """Seconds since a file was written; 0 if there is none."""
+    fs, hadoop = _open(spark, path)
+    if not fs.exists(hadoop):
+        return 0.0
+    return time.time() - fs.getFileStatus(hadoop).getModificationTime() / 1000
 
 
 def touch(spark: SparkSession, path: str) -> None:

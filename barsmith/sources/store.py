@@ -5,12 +5,17 @@ Two layouts. `bucket` (default) files bars by interval, year, month (and day for
 hourly bars) and a hash of the symbol. The number of folders then depends on time
 and not on the number of symbols, and files stay large. `symbol` has one folder
 tree per symbol; it suits a universe of at most some thousand symbols.
+
+Partitions lie in trees `gen=...`, one of each write. What counts is in the newest snapshot
+(`sources/snapshots.py`): readers see old or new bars, never none, and one writer at a time changes
+the store. Read a store with `read_bars`, the SQL views or the catalog table; a plain Parquet read would
+find replaced bars, too.
 """
 
 from __future__ import annotations
 
-import uuid
-from concurrent.futures import ThreadPoolExecutor
+import datetime
+import re
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -21,14 +26,13 @@ from barsmith.operators.normalize import accepted, with_partitions
 from barsmith.operators.select import latest_n
 from barsmith.schema import BAR_COLUMNS, at, bar_schema, months_back
 from barsmith.session import scratch_table, setting, sized_side
-from barsmith.sources.paths import delete, exists, folders, move, names, touch
+from barsmith.sources.paths import delete, folders, names, touch
+from barsmith.sources.snapshots import Snapshot, clean, commit, latest, lease, new_generation
 
 # Touched partitions are pruned by literal values up to this many.
 LITERALS = 1000
 # Bars a symbol that trades on weekdays has in a month, at least.
 BARS_PER_MONTH = {"1d": 18, "1h": 110}
-RENAMES_AT_ONCE = 16
-ASIDE = "-old"
 
 
 @dataclass(frozen=True)
@@ -75,16 +79,20 @@ def check_layout(spark, base: str, layout: Layout) -> bool:
     return bool(marks)
 
 
-def _scan(spark, base: str, interval: str, layout: Layout, ntz: bool, ignore_corrupt: bool) -> DataFrame:
+def _scan(
+    spark, base: str, interval: str, layout: Layout, ntz: bool, ignore_corrupt: bool, wanted=lambda partition: True
+) -> DataFrame:
+    """What the newest snapshot has, of the `wanted` partition folders; a folder without snapshots as it is."""
     check_layout(spark, base, layout)
+    base = base.rstrip("/")
     schema = layout.schema(interval, ntz)
+    snapshot = latest(spark, base)
+    paths = [base] if snapshot is None else snapshot.paths(base, wanted)
+    reader = spark.read.schema(schema).options(
+        basePath=base, ignoreCorruptFiles=ignore_corrupt, ignoreMissingFiles=ignore_corrupt
+    )
     try:
-        df = (
-            spark.read.schema(schema)
-            .option("ignoreCorruptFiles", ignore_corrupt)
-            .option("ignoreMissingFiles", ignore_corrupt)
-            .parquet(base)
-        )
+        df = reader.parquet(*paths) if paths else spark.createDataFrame([], schema)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -92,6 +100,31 @@ def _scan(spark, base: str, interval: str, layout: Layout, ntz: bool, ignore_cor
     return df.where(F.col("interval") == interval)
 
 
+def _month(moment) -> int | None:
+    """Year times 12 plus month of a moment given as text or date; None if only Spark can tell."""
+    if isinstance(moment, str) and (found := re.match(r"(\d{4})-(\d{2})", moment)):
+        return int(found[1]) * 12 + int(found[2])
+    return moment.year * 12 + moment.month if isinstance(moment, datetime.date) else None
+
+
+def _between(since, *untils):
+    """Which partition folders may hold bars of a time; a month more on each side, for time zones.
+
+    Spark prunes folders by itself once it has listed them; these are not even listed.
+    """
+    low = _month(since)
+    highs = [m for m in map(_month, untils) if m is not None]
+
+    def wanted(partition: str) -> bool:
+        parts = dict(p.split("=", 1) for p in partition.split("/"))
+        if not (parts["year"].isdigit() and parts["month"].isdigit()):
+            return True
+        month = int(parts["year"]) * 12 + int(parts["month"])
+        return (low is None or month >= low - 1) and all(month <= high + 1 for high in highs)
+
+    return wanted
+
+
 def _month_number(moment: Column) -> Column:
     return F.year(moment) * 12 + F.month(moment)
 
@@ -114,7 +147,7 @@ def read_bars(
     With `folders` the partition columns (year, month and so on) come too. `symbols`, `since` (inclusive), `until` (exclusive) and `asof` (inclusive) prune
     partitions, hourly ones by day.
     """
-    df = _scan(spark, base, interval, layout, ntz, ignore_corrupt)
+    df = _scan(spark, base, interval, layout, ntz, ignore_corrupt, _between(since, until, asof))
     if interval == "1h":
         number = F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
         folder = lambda m: F.year(m) * 10000 + F.month(m) * 100 + F.dayofmonth(m)
@@ -161,32 +194,66 @@ def read_latest(spark, base: str, interval: str, n: int = 120, *, asof, **option
 
 
 def write_bars(
-    df: DataFrame, base: str, interval: str, layout: Layout = Layout(), replace: str = "dynamic"
+    df: DataFrame,
+    base: str,
+    interval: str,
+    layout: Layout = Layout(),
+    replace: str = "dynamic",
+    wait: float | None = None,
 ) -> None:
     """Write bars into their partitions, replacing only those the frame touches.
 
-    `replace="static"` empties the whole folder first.
+    `replace="static"` empties the whole store in the same step. Another writer is waited for,
+    up to `wait` seconds.
+    """
+    base = base.rstrip("/")
+    with lease(df.sparkSession, base, wait):
+        _write(df, base, interval, layout, _opened(df.sparkSession, base, layout), replace == "static")
+
+
+def _opened(spark, base: str, layout: Layout) -> Snapshot:
+    """The snapshot a write starts from; what is due is deleted."""
+    check_layout(spark, base, layout)
+    before = latest(spark, base)
+    if before is None and folders(spark, f"{base}/interval=*"):
+        raise ValueError(f"{base} has bars but no snapshots; copy it with read_bars and write_bars")
+    before = before or Snapshot()
+    clean(spark, base, before)
+    return before
+
+
+def _write(
+    df: DataFrame, base: str, interval: str, layout: Layout, before: Snapshot, whole: bool = False, batch_id=None
+) -> None:
+    """Write a generation of the partitions that `df` touches, and make it count.
 
     Rebalancing sends a partition's rows to one task, and adaptive execution splits
     a partition that is too large into several, so a hot one gets several files.
     Merging small tasks would save no file here, only leave fewer of them to write
     all the folders, so it is off.
     """
-    recorded = check_layout(df.sparkSession, base, layout)
+    spark = df.sparkSession
     columns = layout.columns(interval)
     order = [*columns, *[c for c in ("symbol", "timestamp") if c not in columns]]
     placed = layout.place(df.select(*BAR_COLUMNS), interval)
     rows = placed.hint("rebalance", *columns).sortWithinPartitions(*order)
-    with setting(df.sparkSession, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", replace)
-            .option("compression", "snappy")
-            .partitionBy(*columns)
-            .parquet(base)
-        )
-    if not recorded or replace == "static":
-        touch(df.sparkSession, f"{base.rstrip('/')}/{layout.mark}")
+    generation = new_generation(before)
+    tree = f"{base}/gen={generation}"
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        rows.write.option("compression", "snappy").partitionBy(*columns).parquet(tree)
+    written = folders(spark, "/".join([tree, *[f"{c}=*" for c in columns]]))
+    changed = {"/".join(folder.split("/")[-len(columns) :]): generation for folder in written}
+    gone = set(before.partitions) - set(changed) if whole else ()
+    if not check_layout(spark, base, layout):
+        touch(spark, f"{base}/{layout.mark}")
+    if changed or gone or batch_id:
+        commit(spark, base, before.after(changed, gone, batch_id))
+
+
+def tree(spark, base: str) -> str | None:
+    """The folder of the newest generation that counts."""
+    snapshot = latest(spark, base.rstrip("/"))
+    return f"{base.rstrip('/')}/gen={max(snapshot.sizes)}" if snapshot and snapshot.sizes else None
 
 
 def plan_write(df: DataFrame) -> DataFrame:
@@ -248,62 +315,23 @@ def upsert_bars(
     layout: Layout = Layout(),
     ntz: bool = False,
     batch_id: str | None = None,
+    wait: float | None = None,
 ) -> None:
     """Merge a batch into the store: new bars are added, known ones replaced.
 
-    The merged partitions are first written completely to a staging folder in the
-    store; then each old folder is moved aside and the staged one into its place, and
-    only after all moves are the old ones deleted. If the job dies between, the next
-    upsert, of whatever batch, first finishes the moves. Applying a batch twice leaves
-    the store as it was after the first time. Bars that `accepted` refuses are left out.
+    The merged partitions are written beside the old ones, and one file makes them count, all in
+    the same moment. Who reads meanwhile sees the store as it was; if the job dies it stays so.
+    A batch whose `batch_id` the store has taken is not applied again; without an id, applying it
+    twice leaves the store as it was after the first time. Bars that `accepted` refuses are left out.
     """
-    recover(spark, base, interval, layout)
-    batch = accepted(batch)
-    staged = f"{base.rstrip('/')}/_staging/{batch_id or uuid.uuid4().hex}"
-    if not exists(spark, base):
-        existing = spark.createDataFrame([], bar_schema(ntz))
-    else:
+    base = base.rstrip("/")
+    with lease(spark, base, wait):
+        before = _opened(spark, base, layout)
+        if batch_id is not None and batch_id in before.batches:
+            return
+        batch = accepted(batch)
         existing = read_touched(spark, base, batch, interval, layout, ntz)
-    write_bars(merge_bars(existing, batch), staged, interval, layout, "static")
-    _publish(spark, base, staged, interval, layout)
-
-
-def recover(spark, base: str, interval: str, layout: Layout = Layout()) -> None:
-    """Finish what an upsert that died has staged completely; drop what it has not."""
-    check_layout(spark, base, layout)
-    for staged in folders(spark, f"{base.rstrip('/')}/_staging/*"):
-        if staged.endswith(ASIDE):
-            continue
-        if exists(spark, f"{staged}/_SUCCESS"):
-            _publish(spark, base, staged, interval, layout)
-        else:
-            delete(spark, staged)
-    for aside in folders(spark, f"{base.rstrip('/')}/_staging/*{ASIDE}"):
-        delete(spark, aside)
-
-
-def _publish(spark, base: str, staged: str, interval: str, layout: Layout) -> None:
-    """Put each staged folder in the place of the stored one, many at once.
-
-    At any moment a partition's old bars are in the store or aside, and its new ones
-    staged or in the store. A folder that is still staged has not been published, so
-    what is in its place is old.
-    """
-    columns = layout.columns(interval)
-
-    def publish(folder: str) -> None:
-        partition = "/".join(folder.split("/")[-len(columns):])
-        place = f"{base.rstrip('/')}/{partition}"
-        if exists(spark, place):
-            move(spark, place, f"{staged}{ASIDE}/{partition}")
-        move(spark, folder, place)
-
-    with ThreadPoolExecutor(RENAMES_AT_ONCE) as pool:
-        list(pool.map(publish, folders(spark, "/".join([staged, *[f"{c}=*" for c in columns]]))))
-    if not check_layout(spark, base, layout):
-        touch(spark, f"{base.rstrip('/')}/{layout.mark}")
-    delete(spark, staged)
-    delete(spark, f"{staged}{ASIDE}")
+        _write(merge_bars(existing, batch), base, interval, layout, before, batch_id=batch_id)
 
 
 def expire_bars(df: DataFrame, asof, days: int = 365) -> DataFrame:
@@ -314,19 +342,26 @@ def expire_bars(df: DataFrame, asof, days: int = 365) -> DataFrame:
 def expire_store(
     spark, base: str, interval: str, asof, days: int = 365, layout: Layout = Layout()
 ) -> list[str]:
-    """Delete the month folders that end before the retention limit; no file is read."""
+    """Delete the month folders that end before the retention limit; no file is read.
+
+    They stop counting first. Other than replaced bars they are not kept for readers that began before.
+    """
+    base = base.rstrip("/")
     limit = spark.range(1).select(
         _month_number(F.lit(asof).cast("timestamp_ntz") - F.make_dt_interval(days=F.lit(days)))
     ).first()[0]
-    columns = layout.columns(interval)
-    depth = columns[: columns.index("month") + 1]
-    pattern = "/".join([f"interval={interval}", *[f"{c}=*" for c in depth[1:]]])
-    gone = []
-    for folder in folders(spark, f"{base.rstrip('/')}/{pattern}"):
-        parts = dict(p.split("=", 1) for p in folder.split("/") if "=" in p)
-        if not (parts["year"].isdigit() and parts["month"].isdigit()):
-            continue  # bars without a time, of a store written by others
-        if int(parts["year"]) * 12 + int(parts["month"]) < limit:
-            delete(spark, folder)
-            gone.append(folder)
-    return gone
+    with lease(spark, base):
+        before = _opened(spark, base, layout)
+        gone = []
+        for partition in before.partitions:
+            parts = dict(p.split("=", 1) for p in partition.split("/"))
+            if not (parts["year"].isdigit() and parts["month"].isdigit()):
+                continue  # bars without a time, of a store written by others
+            if int(parts["year"]) * 12 + int(parts["month"]) < limit:
+                gone.append(partition)
+        if gone:
+            commit(spark, base, before.after({}, gone))
+    months = {f"{base}/gen={before.partitions[p]}/{re.match('.*/month=[^/]*', p)[0]}" for p in gone}
+    for folder in months:
+        delete(spark, folder)
+    return sorted(months)

@@ -22,6 +22,7 @@ from barsmith.plans.training import report_json, train_report, training_rows
 from barsmith.schema import BAR_COLUMNS, FEATURE_COLUMNS, FEATURES, bar_schema, require_columns
 from barsmith.session import configure, scratch_path, scratch_table, setting
 from barsmith.sources import raw as R, store as P
+from barsmith.sources.snapshots import latest, new_generation
 from barsmith.sources.ticks import TRADE_ORDER, readings, trades
 from barsmith.streaming.ingest import rebuild_bars, stream_bars, stream_ingest
 
@@ -789,13 +790,13 @@ def training_split_past(spark, folder):
 
 @query
 def upsert_after_crash(spark, folder):
-    """The corrections are staged in full, and the job dies before it publishes them."""
+    """A first upsert of other values is written in full, and dies before it counts; the next one is whole."""
     base = scratch_path(spark, "prices_1d")
     P.write_bars(stored_until(spark, folder), base, "1d", BY_BUCKET)
-    existing = P.read_touched(spark, base, corrections(spark, folder), "1d", BY_BUCKET, ntz=True)
-    merged = B.merge_bars(existing, corrections(spark, folder))
-    P.write_bars(merged, f"{base}/_staging/died", "1d", BY_BUCKET, "static")
-    P.recover(spark, base, "1d", BY_BUCKET)
+    wrong = corrections(spark, folder).withColumn("close", F.lit(0.0))
+    dead = f"{base}/gen={new_generation(latest(spark, base))}"
+    BY_BUCKET.place(wrong, "1d").write.partitionBy(*BY_BUCKET.columns("1d")).parquet(dead)
+    P.upsert_bars(spark, base, corrections(spark, folder), "1d", BY_BUCKET, ntz=True)
     return P.read_bars(spark, base, "1d", layout=BY_BUCKET, ntz=True)
 
 
@@ -876,7 +877,7 @@ def corrupt_files(spark, folder):
         F.lit("no bars").alias("value"), F.lit("1d").alias("interval"),
         F.year("timestamp").alias("year"), F.month("timestamp").alias("month"), F.lit(0).alias("bucket"),
     ).distinct()
-    months.write.mode("append").partitionBy("interval", "year", "month", "bucket").text(base)
+    months.write.mode("append").partitionBy("interval", "year", "month", "bucket").text(P.tree(spark, base))
     return P.read_bars(spark, base, "1d", layout=BY_BUCKET, ntz=True, ignore_corrupt=True)
 
 

@@ -1,13 +1,16 @@
 import os
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from barsmith.operators import bars as B
 from barsmith.plans.sql import register_views
 from barsmith.schema import bar_schema
-from barsmith.sources import raw as R, store as P
-from barsmith.sources.paths import move
+from barsmith.sources import raw as R, snapshots as S, store as P
+from barsmith.sources.paths import create_new, read_text
 from helpers import same, to_spark, walk
 
 LAYOUTS = [P.Layout(by="symbol"), P.Layout(buckets=3)]
@@ -28,7 +31,7 @@ def test_round_trip(spark, tmp_path, layout):
     P.write_bars(to_spark(spark, *frames), base, "1d", layout)
     same(read(spark, base, layout).toPandas(), pd.concat(frames))
     folder = "interval=1d/symbol=A/year=2020/month=1" if layout.by == "symbol" else "interval=1d/year=2020/month=1"
-    assert os.path.isdir(f"{base}/{folder}")
+    assert os.path.isdir(f"{P.tree(spark, base)}/{folder}")
 
 
 def test_scan_prunes_partitions(spark, tmp_path, layout):
@@ -77,41 +80,119 @@ def test_upsert_leaves_other_files_alone(spark, tmp_path, layout):
     assert len(kept) == len(files) - 1
 
 
-def test_upsert_survives_a_crash_at_every_move(spark, tmp_path, layout, monkeypatch):
-    """After a crash at any move no bar is lost, and any later upsert makes the store whole."""
+def test_upsert_survives_a_crash_at_every_step(spark, tmp_path, layout, monkeypatch):
+    """A job that dies leaves the store as it was, and a later upsert makes it whole."""
     old = walk("A", 60, 1)
     batch = old[old["timestamp"] >= "2020-01-28"].assign(close=1.0)
     later = walk("B", 3, 2)
-    want = pd.concat([old[old["timestamp"] < "2020-01-28"], batch, later])
-    for stop in range(1, 5):
-        base, moved = str(tmp_path / f"store{stop}"), []
-        P.write_bars(to_spark(spark, old), base, "1d", layout)
-
-        def dies(spark, source, target):
-            moved.append(target)
-            if len(moved) >= stop:
-                raise OSError("lost")
-            move(spark, source, target)
-
-        monkeypatch.setattr(P, "move", dies)
-        monkeypatch.setattr(P, "RENAMES_AT_ONCE", 1)
-        with pytest.raises(OSError):
-            P.upsert_bars(spark, base, to_spark(spark, batch), "1d", layout, ntz=True)
-        monkeypatch.setattr(P, "move", move)
-        P.upsert_bars(spark, base, to_spark(spark, later), "1d", layout, ntz=True)
-        same(read(spark, base, layout).toPandas(), want)
-        assert os.listdir(f"{base}/_staging") == []
 
+    def dies(*args, **more):
+        raise OSError("lost")
 
-def test_half_written_staging_is_dropped(spark, tmp_path, layout):
+    for step in ("read_touched", "setting", "folders", "commit"):
+        base = str(tmp_path / step)
+        P.write_bars(to_spark(spark, old), base, "1d", layout)
+        with monkeypatch.context() as patch:
+            patch.setattr(P, step, dies)
+            with pytest.raises(OSError):
+                P.upsert_bars(spark, base, to_spark(spark, batch), "1d", layout, ntz=True)
+        same(read(spark, base, layout).toPandas(), old)
+        for more in (batch, later):
+            P.upsert_bars(spark, base, to_spark(spark, more), "1d", layout, ntz=True)
+        same(read(spark, base, layout).toPandas(), pd.concat([old[old["timestamp"] < "2020-01-28"], batch, later]))
+        assert not os.path.exists(f"{base}/_lease")
+
+
+def test_trees_of_dead_writers_and_replaced_bars_go(spark, tmp_path, layout, monkeypatch):
     base, old = str(tmp_path / "store"), walk("A", 40, 1)
     P.write_bars(to_spark(spark, old), base, "1d", layout)
-    P.write_bars(to_spark(spark, old.tail(2).assign(close=1.0)), f"{base}/_staging/x", "1d", layout, "static")
-    os.remove(f"{base}/_staging/x/_SUCCESS")
+    dead = f"{base}/gen={S.new_generation(S.latest(spark, base))}"
+    layout.place(to_spark(spark, old.assign(close=1.0)), "1d").write.partitionBy(*layout.columns("1d")).parquet(dead)
+    same(read(spark, base, layout).toPandas(), old)
+    for n in (1, 2):
+        P.upsert_bars(spark, base, to_spark(spark, walk("B", 3, n)), "1d", layout, ntz=True)
+    assert not os.path.exists(dead)
+    before = S.latest(spark, base)
+    assert len(before.retired) == 1 and os.path.isdir(f"{base}/{before.retired[0][0]}")
+    monkeypatch.setattr(S, "KEEP", -1)
     P.upsert_bars(spark, base, to_spark(spark, walk("B", 3, 2)), "1d", layout, ntz=True)
+    assert not os.path.exists(f"{base}/{before.retired[0][0]}")
     same(read(spark, base, layout).toPandas(), pd.concat([old, walk("B", 3, 2)]))
 
 
+def test_readers_see_old_or_new_bars_during_upserts(spark, tmp_path, layout):
+    """Partitions and the whole store change in one moment, for readers that began before, too."""
+    base, old = str(tmp_path / "store"), walk("A", 60, 1)
+    P.write_bars(to_spark(spark, old.assign(close=0.0)), base, "1d", layout)
+    first, done, seen, failed = read(spark, base, layout), threading.Event(), set(), []
+
+    def reader():
+        while not done.is_set():
+            try:
+                got = read(spark, base, layout).groupBy().agg(F.count("*"), F.min("close"), F.max("close")).first()
+                seen.add(tuple(got))
+            except Exception as error:
+                failed.append(error)
+
+    thread = threading.Thread(target=reader)
+    thread.start()
+    for n in range(1, 6):
+        P.upsert_bars(spark, base, to_spark(spark, old.assign(close=float(n))), "1d", layout, ntz=True)
+    done.set()
+    thread.join()
+    assert not failed
+    assert seen <= {(60, float(n), float(n)) for n in range(6)} and len(seen) > 1
+    assert first.agg(F.sum("close")).first()[0] == 0.0
+
+
+def test_a_second_writer_waits_or_gives_up(spark, tmp_path, layout):
+    base, bars = str(tmp_path / "store"), to_spark(spark, walk("A", 9, 1))
+    more = to_spark(spark, walk("B", 9, 2))
+    P.write_bars(bars, base, "1d", layout)
+    with S.lease(spark, base):
+        with pytest.raises(S.StoreBusy, match="written by"):
+            P.upsert_bars(spark, base, more, "1d", layout, ntz=True, wait=0.3)
+        second = threading.Thread(target=lambda: P.upsert_bars(spark, base, more, "1d", layout, ntz=True))
+        second.start()
+        second.join(1.0)
+        assert second.is_alive() and read(spark, base, layout).count() == 9
+    second.join()
+    assert read(spark, base, layout).count() == 18
+
+
+def test_a_lease_left_behind_is_taken_over_and_its_owner_fails(spark, tmp_path, layout, monkeypatch):
+    base, bars = str(tmp_path / "store"), to_spark(spark, walk("A", 9, 1))
+    P.write_bars(bars, base, "1d", layout)
+    before = S.latest(spark, base)
+    with S.lease(spark, base):
+        monkeypatch.setattr(S, "LEASE", -1)
+        P.upsert_bars(spark, base, to_spark(spark, walk("B", 9, 2)), "1d", layout, ntz=True, wait=0)
+        with pytest.raises(S.StoreBusy, match="nothing was written"):
+            S.commit(spark, base, before.after({}))
+    assert read(spark, base, layout).count() == 18
+
+
+def test_of_many_that_create_a_file_one_succeeds(spark, tmp_path):
+    with ThreadPoolExecutor(8) as pool:
+        made = list(pool.map(lambda n: create_new(spark, str(tmp_path / "x" / "file"), str(n)), range(16)))
+    assert sum(made) == 1 and read_text(spark, str(tmp_path / "x" / "file")) == str(made.index(True))
+    assert os.listdir(tmp_path / "x") == ["file"]
+
+
+def test_a_batch_with_an_id_counts_once(spark, tmp_path, layout):
+    base = str(tmp_path / "store")
+    for close in (1.0, 2.0):
+        P.upsert_bars(spark, base, to_spark(spark, walk("A", 9, 1).assign(close=close)), "1d", layout, ntz=True, batch_id="b-1")
+    same(read(spark, base, layout).toPandas(), walk("A", 9, 1).assign(close=1.0))
+
+
+def test_writing_anew_replaces_the_whole_store(spark, tmp_path, layout):
+    base = str(tmp_path / "store")
+    P.write_bars(to_spark(spark, walk("A", 90, 1)), base, "1d", layout)
+    P.write_bars(to_spark(spark, walk("B", 9, 1)), base, "1d", layout, "static")
+    same(read(spark, base, layout).toPandas(), walk("B", 9, 1))
+
+
 def test_another_layout_is_refused(spark, tmp_path):
     base, bars = str(tmp_path / "store"), to_spark(spark, walk("A", 40, 1))
     P.upsert_bars(spark, base, bars, "1d", P.Layout(buckets=4), ntz=True)
