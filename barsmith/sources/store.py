@@ -37,8 +37,11 @@ BARS_PER_MONTH = {"1d": 18, "1h": 110}
 
 @dataclass(frozen=True)
 class Layout:
+    """How bars are filed. `extra` names further columns (double) that are kept with each bar."""
+
     by: str = "bucket"
     buckets: int = 16
+    extra: tuple[str, ...] = ()
 
     @property
     def mark(self) -> str:
@@ -62,6 +65,8 @@ class Layout:
     def schema(self, interval: str, ntz: bool) -> T.StructType:
         """Full schema, so partition values are never guessed from folder names."""
         schema = bar_schema(ntz)
+        for column in self.extra:
+            schema = schema.add(column, T.DoubleType())
         for column in self.columns(interval):
             if column not in schema.names:
                 schema = schema.add(column, T.IntegerType())
@@ -167,7 +172,7 @@ def read_bars(
         moment = at(df, asof)
         df = df.where((F.col("timestamp") <= moment) & (number <= folder(moment)))
     more = [c for c in layout.columns(interval) if c not in BAR_COLUMNS] if folders else []
-    return df.select(*BAR_COLUMNS, *more)
+    return df.select(*BAR_COLUMNS, *layout.extra, *more)
 
 
 def recent_bars(spark, base: str, interval: str, asof, months: int, **options) -> DataFrame:
@@ -223,10 +228,12 @@ def _opened(spark, base: str, layout: Layout) -> Snapshot:
 
 
 def _write(
-    df: DataFrame, base: str, interval: str, layout: Layout, before: Snapshot, whole: bool = False, batch_id=None
+    df: DataFrame, base: str, interval: str, layout: Layout, before: Snapshot, whole=False, batch_id=None, emptied=()
 ) -> None:
     """Write a generation of the partitions that `df` touches, and make it count.
 
+    Those of `emptied` that get no rows are gone; with `whole` all others are.
+
     Rebalancing sends a partition's rows to one task, and adaptive execution splits
     a partition that is too large into several, so a hot one gets several files.
     Merging small tasks would save no file here, only leave fewer of them to write
@@ -235,7 +242,7 @@ def _write(
     spark = df.sparkSession
     columns = layout.columns(interval)
     order = [*columns, *[c for c in ("symbol", "timestamp") if c not in columns]]
-    placed = layout.place(df.select(*BAR_COLUMNS), interval)
+    placed = layout.place(df.select(*BAR_COLUMNS, *layout.extra), interval)
     rows = placed.hint("rebalance", *columns).sortWithinPartitions(*order)
     generation = new_generation(before)
     tree = f"{base}/gen={generation}"
@@ -243,7 +250,7 @@ def _write(
         rows.write.option("compression", "snappy").partitionBy(*columns).parquet(tree)
     written = folders(spark, "/".join([tree, *[f"{c}=*" for c in columns]]))
     changed = {"/".join(folder.split("/")[-len(columns) :]): generation for folder in written}
-    gone = set(before.partitions) - set(changed) if whole else ()
+    gone = set(before.partitions if whole else emptied) - set(changed)
     if not check_layout(spark, base, layout):
         touch(spark, f"{base}/{layout.mark}")
     if changed or gone or batch_id:
@@ -293,7 +300,7 @@ def read_touched(
         if 0 < len(values) <= LITERALS:
             df = df.where(_any_of(names, values))
     # Spark prunes at run time by a side that has a filter, whatever it lets through.
-    return df.join(touched.where(F.col("year") > -1), columns, "left_semi").select(*BAR_COLUMNS)
+    return df.join(touched.where(F.col("year") > -1), columns, "left_semi").select(*BAR_COLUMNS, *layout.extra)
 
 
 def _any_of(names: list[str], rows: list) -> Column:
@@ -316,6 +323,7 @@ def upsert_bars(
     ntz: bool = False,
     batch_id: str | None = None,
     wait: float | None = None,
+    merge=merge_bars,
 ) -> None:
     """Merge a batch into the store: new bars are added, known ones replaced.
 
@@ -323,6 +331,9 @@ def upsert_bars(
     the same moment. Who reads meanwhile sees the store as it was; if the job dies it stays so.
     A batch whose `batch_id` the store has taken is not applied again; without an id, applying it
     twice leaves the store as it was after the first time. Bars that `accepted` refuses are left out.
+
+    Another `merge(existing, batch)` may give what the touched partitions hold from now on, in a
+    store filed by buckets also nothing.
     """
     base = base.rstrip("/")
     with lease(spark, base, wait):
@@ -331,7 +342,11 @@ def upsert_bars(
             return
         batch = accepted(batch)
         existing = read_touched(spark, base, batch, interval, layout, ntz)
-        _write(merge_bars(existing, batch), base, interval, layout, before, batch_id=batch_id)
+        emptied = []
+        if merge is not merge_bars and layout.by == "bucket":
+            touched = touched_partitions(batch, interval, layout).collect()
+            emptied = ["/".join(f"{c}={row[c]}" for c in row.asDict()) for row in touched]
+        _write(merge(existing, batch), base, interval, layout, before, batch_id=batch_id, emptied=emptied)
 
 
 def expire_bars(df: DataFrame, asof, days: int = 365) -> DataFrame:
