@@ -13,9 +13,11 @@ def _moment(columns) -> Column:
     return F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
 
 
-def build_bars(ticks: DataFrame, interval: str, order=("timestamp",)) -> DataFrame:
+def build_bars(ticks: DataFrame, interval: str, order=("timestamp",), more: dict[str, Column] | None = None) -> DataFrame:
     """Bars from (symbol, timestamp, price, size); `order` ranks ticks in a bar.
 
+    `more` names further aggregates to keep with each bar.
+
     Each task aggregates its own ticks before the shuffle, so a symbol with most
     of the ticks costs no more than the others.
     """
@@ -29,6 +31,7 @@ def build_bars(ticks: DataFrame, interval: str, order=("timestamp",)) -> DataFra
             F.min("price").alias("low"),
             F.max_by("price", first).alias("close"),
             F.sum("size").cast("double").alias("volume"),
+            *[aggregate.alias(name) for name, aggregate in (more or {}).items()],
         )
         .select(
             F.col("bucket.start").alias("timestamp"),
@@ -36,14 +39,17 @@ def build_bars(ticks: DataFrame, interval: str, order=("timestamp",)) -> DataFra
             "volume",
             "symbol",
             F.lit(interval).alias("interval"),
+            *(more or {}),
         )
     )
 
 
 def resample(bars: DataFrame, interval: str = "1d") -> DataFrame:
-    """Coarser bars, e.g. daily from hourly."""
+    """Coarser bars, e.g. daily from hourly; bars that are of that interval already do not count."""
+    if "interval" in bars.columns:
+        bars = bars.where(F.col("interval") != interval)
     return (
-        bars.groupBy("symbol", F.window("timestamp", INTERVALS[interval]).alias("bucket"))
+        bars.groupBy(*series_keys(bars), F.window("timestamp", INTERVALS[interval]).alias("bucket"))
         .agg(
             F.min_by("open", "timestamp").alias("open"),
             F.max("high").alias("high"),

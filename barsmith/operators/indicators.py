@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, WindowSpec, functions as F
 
 from barsmith.operators.features import full_frame, returns
-from barsmith.operators.series import SeriesPlan, over_series
+from barsmith.operators.recurrence import CHUNK, smoothed
+from barsmith.operators.series import SeriesPlan, over_series, plan_series
+from barsmith.schema import series_keys
 from barsmith.session import sized_side
 
 
@@ -33,6 +35,31 @@ def rsi(df: DataFrame, n: int = 14, plan: SeriesPlan | None = None) -> DataFrame
     )
 
 
+def rsi_wilder(
+    df: DataFrame, n: int = 14, plan: SeriesPlan | None = None, chunk: int = CHUNK
+) -> DataFrame:
+    """Relative strength from Wilder's averages, each of which takes in all bars before.
+
+    NULL until n changes are known, on a bar whose change is unknown, and while no change moved
+    the price. Long series are cut into chunks; the values do not depend on where.
+    """
+    plan = plan or plan_series(df)
+
+    def compute(d: DataFrame, w: WindowSpec) -> DataFrame:
+        return d.withColumn("_move", F.col("close") - F.lag("close").over(w))
+
+    moved = over_series(df, compute, 2, plan=plan)
+    known = F.col("_move").isNotNull()
+    sides = {
+        "_up": F.when(known, F.greatest("_move", F.lit(0.0))),
+        "_down": F.when(known, F.greatest(-F.col("_move"), F.lit(0.0))),
+    }
+    averages = smoothed(moved, sides, n, plan, chunk)
+    return averages.select(
+        *df.columns, (F.try_divide("_up", F.col("_up") + F.col("_down")) * 100).alias("rsi_wilder")
+    )
+
+
 def bollinger(
     df: DataFrame, n: int = 20, width: float = 2.0, plan: SeriesPlan | None = None
 ) -> DataFrame:
@@ -72,18 +99,19 @@ def momentum(df: DataFrame, n: int = 12, plan: SeriesPlan | None = None) -> Data
 
 
 def volume_profile(df: DataFrame, buckets: int = 10) -> DataFrame:
-    """Volume traded in equal price buckets between a symbol's lowest and highest close."""
-    ranges = df.groupBy("symbol").agg(F.min("close").alias("_low"), F.max("close").alias("_high"))
+    """Volume traded in equal price buckets between a series' lowest and highest close."""
+    keys = series_keys(df)
+    ranges = df.groupBy(*keys).agg(F.min("close").alias("_low"), F.max("close").alias("_high"))
     width = (F.col("_high") - F.col("_low")) / F.lit(float(buckets))
     step = F.coalesce(F.try_divide(F.col("close") - F.col("_low"), width), F.lit(0.0))
     bucket = F.least(F.floor(step), F.lit(buckets - 1)).cast("int")
     return (
         df.where(F.col("close").isNotNull())
-        .join(sized_side(ranges), "symbol")
-        .groupBy("symbol", bucket.alias("bucket"), "_low", width.alias("_width"))
+        .join(sized_side(ranges), keys)
+        .groupBy(*keys, bucket.alias("bucket"), "_low", width.alias("_width"))
         .agg(F.sum("volume").alias("volume"), F.count("*").alias("bars"))
         .select(
-            "symbol",
+            *keys,
             "bucket",
             (F.col("_low") + F.col("bucket") * F.col("_width")).alias("price_from"),
             "volume",

@@ -17,14 +17,17 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from barsmith.functions.scalar import signal, sigmoid
+from barsmith.operators.asof import asof_join
 from barsmith.operators.series import SeriesPlan, series_position
-from barsmith.schema import FEATURES, model_schema
+from barsmith.schema import FEATURES, at, model_schema
 from barsmith.session import discard, scratch_table, sized_side
 
 # The functions that run in tasks travel with the job; executors need not have
 # this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# When a kept model was trained: up to that moment it knows the bars.
+TRAINED = "trained_asof"
 MAX_FIT_ROWS = 200_000
 MAX_ITER = 200
 TOLERANCE = 1e-8
@@ -267,6 +270,36 @@ def load_models(spark, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def save_version(models: DataFrame, path: str, asof) -> None:
+    """Keep models beside those trained before; ones trained at the same moment are replaced.
+
+    One folder a training, so that their number does not grow with the symbols.
+    """
+    stamped = models.withColumn(TRAINED, F.date_format(F.lit(asof).cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss"))
+    (
+        stamped.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(TRAINED)
+        .parquet(path)
+    )
+
+
+def load_versions(spark, path: str, upto=None) -> DataFrame:
+    """All kept models with the moment of their training, `trained_asof`; those up to a moment if it is given."""
+    stored = spark.read.parquet(path).drop(TRAINED).schema
+    schema = T.StructType([*stored.fields, T.StructField(TRAINED, T.TimestampNTZType())])
+    versions = spark.read.schema(schema).parquet(path)
+    return versions if upto is None else versions.where(F.col(TRAINED) <= at(versions, upto, TRAINED))
+
+
+def predict_proba_asof(df: DataFrame, versions: DataFrame, keys=("symbol",)) -> DataFrame:
+    """`predict_proba` of each row by the model that was known at its time, and when that was trained."""
+    usable = versions.where(F.col("coef").isNotNull()).select(*keys, TRAINED, "coef", "intercept")
+    coef = [F.get("coef", i) for i in range(len(FEATURES))]
+    z = F.col("intercept") + _dot(coef, [F.col(c) for c in FEATURES])
+    return asof_join(df, usable, keys, TRAINED).select(*df.columns, TRAINED, sigmoid(z).alias("prob_up"))
+
+
 # --- temporal cross-validation ----------------------------------------------
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from barsmith.functions.scalar import iso_utc
+from barsmith.operators.asof import valid_at
 from barsmith.operators.features import add_features
-from barsmith.operators.model import predict_proba, with_signal
+from barsmith.operators.model import TRAINED, predict_proba, with_signal
 from barsmith.operators.select import last_period, latest_row
 from barsmith.schema import at
 from barsmith.session import sized_side
@@ -16,8 +17,11 @@ def score_latest(bars: DataFrame, models: DataFrame, asof, period: str = "2mo")
     """One row per symbol with recent bars: probability, signal, time and status.
 
     A symbol without a model, or without enough bars for the features, gets 0.5
-    and hold, and `status` says why.
+    and hold, and `status` says why. Of kept versions (`load_versions`) each symbol's newest one
+    trained at `asof` or before is taken, so a past day is scored by what was known then.
     """
+    if TRAINED in models.columns:
+        models = valid_at(models, asof, since=TRAINED)
     recent = last_period(bars, period, asof)
     newest = latest_row(add_features(recent))
     scored = with_signal(predict_proba(newest, models))

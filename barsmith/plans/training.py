@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from barsmith.operators.features import labelled_features
-from barsmith.operators.model import evaluate, save_models, train_models
+from barsmith.operators.model import evaluate, save_models, save_version, train_models
 from barsmith.operators.select import last_months, min_history, require_both_splits, time_split
 from barsmith.operators.series import plan_series
 from barsmith.session import scratch_table
@@ -53,13 +53,20 @@ def train_run(
 ) -> DataFrame:
     """Train, save the models where the report says, and return the report.
 
-    `symbols` limits the universe. With `dry_run` nothing is saved.
+    Beside the models go the versions of all trainings (`...-versions`) and the report
+    (`...-report`), a JSON object a line, one symbol each. `symbols` limits the universe. With
+    `dry_run` nothing is saved.
     """
     if symbols is not None:
         bars = bars.where(F.col("symbol").isin(symbols))
     models, report = train_report(bars, asof, model_path=model_path, **options)
-    if not dry_run:
-        save_models(models, model_path)
+    if dry_run:
+        return report
+    report = scratch_table(report, "report")
+    save_models(models, model_path)
+    save_version(models, f"{model_path.rstrip('/')}-versions", asof)
+    lines = F.to_json(F.create_map("symbol", F.struct("metrics", "model_path")), {"ignoreNullFields": "false"})
+    report.select(lines.alias("value")).write.mode("overwrite").text(f"{model_path.rstrip('/')}-report")
     return report
 
 

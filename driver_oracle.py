@@ -608,3 +608,55 @@ SQL["evaluate_facts"] = sql(
     f"""SELECT symbol, count(*) FILTER (split = 'test') AS n_test, true AS "within" FROM split WHERE {BOTH}
     GROUP BY symbol HAVING min(label) FILTER (split = 'train') < max(label) FILTER (split = 'train')""",
 )
+
+VERSIONS = """
+    version AS (
+        SELECT symbol, make_timestamp(y, 7, 1, 0, 0, 0.0) AS trained_asof,
+               intercept + (y - 1997) / 10.0::DOUBLE AS intercept, coef
+        FROM model, range(1996, 2002) AS years(y))
+"""
+WILDER = """WITH RECURSIVE """ + DAILY + """,
+    numbered AS (
+        SELECT symbol, "timestamp", close - lag(close) OVER w AS move, row_number() OVER w - 1 AS n
+        FROM daily WINDOW w AS (PARTITION BY symbol ORDER BY "timestamp")),
+    moves AS (SELECT symbol, n, greatest(move, 0) AS up, greatest(-move, 0) AS down FROM numbered WHERE n > 0),
+    averages AS (
+        SELECT symbol, 14::BIGINT AS n, avg(up) AS up, avg(down) AS down FROM moves WHERE n <= 14
+        GROUP BY symbol HAVING count(*) = 14
+        UNION ALL
+        SELECT m.symbol, m.n, a.up + (m.up - a.up) / 14, a.down + (m.down - a.down) / 14
+        FROM averages AS a JOIN moves AS m ON m.symbol = a.symbol AND m.n = a.n + 1)
+    SELECT symbol, "timestamp", """ + rounded("100 * up / nullif(up + down, 0)") + """ AS rsi_wilder
+    FROM numbered LEFT JOIN averages USING (symbol, n)"""
+BOTH_INTERVALS = "daily AS (SELECT * FROM hourly UNION ALL SELECT * FROM resampled)"
+SQL |= {
+    "upsert_while_reading": sql(
+        [DAILY, UPSERT, MERGED],
+        f"SELECT {BAR}, 'before' AS reader FROM stored UNION ALL SELECT {BAR}, 'after' AS reader FROM merged",
+    ),
+    "features_after_corrections": sql(
+        [DAILY.replace("daily AS", "every AS"), UPSERT.replace("FROM daily", "FROM every"), MERGED,
+         "daily AS (SELECT * FROM merged)", FEATURES, LABELS],
+        f"SELECT {BAR}, {ALL_FEATURES}, {rounded('close_t1')} AS close_t1 FROM ahead",
+    ),
+    "stream_late_ticks": ALL_HOURLY,
+    "rsi_wilder": WILDER,
+    "rsi_wilder_split_series": WILDER,
+    "score_asof_trained_versions": sql(
+        [*L, MODELS, VERSIONS],
+        f"""SELECT r.symbol, r."timestamp", trained_asof,
+        {rounded("1 / (1 + exp(-(intercept + coef[1] * ret1 + coef[2] * ret5 + coef[3] * ret10 + coef[4] * dist_sma5 + coef[5] * dist_sma10 + coef[6] * dist_sma20 + coef[7] * vol10)))")} AS prob_up
+        FROM labelled AS r ASOF LEFT JOIN version AS v ON r.symbol = v.symbol AND r."timestamp" >= v.trained_asof""",
+    ),
+    "score_latest_of_versions": SQL["score_latest_past"].replace("AS intercept", "+ 0.1::DOUBLE AS intercept"),
+    "volume_profile_of_both_intervals": sql(
+        [HOURLY, RESAMPLED, BOTH_INTERVALS],
+        f"""SELECT symbol, "interval", bucket, {rounded("lo + bucket * width")} AS price_from, sum(volume) AS volume, count(*) AS bars
+        FROM (SELECT symbol, "interval", lo, width, volume,
+                     CAST(least(floor(coalesce((close - lo) / nullif(width, 0), 0)), 9) AS INTEGER) AS bucket
+              FROM daily JOIN (SELECT symbol, "interval", min(close) AS lo, (max(close) - min(close)) / 10 AS width
+                               FROM daily GROUP BY ALL) USING (symbol, "interval"))
+        GROUP BY symbol, "interval", bucket, lo, width""",
+    ),
+    "resample_of_both_intervals": sql([HOURLY, RESAMPLED], f"SELECT {BAR} FROM resampled"),
+}

@@ -24,7 +24,8 @@ from barsmith.session import configure, scratch_path, scratch_table, setting
 from barsmith.sources import raw as R, store as P
 from barsmith.sources.snapshots import latest, new_generation
 from barsmith.sources.ticks import TRADE_ORDER, readings, trades
-from barsmith.streaming.ingest import rebuild_bars, stream_bars, stream_ingest
+from barsmith.plans.upkeep import build_features, read_features
+from barsmith.streaming.ingest import rebuild_bars, stream_bars, stream_ingest, stream_ticks
 
 ASOF = "2001-11-04"
 BY_SYMBOL = P.Layout(by="symbol")
@@ -545,7 +546,7 @@ def price_position(spark, folder):
 
 @query
 def volume_profile(spark, folder):
-    return rounded(I.volume_profile(daily(spark, folder)), ["price_from"])
+    return rounded(I.volume_profile(daily(spark, folder)).drop("interval"), ["price_from"])
 
 
 @query
@@ -976,3 +977,95 @@ def score_latest_trained_facts(spark, folder):
 @query
 def evaluate_facts(spark, folder):
     return evaluate(spark, folder).select("symbol", "n_test", within("accuracy", "f1").alias("within"))
+
+
+# --- readers beside writers, kept features, recursive averages, kept models ---
+
+
+@query
+def upsert_while_reading(spark, folder):
+    """What a reader that began before an upsert sees, and what one that begins after it sees."""
+    base = scratch_path(spark, "prices_1d")
+    P.write_bars(stored_until(spark, folder), base, "1d", BY_BUCKET)
+    before = P.read_bars(spark, base, "1d", layout=BY_BUCKET, ntz=True)
+    P.upsert_bars(spark, base, corrections(spark, folder), "1d", BY_BUCKET, ntz=True)
+    after = P.read_bars(spark, base, "1d", layout=BY_BUCKET, ntz=True)
+    return before.withColumn("reader", F.lit("before")).unionByName(after.withColumn("reader", F.lit("after")))
+
+
+@query
+def features_after_corrections(spark, folder):
+    """Stored features and next closes after a streamed batch of new and corrected bars."""
+    bars, kept = scratch_path(spark, "prices_1d"), scratch_path(spark, "features_1d")
+    P.write_bars(stored_until(spark, folder), bars, "1d", BY_BUCKET)
+    build_features(spark, bars, kept, "1d", BY_BUCKET, ntz=True)
+    landing = land(as_raw(corrections(spark, folder)), scratch_path(spark, "landing"), "json")
+    stream_ingest(
+        spark, landing, bars, scratch_path(spark, "checkpoint"), layout=BY_BUCKET, ntz=True, features=kept
+    ).awaitTermination()
+    return rounded(read_features(spark, kept, "1d", BY_BUCKET, ntz=True), [*FEATURE_COLUMNS, "close_t1"])
+
+
+@query
+def stream_late_ticks(spark, folder):
+    """Readings that come in three parts, each with readings from before the last one's end."""
+    events = spark.read.parquet(f"{folder}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    path, base = scratch_path(spark, "ticks"), scratch_path(spark, "prices_1h")
+    checkpoint = scratch_path(spark, "checkpoint")
+    for part in range(3):
+        events.where(F.col("event_id") % 3 == part).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(events.schema).parquet(path)
+        stream_ticks(readings(stream), base, checkpoint, layout=BY_BUCKET, ntz=True).awaitTermination()
+    return P.read_bars(spark, base, "1h", layout=BY_BUCKET, ntz=True)
+
+
+@query
+def rsi_wilder(spark, folder):
+    return rounded(key_and(I.rsi_wilder(daily(spark, folder)), "rsi_wilder"), ["rsi_wilder"])
+
+
+@query
+def rsi_wilder_split_series(spark, folder):
+    """The same values with every symbol cut into blocks of some 100 bars, and those into chunks of 64."""
+    bars = daily(spark, folder)
+    found = I.rsi_wilder(bars, plan=plan_series(bars, max_rows=100), chunk=64)
+    return rounded(key_and(found, "rsi_wilder"), ["rsi_wilder"])
+
+
+def model_versions(spark, folder) -> DataFrame:
+    """The models of 20 brands, trained anew each year: the intercept tells the year."""
+    path = scratch_path(spark, "versions")
+    models = fixed_models(spark, folder)
+    for year in range(1996, 2002):
+        shifted = models.withColumn("intercept", F.col("intercept") + (year - 1997) / 10.0)
+        M.save_version(shifted, path, f"{year}-07-01 00:00:00")
+    return M.load_versions(spark, path)
+
+
+@query
+def score_asof_trained_versions(spark, folder):
+    """Each bar scored by the model that was known then."""
+    scored = M.predict_proba_asof(labelled(spark, folder), model_versions(spark, folder))
+    return rounded(key_and(scored, M.TRAINED, "prob_up"), ["prob_up"])
+
+
+@query
+def score_latest_of_versions(spark, folder):
+    """A past day's scores by the versions of that time."""
+    return rounded(score(daily(spark, folder), model_versions(spark, folder), PAST), ["prob_up"])
+
+
+def both_intervals(spark, folder) -> DataFrame:
+    """Hourly and daily bars of the same symbols in one frame."""
+    bars = hourly(spark, folder)
+    return bars.unionByName(B.resample(bars))
+
+
+@query
+def volume_profile_of_both_intervals(spark, folder):
+    return rounded(I.volume_profile(both_intervals(spark, folder)), ["price_from"])
+
+
+@query
+def resample_of_both_intervals(spark, folder):
+    return B.resample(both_intervals(spark, folder))
