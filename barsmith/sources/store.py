@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime
 import re
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -31,6 +32,8 @@ from barsmith.sources.snapshots import Snapshot, clean, commit, latest, lease, n
 
 # Touched partitions are pruned by literal values up to this many.
 LITERALS = 1000
+# Fixed value: Spark's folder name for a missing value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 # Bars a symbol that trades on weekdays has in a month, at least.
 BARS_PER_MONTH = {"1d": 18, "1h": 110}
 
@@ -92,7 +95,7 @@ def _scan(
     base = base.rstrip("/")
     schema = layout.schema(interval, ntz)
     snapshot = latest(spark, base)
-    paths = [base] if snapshot is None else snapshot.paths(base, wanted)
+    paths, left_out = ([base], []) if snapshot is None else snapshot.paths(base, wanted, LITERALS)
     reader = spark.read.schema(schema).options(
         basePath=base, ignoreCorruptFiles=ignore_corrupt, ignoreMissingFiles=ignore_corrupt
     )
@@ -102,9 +105,20 @@ def _scan(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         df = spark.createDataFrame([], schema)
+    if left_out and paths:
+        df = df.where(~_folder(layout.columns(interval)).isin([_folder_values(folder) for folder in left_out]))
     return df.where(F.col("interval") == interval)
 
 
+def _folder(columns: list[str]) -> Column:
+    """The values of a row's folders as one text; a filter on it opens only the others."""
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit(NO_VALUE)) for c in ("gen", *columns)])
+
+
+def _folder_values(folder: str) -> str:
+    return "|".join(unquote(part.split("=", 1)[1]) for part in folder.split("/"))
+
+
 def _month(moment) -> int | None:
     """Year times 12 plus month of a moment given as text or date; None if only Spark can tell."""
     if isinstance(moment, str) and (found := re.match(r"(\d{4})-(\d{2})", moment)):
@@ -222,9 +236,7 @@ def _opened(spark, base: str, layout: Layout) -> Snapshot:
     before = latest(spark, base)
     if before is None and folders(spark, f"{base}/interval=*"):
         raise ValueError(f"{base} has bars but no snapshots; copy it with read_bars and write_bars")
-    before = before or Snapshot()
-    clean(spark, base, before)
-    return before
+    return clean(spark, base, before or Snapshot())
 
 
 def _write(
@@ -260,7 +272,7 @@ def _write(
 def tree(spark, base: str) -> str | None:
     """The folder of the newest generation that counts."""
     snapshot = latest(spark, base.rstrip("/"))
-    return f"{base.rstrip('/')}/gen={max(snapshot.sizes)}" if snapshot and snapshot.sizes else None
+    return f"{base.rstrip('/')}/gen={max(snapshot.partitions.values())}" if snapshot and snapshot.partitions else None
 
 
 def plan_write(df: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from barsmith.operators import features as X, indicators as I
+from barsmith.operators import bars as B, features as X, indicators as I
 from barsmith.operators.model import cv_folds
 from barsmith.operators.series import plan_series, series_position
 from helpers import pandas_features, pandas_labels, same, to_spark, walk
@@ -133,3 +133,48 @@ def test_empty_input(spark):
     bars = to_spark(spark, walk("A", 5)).where(F.lit(False))
     assert X.labelled_features(bars).count() == 0
     assert I.volume_profile(bars).count() == 0
+
+
+def plain_wilder(bars: pd.DataFrame, n: int = 14) -> list:
+    """Row by row, from the definition."""
+    out, up, down, known, before = [], 0.0, 0.0, 0, np.nan
+    for close in bars.sort_values("timestamp")["close"]:
+        move, before = close - before, close
+        if np.isnan(move):
+            out.append(np.nan)
+            continue
+        known += 1
+        gain, loss = max(move, 0.0), max(-move, 0.0)
+        if known <= n:
+            up, down = up + gain / n, down + loss / n
+        else:
+            up, down = up + (gain - up) / n, down + (loss - down) / n
+        out.append(100 * up / (up + down) if known >= n and up + down > 0 else np.nan)
+    return out
+
+
+@pytest.mark.parametrize("max_rows, chunk", [(10**6, 2048), (10**6, 7), (100, 50), (90, 3)])
+def test_wilder_rsi_cut_and_uncut(spark, max_rows, chunk):
+    frames = [walk("A", 700, 1, gaps=True), walk("B", 13, 2), walk("C", 15, 3), walk("FLAT", 30, 3).assign(close=5.0)]
+    frames[0].loc[[5, 200, 201, 640], "close"] = np.nan
+    frames[0].loc[300, "close"] = 0.0
+    frames.append(pd.concat([walk("STOP", 40, 4), walk("STOP", 60, 5, start="2020-02-12").assign(close=7.0)]))
+    bars = to_spark(spark, *frames)
+    got = I.rsi_wilder(bars, plan=plan_series(bars, max_rows=max_rows), chunk=chunk).toPandas()
+    for frame in frames:
+        mine = got[got["symbol"] == frame["symbol"].iloc[0]].sort_values("timestamp")
+        np.testing.assert_allclose(mine["rsi_wilder"].astype(float), plain_wilder(frame), rtol=1e-9, atol=1e-9)
+    assert I.rsi_wilder(bars.limit(0)).count() == 0
+
+
+def test_profile_and_resampling_keep_intervals_apart(spark):
+    hourly = walk("A", 48, 1).assign(interval="1h")
+    hourly["timestamp"] = pd.date_range("2020-01-01", periods=48, freq="h")
+    daily = walk("A", 30, 2)
+    both = to_spark(spark, hourly, daily)
+    for name, frame in (("1h", hourly), ("1d", daily)):
+        got = I.volume_profile(both).where(F.col("interval") == name).drop("interval")
+        want = I.volume_profile(to_spark(spark, frame)).drop("interval")
+        assert sorted(got.collect()) == sorted(want.collect())
+    got, want = (B.resample(d).orderBy("timestamp").collect() for d in (both, to_spark(spark, hourly)))
+    assert got == want and len(got) == 2

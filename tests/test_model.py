@@ -6,6 +6,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from barsmith.operators import model as M
+from barsmith.operators.asof import asof_join, valid_at
+from barsmith.operators.features import add_features
 from barsmith.plans.scoring import score_latest
 from barsmith.plans.training import report_json, train_report
 from barsmith.schema import FEATURES
@@ -130,3 +132,37 @@ def test_missing_inputs_count_the_same_in_a_group_and_by_sums(spark):
     assert [m["symbol"] for m in group] == [m["symbol"] for m in sums] == ["A"]
     assert group[0]["n_train"] == sums[0]["n_train"] == used and group[0]["status"] == "ok"
     assert np.allclose(group[0]["coef"], sums[0]["coef"], atol=1e-6)
+
+
+def test_asof_join(spark):
+    rows = [("A", d) for d in ("2020-01-05", "2020-02-10", "2020-02-11", "2021-07-01")] + [("B", "2020-03-01"), (None, "2020-03-01"), ("A", None)]
+    df = spark.createDataFrame(rows, "symbol string, day string").select("symbol", F.col("day").cast("timestamp_ntz").alias("timestamp"))
+    known = [("A", "2020-02-10", 1), ("A", "2020-02-11", 2), ("A", "2020-06-30", 3), ("B", "2020-03-02", 4), (None, "2020-01-01", 5), ("B", None, 6), ("A", "2030-01-01", 7)]
+    versions = spark.createDataFrame(known, "symbol string, day string, v int").select("symbol", F.col("day").cast("timestamp_ntz").alias("since"), "v")
+    got = {(r.symbol, str(r.timestamp)[:10]): r.v for r in asof_join(df, versions).collect()}
+    assert got == {("A", "2020-01-05"): None, ("A", "2020-02-10"): 1, ("A", "2020-02-11"): 2, ("A", "2021-07-01"): 3,
+                   ("B", "2020-03-01"): None, (None, "2020-03-01"): None, ("A", "None"): None}
+    assert asof_join(df, versions.limit(0)).count() == 7 and asof_join(df.limit(0), versions).count() == 0
+    assert {r.symbol: r.v for r in valid_at(versions, "2020-02-10 12:00:00").where("symbol is not null").collect()} == {"A": 1}
+
+
+def test_kept_versions_and_scores_of_a_past_day(spark, tmp_path):
+    path = str(tmp_path / "versions")
+    frame = walk("A", 500, 1)
+    bars = to_spark(spark, frame)
+    for asof in ("2020-12-31", "2021-03-31", "2021-03-31"):
+        M.save_version(train_report(bars, asof)[0], path, asof)
+    versions = M.load_versions(spark, path)
+    assert versions.count() == 2 and M.load_versions(spark, path, "2021-01-01").count() == 1
+    early = train_report(bars, "2020-12-31")[0]
+    for day in ("2021-01-15", "2021-03-30"):
+        assert score_latest(bars, versions, day).collect() == score_latest(bars, early, day).collect()
+    assert score_latest(bars, versions, "2020-12-01").first()["status"] == "no_model"
+    rows = add_features(bars)
+    scored = {r.timestamp: r for r in M.predict_proba_asof(rows, versions).collect()}
+    first = {r.timestamp: r.prob_up for r in M.predict_proba(rows, early).collect()}
+    for at, row in scored.items():
+        expected = None if str(at) < "2020-12-31" else "2020-12-31" if str(at) < "2021-03-31" else "2021-03-31"
+        assert (row[M.TRAINED] and str(row[M.TRAINED])[:10]) == expected
+        if expected == "2020-12-31":
+            assert row.prob_up == first[at]

@@ -1,10 +1,11 @@
+import json
 import os
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from barsmith.operators.model import load_models
+from barsmith.operators.model import load_models, load_versions
 from barsmith.plans.ingest import ingest, ingest_rejects
 from barsmith.plans.latest import latest_response
 from barsmith.plans.scoring import score_latest
@@ -72,6 +73,10 @@ def test_training_run_saves_its_models(spark, tmp_path):
     report = {r["symbol"]: r["model_path"] for r in train_run(bars, "2021-02-01", path).collect()}
     assert set(report) == {"A", "007"} and all(os.path.isdir(p) for p in report.values())
     assert {r["symbol"] for r in load_models(spark, path).collect()} == {"A", "007"}
+    assert {str(r["trained_asof"]) for r in load_versions(spark, f"{path}-versions").collect()} == {"2021-02-01 00:00:00"}
+    lines = [json.loads(r[0]) for r in spark.read.text(f"{path}-report").collect()]
+    written = {symbol: entry for line in lines for symbol, entry in line.items()}
+    assert {s: e["model_path"] for s, e in written.items()} == report and 0 <= written["A"]["metrics"]["accuracy"] <= 1
     assert train_run(bars, "2021-02-01", path, symbols=["A"], dry_run=True).count() == 1
 
 

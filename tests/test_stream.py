@@ -2,8 +2,10 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from barsmith.operators.bars import build_bars
+from barsmith.operators.features import add_features
+from barsmith.plans.upkeep import read_features
 from barsmith.sources import store as P
-from barsmith.streaming.ingest import dropped, rebuild_bars, stream_bars, stream_ingest
+from barsmith.streaming.ingest import dropped, rebuild_bars, stream_bars, stream_ingest, stream_ticks
 from helpers import same, to_spark, walk
 
 LAYOUT = P.Layout(buckets=2)
@@ -77,3 +79,29 @@ def test_late_ticks_are_counted_and_repaired(spark, tmp_path):
     assert left_out == [0, 1] and stored() == 4
     rebuild_bars(spark.read.parquet(path), base, layout=LAYOUT)
     assert stored() == 5
+
+
+def test_ticks_are_never_too_late_and_count_once(spark, tmp_path):
+    """Files with ever older ticks, then the last file's batch again."""
+    ticks = spark.range(2000).select(
+        F.concat(F.lit("S"), F.col("id") % 3).alias("symbol"),
+        F.timestamp_seconds(1_700_000_000 + F.col("id") * 97).alias("timestamp"),
+        ((F.col("id") * 7919) % 1000 / 10.0).alias("price"),
+        F.lit(2.0).alias("size"),
+    )
+    path, base, check = (str(tmp_path / n) for n in ("ticks", "store", "check"))
+    features = str(tmp_path / "features")
+    for part in (2, 0, 1):
+        ticks.where(F.pmod(F.hash("timestamp"), F.lit(3)) == part).coalesce(1).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(ticks.schema).parquet(path)
+        stream_ticks(stream, base, check, layout=LAYOUT, features=features).awaitTermination()
+    bars = P.read_bars(spark, base, "1h", layout=LAYOUT)
+    same(bars.toPandas(), build_bars(ticks, "1h").toPandas())
+    kept = read_features(spark, features, "1h", LAYOUT).drop("close_t1").toPandas()
+    same(kept, add_features(bars).toPandas())
+    # the driver dies before the last batch is marked as done
+    (commit,) = sorted((tmp_path / "check" / "commits").glob("2"))
+    commit.unlink()
+    (tmp_path / "check" / "commits" / ".2.crc").unlink(missing_ok=True)
+    stream_ticks(spark.readStream.schema(ticks.schema).parquet(path), base, check, layout=LAYOUT).awaitTermination()
+    same(P.read_bars(spark, base, "1h", layout=LAYOUT).toPandas(), build_bars(ticks, "1h").toPandas())
