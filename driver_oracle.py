@@ -660,3 +660,12 @@ SQL |= {
     ),
     "resample_of_both_intervals": sql([HOURLY, RESAMPLED], f"SELECT {BAR} FROM resampled"),
 }
+SQL |= {
+    "sql_table_after_upsert": ALL_MERGED,
+    "sql_table_function": sql(
+        [DAILY],
+        """SELECT symbol, CAST(year("timestamp") AS INTEGER) AS year, count(*) AS bars, max(high) AS high FROM daily
+        WHERE symbol IN ('Brand#3', 'Brand#14') AND "timestamp" >= TIMESTAMP '1998-02-10'
+          AND "timestamp" < TIMESTAMP '2000-06-15' GROUP BY ALL""",
+    ),
+}

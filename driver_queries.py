@@ -7,6 +7,7 @@ stored table; the other queries start from there, as they would in use.
 from __future__ import annotations
 
 import functools
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -17,7 +18,7 @@ from barsmith.operators.series import plan_series
 from barsmith.plans.ingest import ingest, ingest_rejects
 from barsmith.plans.latest import latest_response as respond, stored_response as respond_from_store
 from barsmith.plans.scoring import score_latest as score
-from barsmith.plans.sql import register_views
+from barsmith.plans.sql import register_function, register_views, sync_table
 from barsmith.plans.training import report_json, train_report, training_rows
 from barsmith.schema import BAR_COLUMNS, FEATURE_COLUMNS, FEATURES, bar_schema, require_columns
 from barsmith.session import configure, scratch_path, scratch_table, setting
@@ -1069,3 +1070,37 @@ def volume_profile_of_both_intervals(spark, folder):
 @query
 def resample_of_both_intervals(spark, folder):
     return B.resample(both_intervals(spark, folder))
+
+
+# --- the catalog --------------------------------------------------------------
+
+
+def catalog_table(spark, base: str) -> str:
+    """The name of a new table that shows the store of daily bars."""
+    name = f"prices_{uuid.uuid4().hex}"
+    sync_table(spark, name, base, "1d", BY_BUCKET, ntz=True)
+    return name
+
+
+@query
+def sql_table_after_upsert(spark, folder):
+    """The catalog's table, made before an upsert and brought up to date after it."""
+    base = scratch_path(spark, "prices_1d")
+    P.write_bars(stored_until(spark, folder), base, "1d", BY_BUCKET)
+    name = catalog_table(spark, base)
+    P.upsert_bars(spark, base, corrections(spark, folder), "1d", BY_BUCKET, ntz=True)
+    sync_table(spark, name, base, "1d", BY_BUCKET, ntz=True)
+    return spark.sql(f"SELECT {', '.join(BAR_COLUMNS)} FROM {name}")
+
+
+@query
+def sql_table_function(spark, folder):
+    name = catalog_table(spark, daily_store(spark, folder))
+    register_function(spark, {"1d": name}, BY_BUCKET, ntz=True)
+    return spark.sql(
+        """
+        SELECT symbol, year(timestamp) AS year, count(*) AS bars, max(high) AS high
+        FROM bars('1d', array('Brand#3', 'Brand#14'), TIMESTAMP_NTZ '1998-02-10', TIMESTAMP_NTZ '2000-06-15')
+        GROUP BY ALL
+        """
+    )

@@ -1,4 +1,5 @@
 import os
+import re
 import threading
 from concurrent.futures import ThreadPoolExecutor
 
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barsmith.operators import bars as B
-from barsmith.plans.sql import register_views
+from barsmith.plans.sql import register_function, register_views, sync_table
 from barsmith.schema import bar_schema
 from barsmith.sources import raw as R, snapshots as S, store as P
 from barsmith.sources.paths import create_new, read_text
@@ -318,3 +319,62 @@ def test_many_touched_partitions_are_pruned_too(spark, tmp_path, layout, monkeyp
     assert "dynamicpruning" in touched._jdf.queryExecution().executedPlan().toString().lower()
     month = old["timestamp"].dt.month == old["timestamp"].iloc[-1].month
     assert touched.count() == month.sum()
+
+
+def location(df) -> int:
+    """How many folders a query lists."""
+    df.collect()
+    found = re.findall(r"InMemoryFileIndex\((\d+) paths?\)", df._jdf.queryExecution().executedPlan().toString())
+    return sum(map(int, found))
+
+
+def test_catalog_table_follows_the_store(spark, tmp_path, layout):
+    base, name = str(tmp_path / "st'ore"), f"prices_{layout.by}"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    frames = [walk("A", 90, 1), walk("B'%=1", 40, 2)]
+    P.write_bars(to_spark(spark, *frames), base, "1d", layout)
+    assert sync_table(spark, name, base, "1d", layout, ntz=True) > 0
+    shown = lambda: spark.table(name).select(*frames[0].columns).toPandas()
+    same(shown(), pd.concat(frames))
+    assert sync_table(spark, name, base, "1d", layout, ntz=True) == 0
+    new = walk("A", 2, 3, start="2020-02-09").assign(close=9.0)
+    later = walk("C", 5, 4, start="2021-05-05")
+    for batch in (new, later):
+        P.upsert_bars(spark, base, to_spark(spark, batch), "1d", layout, ntz=True)
+    assert sync_table(spark, name, base, "1d", layout, ntz=True, statistics=True) == 2
+    stored = read(spark, base, layout).toPandas()
+    same(shown(), stored)
+    assert len(stored) == 135 and (stored["close"] == 9.0).sum() == 2
+    assert "135 rows" in {r[0]: r[1] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}["Statistics"]
+    part = spark.sql(f"SELECT * FROM {name} WHERE year = 2021")
+    assert part.count() == 5 and location(part) == 1
+    P.expire_store(spark, base, "1d", "2021-06-01", 60, layout)
+    assert sync_table(spark, name, base, "1d", layout, ntz=True) > 0
+    same(shown(), later)
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_table_function_opens_only_its_folders(spark, tmp_path, layout):
+    base, hours = str(tmp_path / "store"), str(tmp_path / "hours")
+    P.write_bars(to_spark(spark, walk("A", 400, 1), walk("B", 400, 2)), base, "1d", layout)
+    hourly = walk("A", 100, 1).assign(interval="1h")
+    hourly["timestamp"] = pd.date_range("2020-01-01", periods=100, freq="h")
+    P.write_bars(to_spark(spark, hourly), hours, "1h", layout)
+    tables = {}
+    for interval, folder in (("1d", base), ("1h", hours)):
+        tables[interval] = f"bars_{interval}_{layout.by}"
+        spark.sql(f"DROP TABLE IF EXISTS {tables[interval]}")
+        sync_table(spark, tables[interval], folder, interval, layout, ntz=True)
+    register_function(spark, tables, layout, ntz=True)
+    part = spark.sql("SELECT * FROM bars('1d', array('A'), TIMESTAMP_NTZ '2020-03-05', TIMESTAMP_NTZ '2020-05-02')")
+    want = walk("A", 400, 1)
+    same(part.toPandas(), want[(want["timestamp"] >= "2020-03-05") & (want["timestamp"] < "2020-05-02")])
+    assert location(part) == 3  # March, April and May of one symbol or bucket
+    day = spark.sql("SELECT * FROM bars('1h', since => TIMESTAMP_NTZ '2020-01-03 05:00:00', until => TIMESTAMP_NTZ '2020-01-04')")
+    assert day.count() == 19 and location(day) == 2
+    assert spark.sql("SELECT * FROM bars('1d')").count() == 800
+    assert spark.sql("SELECT * FROM bars('1d', array('none'))").count() == 0
+    joined = spark.sql("SELECT count(*) FROM bars('1d', array('A')) AS a JOIN bars('1d', array('B')) AS b USING (timestamp)")
+    assert joined.first()[0] == 400
+    for table in tables.values():
+        spark.sql(f"DROP TABLE {table}")
