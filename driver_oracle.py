@@ -669,3 +669,11 @@ SQL |= {
           AND "timestamp" < TIMESTAMP '2000-06-15' GROUP BY ALL""",
     ),
 }
+SQL |= {
+    "wide_text_files": ALL_DAILY,
+    "quarantined_files": sql(
+        [DAILY],
+        """SELECT DISTINCT CAST(year("timestamp") AS INTEGER) AS year, CAST(month("timestamp") AS INTEGER) AS month, 0::INTEGER AS bucket,
+        15::BIGINT AS bytes, 'not a Parquet file' AS reason FROM daily""",
+    ),
+}

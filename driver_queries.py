@@ -23,6 +23,7 @@ from barsmith.plans.training import report_json, train_report, training_rows
 from barsmith.schema import BAR_COLUMNS, FEATURE_COLUMNS, FEATURES, bar_schema, require_columns
 from barsmith.session import configure, scratch_path, scratch_table, setting
 from barsmith.sources import raw as R, store as P
+from barsmith.sources.probe import quarantined
 from barsmith.sources.snapshots import latest, new_generation
 from barsmith.sources.ticks import TRADE_ORDER, readings, trades
 from barsmith.plans.upkeep import build_features, read_features
@@ -1104,3 +1105,39 @@ def sql_table_function(spark, folder):
         GROUP BY ALL
         """
     )
+
+
+# --- wide text files, files that cannot be read -------------------------------
+
+
+@query
+def wide_text_files(spark, folder):
+    """Bars of all brands side by side in text files with two header lines."""
+    fields = ["Open", "High", "Low", "Close", "Volume"]
+    wide = daily(spark, folder).groupBy(F.date_format("timestamp", "yyyy-MM-dd").alias("Date")).pivot("symbol").agg(
+        *[F.first(f.lower()).alias(f) for f in fields]
+    )
+    pairs = [name.rsplit("_", 1) for name in wide.columns[1:]]
+    heads = [["Price", *[f for _, f in pairs]], ["Ticker", *[t for t, _ in pairs]], ["Date", *["" for _ in pairs]]]
+    heads = spark.createDataFrame([(i, ",".join(line)) for i, line in enumerate(heads)], "place int, value string")
+    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in wide.columns]
+    path = scratch_path(spark, "landing")
+    for year in ("1995", "1996-2001"):
+        some = wide.where((F.substring("Date", 1, 4) == "1995") == F.lit(year == "1995"))
+        lines = heads.unionByName(some.select(F.lit(9).alias("place"), F.concat_ws(",", *cells).alias("value")))
+        lines.repartition(1).sortWithinPartitions("place").select("value").write.mode("append").text(path)
+    return R.raw_bars(spark, path, "wide", "1d", ntz=True)
+
+
+@query
+def quarantined_files(spark, folder):
+    """A store in which a file of each month is no Parquet file."""
+    base = scratch_path(spark, "prices_1d")
+    P.write_bars(daily(spark, folder), base, "1d", BY_BUCKET)
+    months = daily(spark, folder).select(
+        F.lit("no bars at all").alias("value"), F.lit("1d").alias("interval"),
+        F.year("timestamp").alias("year"), F.month("timestamp").alias("month"), F.lit(0).alias("bucket"),
+    ).distinct()
+    months.write.mode("append").partitionBy("interval", "year", "month", "bucket").text(P.tree(spark, base))
+    of = [F.regexp_extract("path", f"/{part}=([0-9]+)/", 1).cast("int").alias(part) for part in ("year", "month", "bucket")]
+    return quarantined(spark, base).select(*of, "bytes", "reason")

@@ -12,6 +12,7 @@ from barsmith.plans.sql import register_function, register_views, sync_table
 from barsmith.schema import bar_schema
 from barsmith.sources import raw as R, snapshots as S, store as P
 from barsmith.sources.paths import create_new, read_text
+from barsmith.sources.probe import list_files, probe_files, quarantined
 from helpers import same, to_spark, walk
 
 LAYOUTS = [P.Layout(by="symbol"), P.Layout(buckets=3)]
@@ -378,3 +379,53 @@ def test_table_function_opens_only_its_folders(spark, tmp_path, layout):
     assert joined.first()[0] == 400
     for table in tables.values():
         spark.sql(f"DROP TABLE {table}")
+
+
+def test_unreadable_files_are_named(spark, tmp_path, layout):
+    base = str(tmp_path / "store")
+    P.write_bars(to_spark(spark, walk("A", 60, 1), walk("B", 60, 2)), base, "1d", layout)
+    assert quarantined(spark, base).count() == 0 == quarantined(spark, str(tmp_path / "none")).count()
+    files = [f.removeprefix("file://") for f in sorted(read(spark, base, layout).inputFiles())]
+    with open(files[0], "r+b") as f:  # cut in the middle
+        f.truncate(os.path.getsize(files[0]) // 2)
+    with open(f"{os.path.dirname(files[1])}/notes.txt", "w") as f:
+        f.write("no bars")
+    with open(files[1], "r+b") as f:  # the footer's length is wrong
+        f.seek(-8, os.SEEK_END)
+        f.write(b"\xff\xff\xff\x7f")
+    found = {r.path.removeprefix("file:").replace("//", "/"): r.reason for r in quarantined(spark, base).collect()}
+    assert set(found) == {files[0], files[1], f"{os.path.dirname(files[1])}/notes.txt"}
+    assert found[files[0]] == "not a Parquet file" and all(found.values())
+    rest = [f for f in files if f not in found]
+    counted = probe_files(list_files(spark, *rest)).collect()
+    assert sum(r.rows for r in counted) == read(spark, base, layout, ignore_corrupt=True).count()
+    P.upsert_bars(spark, base, to_spark(spark, walk("C", 3, 1, start="2021-01-01")), "1d", layout, ntz=True)
+    assert quarantined(spark, base).count() == 3
+
+
+def test_wide_text_files(spark, tmp_path):
+    path = tmp_path / "wide"
+    path.mkdir()
+    heads = ["Price,Close,Close,Open,Open,Volume,Dividends", "Ticker,AA,B B,AA,B B,AA,AA"]
+    (path / "a.csv").write_text("\n".join([*heads, "Date,,,,,,", "2020-01-02,1.5,2,1,,7,0", "2020-01-03,,,,,,", '2020-01-06,"3",x,2,nan,,0']))
+    (path / "b.csv").write_text("\n".join([*heads, "2020-01-07,,9,,8,,0", ""]))
+    got = sorted(((r.Date, r.Ticker, r.Open, r.Close, r.Volume, r.High) for r in R.read_raw(spark, str(path), "wide").collect()), key=str)
+    want = [("2020-01-02", "AA", 1.0, 1.5, 7.0, None), ("2020-01-02", "B B", None, 2.0, None, None),
+            ("2020-01-06", "AA", 2.0, 3.0, None, None), ("2020-01-07", "B B", 8.0, 9.0, None, None)]
+    assert got == want
+    (tmp_path / "turned.csv").write_text("Ticker,AA\nPrice,Close\n2020-01-02,4")
+    assert [r.Close for r in R.read_wide(spark, str(tmp_path / "turned.csv")).collect()] == [4.0]
+    (tmp_path / "other.csv").write_text("a,b\nc,d\n")
+    with pytest.raises(ValueError, match="no header line"):
+        R.read_wide(spark, str(tmp_path / "other.csv"))
+    assert R.read_wide(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_thousands_of_tickers_side_by_side(spark, tmp_path):
+    tickers, days = [f"T{i}" for i in range(5000)], 20
+    heads = [",".join(["Price", *["Close"] * 5000, *["Volume"] * 5000]), ",".join(["Ticker", *tickers, *tickers])]
+    rows = [",".join([f"2020-01-{d + 1:02}", *[str(i + d) for i in range(5000)], *["1"] * 5000]) for d in range(days)]
+    (tmp_path / "wide.csv").write_text("\n".join([*heads, *rows]))
+    found = R.read_wide(spark, str(tmp_path / "wide.csv"))
+    total = found.agg(F.count("*"), F.sum("Close"), F.sum("Volume"), F.count_distinct("Ticker")).first()
+    assert tuple(total) == (100_000, float(sum(i + d for d in range(days) for i in range(5000))), 100_000.0, 5000)
