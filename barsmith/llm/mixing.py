@@ -18,7 +18,9 @@ Only a table of one row per source is joined to the documents.
 
 Tokens are runs of other than white space (blank, 09 to 0D). A null text has none. Null is a
 source of its own. A source without tokens gets no weight and is left out. Equal rows stand at
-the same place, in or out together.
+the same place, in or out together. A small source may be repeated very often, if the target is one of
+entropy: its copies are made by many tasks, `COPIES` of a document at a time; a limit on
+repetition is the other target.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from barsmith.llm.common import fresh
 from barsmith.session import scratch_table, sized_side
 
 BLOCK, SECTIONS, ROUNDS, PLACES = 1024, 16, 8, 9
+# Copies of a document that one task makes; more are dealt over tasks.
+COPIES = 4096
 
 
 def tokens(text: Column) -> Column:
@@ -90,7 +94,10 @@ def plan(
     shares = totals.withColumn("share", F.col("tokens") / F.lit(float(total or 1)))
     tau = round(exponent(shares, budget * total, entropy, repeats), PLACES)
     norm = shares.agg(F.sum(F.pow("share", F.lit(tau)))).first()[0] or 1.0
-    weight = F.round(F.pow("share", F.lit(tau)) / F.lit(norm), PLACES)
+    # rounded to so many digits after the first, however small: no source vanishes by rounding
+    weight = F.pow("share", F.lit(tau)) / F.lit(norm)
+    scale = F.pow(F.lit(10.0), F.floor(-F.log10(weight)))
+    weight = F.round(weight * scale, PLACES) / scale
     sources = (
         shares.withColumn("weight", weight)
         .withColumn("budget", F.floor(F.col("weight") * F.lit(budget * total)).cast("bigint"))
@@ -153,7 +160,7 @@ def mixture(
 
     Where the documents have columns of these names already, the new ones get an underscore.
     """
-    n, key, of, times = fresh(docs, "n", "id_hash", "of", "times")
+    n, key, of, times, at_block = fresh(docs, "n", "id_hash", "of", "times", "block_of")
     epoch_name, slot_name, place_name = fresh(docs, "epoch", "slot", "place")
     small = docs.select("source", tokens(F.col("text")).alias("n"), hashed(F.col("doc_id"), F.col("text")).alias("id_hash"))
     sources = plan(scratch_table(small, "keys"), budget, entropy, repeats, seed)
@@ -167,11 +174,20 @@ def mixture(
     at = (in_slot == F.col(f"{of}.cut_slot")) & (blocked == F.col(f"{of}.cut_block"))
     partial = F.col(f"{of}.cut_slot").isNull() | before | (at & F.coalesce(in_place <= F.col(f"{of}.cut_place"), F.lit(False)))
     count = F.col(f"{of}.epochs") + partial.cast("bigint")
-    repeated = used.withColumn(times, count).where(F.col(times) > 0)
-    repeated = repeated.withColumn(epoch_name, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(times) - 1)))
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    repeated = used.select(*own, key, count.alias(times), blocked.alias(at_block)).where(F.col(times) > 0)
+    most = sources.agg(F.max("epochs")).first()[0] or 0
+    zero, first, last = F.lit(0).cast("bigint"), F.lit(0).cast("bigint"), F.col(times) - 1
+    if most >= COPIES:
+        (share,) = fresh(repeated, "share_of_copies")
+        repeated = repeated.withColumn(share, F.explode(F.sequence(zero, F.expr(f"(`{times}` - 1) div {COPIES}"))))
+        repeated = repeated.repartition(key, share)
+        first = F.col(share) * COPIES
+        last = F.least(last, first + COPIES - 1)
+    repeated = repeated.withColumn(epoch_name, F.explode(F.sequence(first, last)))
     return repeated.select(
-        *[docs[c] for c in docs.columns],
+        *own,
         epoch_name,
-        hashed(F.lit(seed), F.col(f"{of}.source"), blocked, F.col(epoch_name)).alias(slot_name),
+        hashed(F.lit(seed), F.col("source"), F.col(at_block), F.col(epoch_name)).alias(slot_name),
         hashed(F.col(key), F.col(epoch_name)).alias(place_name),
     )

@@ -28,7 +28,7 @@ from barsmith.llm.spans import digest, let, matches
 from barsmith.session import scratch_table
 
 KINDS = ("email", "ip", "card", "phone")
-SUPPORT, ACCEPT = 3.0, 0.75
+SUPPORT, ACCEPT, DIGITS = 3.0, 0.75, 6
 
 # Each search begins at the start of a run or where the last match ended, and never goes
 # back into a run: long runs cost their length.
@@ -157,16 +157,18 @@ def mentions(docs: DataFrame) -> DataFrame:
 
 
 def bootstrap(edges: DataFrame) -> DataFrame:
-    """(value, kind, pattern) of open instances that are accepted, and the patterns that do so.
+    """(value, kind, conf, pattern) of open instances that are accepted, and the patterns that do so.
 
-    edges: pattern, value, kind ("" of an open instance).
+    edges: pattern, value, kind ("" of an open instance). The rounds end when no confidence moves any
+    more, in its first `DIGITS` digits: a pattern may gain for some rounds before it accepts
+    another instance.
     """
     edges = scratch_table(edges.distinct(), "edges")
     sizes = edges.groupBy("pattern").agg(F.countDistinct("value").alias("n"))
     sure = edges.where("kind <> ''").select("value", "kind", F.lit(1.0).alias("conf")).distinct()
     open_edges = edges.where("kind = ''").select("pattern", "value")
-    believed, count, before = sure, 0, -1
-    while count > before:  # weights only grow, and so does what is accepted
+    believed, mark, before = sure, (0, None), None
+    while mark != before:
         weights = (
             edges.select("pattern", "value").distinct().join(believed, "value")
             .groupBy("pattern", "kind").agg(F.sum("conf").alias("weight"))
@@ -181,9 +183,10 @@ def bootstrap(edges: DataFrame) -> DataFrame:
             .where(F.col("conf") >= ACCEPT)
         )
         accepted = scratch_table(instances, "accepted")
-        before, count = count, accepted.count()
+        held = F.round("conf", DIGITS).cast("decimal(20, 10)")
+        before, mark = mark, tuple(accepted.agg(F.count("*"), F.sum(held)).first())
         believed = sure.unionByName(accepted.join(sure.select("value", "kind"), ["value", "kind"], "left_anti"))
-    return met.select("value", "kind", "pattern").join(accepted.select("value", "kind"), ["value", "kind"])
+    return met.select("value", "kind", "pattern").join(accepted, ["value", "kind"])
 
 
 def entities(docs: DataFrame) -> DataFrame:
@@ -194,8 +197,11 @@ def entities(docs: DataFrame) -> DataFrame:
     patterns = each.select("row", "start", "end", "value", "kind", F.explode(F.array("left", "around")).alias("pattern"))
     patterns = patterns.where("pattern is not null")
     accepted = bootstrap(patterns.select("pattern", "value", "kind"))
-    best = accepted.groupBy("value", "pattern").agg(F.min("kind").alias("as"))
-    rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("as")).cast("int")
+    # of several kinds the more confident one, then the first of the list
+    listed = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).cast("int")
+    first = F.min(F.struct((-F.col("conf")).alias("less"), listed.alias("rank")))
+    best = accepted.groupBy("value", "pattern").agg(first.alias("first"))
+    rank = F.col("first.rank")
     new = (
         patterns.where("kind = ''")
         .join(best, ["value", "pattern"])

@@ -13,7 +13,8 @@ documents with a hit are written.
 
 Words are runs of letters, digits and underscores, in lower case. An item shorter than a window
 must occur whole; items of fewer than `SHORTEST` words prove nothing and are left out. Items
-with equal texts count as one, with the smallest id. Null texts have no words.
+with equal texts count as one, with the smallest id; different texts under one id, or without one, are
+items of their own. Null texts have no words. A row of a repeated document counts for itself.
 """
 
 from __future__ import annotations
@@ -154,9 +155,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     side (ends exclusive), matched (its equal words) and coverage (share of the item's words
     that some stretch covers).
     """
-    items = scratch_table(
-        benchmark.where("text is not null").groupBy("text").agg(F.min("item_id").alias("item_id")), "items"
-    )
+    items = benchmark.where("text is not null").groupBy("text").agg(F.min(F.col("item_id").cast("bigint")).alias("item_id"))
+    # ids may be missing or repeated, so each text gets a number of its own
+    items = scratch_table(items.withColumn("item", F.monotonically_increasing_id()), "items")
 
     def lengths(batches):
         for b in batches:
@@ -175,13 +176,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 h = [x for _, x in item_seeds(word_hashes(text, cache), all_places)]
                 h = np.unique(np.concatenate([np.zeros(0, np.uint64), *h]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array([item] * h.size, pa.int64())], names=["hash", "item_id"]
+                    [pa.array(h.view(np.int64)), pa.array([item] * h.size, pa.int64())], names=["hash", "item"]
                 )
 
-    theirs = scratch_table(
-        items.select(F.col("item_id").cast("bigint"), "text").mapInArrow(hashed, "hash bigint, item_id bigint"),
-        "item-seeds",
-    )
+    theirs = scratch_table(items.select("item", "text").mapInArrow(hashed, "hash bigint, item bigint"), "item-seeds")
     bits = bloom(theirs)
 
     def hits(batches):
@@ -207,11 +205,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .withColumn("row", F.monotonically_increasing_id()),
         "hits",
     )
-    pairs = met.select("row", F.explode("hits").alias("hash")).join(theirs, "hash").select("row", "item_id").distinct()
+    pairs = met.select("row", F.explode("hits").alias("hash")).join(theirs, "hash").select("row", "item").distinct()
     both = (
-        pairs.join(items.withColumnRenamed("text", "item"), "item_id")
+        pairs.join(items.withColumnRenamed("text", "item_text"), "item")
         .join(met.select("row", "doc_id", "text"), "row")
-        .select("doc_id", "text", "item_id", "item")
+        .select("doc_id", "text", "item_id", "item_text")
     )
     names = ["doc_id", "text_hash", "item_id", "doc_start", "doc_end", "item_start", "item_end", "matched", "coverage"]
 
@@ -230,4 +228,4 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = ", ".join(f"{n} {'double' if n == 'coverage' else 'bigint'}" for n in names)
-    return both.select("doc_id", F.xxhash64("text"), "text", "item_id", "item").mapInArrow(verify, schema)
+    return both.select("doc_id", F.xxhash64("text"), "text", "item_id", "item_text").mapInArrow(verify, schema)

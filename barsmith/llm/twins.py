@@ -33,8 +33,8 @@ WITH RECURSIVE docs AS (
   FROM bisected, whole WHERE step = 32
 ), weights AS (
   SELECT source, tokens, total, size,
-    round(pow(tokens / total, tau) / (SELECT sum(pow(tokens / total, tau)) FROM totals, tau), 9) AS weight
-  FROM totals, tau
+    round(exact * pow(10.0, floor(-log10(exact))), 9) / pow(10.0, floor(-log10(exact))) AS weight
+  FROM (SELECT *, pow(tokens / total, tau) / (SELECT sum(pow(tokens / total, tau)) FROM totals, tau) AS exact FROM totals, tau)
 ), sources AS (
   SELECT source, floor(weight * total)::BIGINT // tokens::BIGINT AS epochs,
     floor(weight * total)::BIGINT % tokens::BIGINT AS rest, ceil(size / 1024.0)::BIGINT AS blocks
@@ -64,7 +64,7 @@ _WORDS = "trim(regexp_replace(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+', ' '
 
 QUOTATION = f"""
 WITH RECURSIVE turns AS (SELECT conv_id, turn, role, coalesce(text, '') AS text, {_WORDS} AS words FROM conversations),
-wrote AS (SELECT conv_id, words, min(turn) AS at FROM turns WHERE words <> '' GROUP BY ALL),
+wrote AS (SELECT DISTINCT conv_id, words, turn AS at FROM turns WHERE words <> ''),
 once AS (
   SELECT conv_id, turn, m.text AS text, m.role AS role,
     trim(regexp_replace(lower(m.text), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS words
@@ -75,8 +75,8 @@ once AS (
   FROM turns t
   LEFT JOIN once p ON p.conv_id = t.conv_id AND p.turn = t.turn - 1
   LEFT JOIN once pp ON p.conv_id IS NOT NULL AND pp.conv_id = t.conv_id AND pp.turn = t.turn - 2
-  LEFT JOIN wrote w ON w.conv_id = t.conv_id AND w.words = p.words AND w.at < t.turn
-  LEFT JOIN wrote ww ON ww.conv_id = t.conv_id AND ww.words = pp.words AND ww.at < t.turn
+  ASOF LEFT JOIN wrote w ON w.conv_id = t.conv_id AND w.words = p.words AND t.turn > w.at
+  ASOF LEFT JOIN wrote ww ON ww.conv_id = t.conv_id AND ww.words = pp.words AND t.turn > ww.at
 ), answers AS (SELECT *, coalesce(at1, at2) AS parent FROM quoted),
 nodes AS (SELECT conv_id, turn, min(parent) AS parent FROM answers GROUP BY ALL),
 up AS (

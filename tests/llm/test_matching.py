@@ -187,3 +187,14 @@ def test_mail_and_back(spark):
         r = got["c", i]
         assert (r.parent, r.root, r.depth, r.own) == (i - 1 if i else None, 0, i, rows[i][3])
     assert got["d", 0].own == "" and quotes.conversations(frame.limit(0)).count() == 0
+
+
+def test_items_without_ids_and_different_texts_under_one(docs, spark):
+    """Each text is an item of its own, also of equal words and without an id."""
+    same, one, two = "same " * 14, " ".join(f"a{i}" for i in range(13)), " ".join(f"b{i}" for i in range(13))
+    bench = spark.createDataFrame([(None, same), (7, one), (7, two), (7, two)], "item_id bigint, text string")
+    texts = [f"x {same} y", f"x {one} y", f"x {two} y {one}", "none of it"]
+    frame = docs(texts + [texts[1]]).select("doc_id", "text")
+    frame = frame.unionByName(docs([(0, texts[0], "s")]).select("doc_id", "text"))
+    found = spaced_seeds.overlaps(frame, bench).collect()
+    assert sorted((r.doc_id, r.item_id or -1) for r in found) == [(0, -1), (0, -1), (1, 7), (2, 7), (2, 7), (4, 7)]

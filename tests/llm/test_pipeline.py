@@ -55,7 +55,8 @@ def plain_mixture(rows, budget=1.0, entropy=0.95, repeats=None, seed=7):
         tau = 0.0 if met(0.0) else high
     out = []
     for s, w in weights(round(tau, mixing.PLACES)).items():
-        tokens = math.floor(round(w, mixing.PLACES) * (budget * total))
+        scale = 10.0 ** math.floor(-math.log10(w))
+        tokens = math.floor(round(w * scale, mixing.PLACES) / scale * (budget * total))
         epochs, rest = divmod(tokens, totals[s])
         blocks = -(-size[s] // mixing.BLOCK)
         mine = []
@@ -81,9 +82,10 @@ def plain_mixture(rows, budget=1.0, entropy=0.95, repeats=None, seed=7):
     return sorted(out)
 
 
-@pytest.mark.parametrize("options", [{}, {"entropy": None, "repeats": 2.0, "budget": 0.7}, {"budget": 2.5, "entropy": 0.99}, {"entropy": 1.0}, {"entropy": 0.01}])
+@pytest.mark.parametrize("options", [{}, {"entropy": None, "repeats": 2.0, "budget": 0.7}, {"budget": 2.5, "entropy": 0.99}, {"entropy": 1.0}, {"entropy": 0.01}, {"budget": 30.0}])
 def test_mixture(docs, options, monkeypatch):
     monkeypatch.setattr(mixing, "BLOCK", 16)
+    monkeypatch.setattr(mixing, "COPIES", 8)
     texts = [t for t in fixture_texts(160) if t] + ["", "one word", "one word"]
     rows = [(i, t, None if i % 37 == 0 else "big" if i % 3 else f"s{i % 4}") for i, t in enumerate(texts)]
     frame = docs(rows).withColumnRenamed("source", "source")
@@ -91,6 +93,20 @@ def test_mixture(docs, options, monkeypatch):
     assert got == plain_mixture(rows, **options)
 
 
+def test_a_tiny_source_does_not_vanish(spark):
+    rows = [("big", 10**11, 5), ("tiny", 2, 6)]
+    found = mixing.plan(spark.createDataFrame(rows, "source string, n bigint, id_hash bigint"), entropy=0.0)
+    assert {r.source: r.epochs for r in found.collect()} == {"big": 1, "tiny": 1}
+
+
+def test_many_copies_of_one_document(docs, monkeypatch):
+    """Two words beside 40,000: the copies come in shares of bounded size, each once."""
+    monkeypatch.setattr(mixing, "COPIES", 1000)
+    frame = docs([(1, "two words", "tiny")] + [(i, "w " * 400, "big") for i in range(2, 102)])
+    got = mixing.mixture(frame).where("doc_id = 1").groupBy("epoch").count().agg({"epoch": "max", "count": "max", "*": "count"}).first()
+    assert got["max(count)"] == 1 and got["count(1)"] == got["max(epoch)"] + 1 > 2 * mixing.COPIES
+
+
 def test_mixture_of_odd_tables(docs):
     from pyspark.sql import functions as F
 

@@ -158,3 +158,28 @@ def test_empty_tables(docs, spark):
     none = docs([])
     assert secrets.scan(none.select("doc_id", "text"), scratch_path(spark, "ledger")).count() == 0
     assert private.entities(none).count() == 0 and private.redacted(none).count() == 0
+
+
+def test_rounds_go_on_while_confidence_moves(spark):
+    """The same instances gain for a round before the pattern they share accepts another one."""
+    edges = [("p1", f"seed{i}", "phone") for i in range(21)] + [("p1", f"a{i}", "") for i in range(6)]
+    edges += [("p2", f"seed{i}", "phone") for i in range(2)] + [("p2", f"a{i}", "") for i in range(6)] + [("p2", "b", "")]
+    found = private.bootstrap(spark.createDataFrame(edges, "pattern string, value string, kind string"))
+    assert {r.value for r in found.collect()} == {f"a{i}" for i in range(6)} | {"b"}
+
+
+def test_an_instance_of_two_kinds_is_of_the_surer_one(spark):
+    seeds = [f"mail to jo{i}@ex.org please today" for i in range(9)] + [f"mail to +49 30 12345{i:02} please today" for i in range(40)]
+    rows = [(i, t) for i, t in enumerate(seeds + ["mail to 4711x please today"])]
+    found = private.entities(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    (last,) = found.where("doc_id = 49").collect()
+    assert [private.KINDS[f.rank - 1] for f in last.found] in (["phone"], [])
+
+
+def test_repeated_rows_and_empty_tables_of_the_span_operators(spark, tmp_path):
+    rows = [(1, "card a@b.co and +49 30 1234567")] * 3 + [(None, None)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = private.entities(frame)
+    assert found.count() == 4 and {len(r.known) for r in found.where("doc_id = 1").collect()} == {2}
+    assert private.entities(frame.limit(0)).count() == 0
+    assert private.redacted(frame.limit(0)).count() == 0
