@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from barsmith.llm import mixing, private, simhash, spaced_seeds, toxicity
 from barsmith.llm.common import fresh, table
 from barsmith.session import scratch_path, scratch_table, sized_side
+from barsmith.sources.paths import delete
 
 
 def _columns(docs: DataFrame) -> list:
@@ -90,10 +91,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mixture made from the whole documents table."""
-    docs = table(spark, sf_dir, "documents")
+    """The mixture made from the whole documents table. A stage's table goes when the next one is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"stage-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            delete(spark, before)
+        before = path
     return docs
