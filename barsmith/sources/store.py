@@ -258,7 +258,9 @@ def _write(
     rows = placed.hint("rebalance", *columns).sortWithinPartitions(*order)
     generation = new_generation(before)
     tree = f"{base}/gen={generation}"
-    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+    # Times as whole numbers: files then know their range, which filters on the time and `store_stats` use.
+    numbers = setting(spark, "spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"), numbers:
         rows.write.option("compression", "snappy").partitionBy(*columns).parquet(tree)
     written = folders(spark, "/".join([tree, *[f"{c}=*" for c in columns]]))
     changed = {"/".join(folder.split("/")[-len(columns) :]): generation for folder in written}

@@ -677,3 +677,12 @@ SQL |= {
         15::BIGINT AS bytes, 'not a Parquet file' AS reason FROM daily""",
     ),
 }
+RANGE = """CAST(count(*) AS BIGINT) AS "rows", min("timestamp") AS first_timestamp, max("timestamp") AS last_timestamp"""
+SQL |= {
+    "store_stats_by_symbol": sql([DAILY], f"SELECT symbol, {RANGE}, 0::BIGINT AS unreadable FROM daily GROUP BY symbol"),
+    "store_stats_by_month": sql(
+        [DAILY],
+        f"""SELECT CAST(year("timestamp") AS INTEGER) AS year, CAST(month("timestamp") AS INTEGER) AS month, {RANGE}
+        FROM daily GROUP BY ALL""",
+    ),
+}

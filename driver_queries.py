@@ -23,7 +23,7 @@ from barsmith.plans.training import report_json, train_report, training_rows
 from barsmith.schema import BAR_COLUMNS, FEATURE_COLUMNS, FEATURES, bar_schema, require_columns
 from barsmith.session import configure, scratch_path, scratch_table, setting
 from barsmith.sources import raw as R, store as P
-from barsmith.sources.probe import quarantined
+from barsmith.sources.probe import quarantined, store_stats
 from barsmith.sources.snapshots import latest, new_generation
 from barsmith.sources.ticks import TRADE_ORDER, readings, trades
 from barsmith.plans.upkeep import build_features, read_features
@@ -1141,3 +1141,19 @@ def quarantined_files(spark, folder):
     months.write.mode("append").partitionBy("interval", "year", "month", "bucket").text(P.tree(spark, base))
     of = [F.regexp_extract("path", f"/{part}=([0-9]+)/", 1).cast("int").alias(part) for part in ("year", "month", "bucket")]
     return quarantined(spark, base).select(*of, "bytes", "reason")
+
+
+@query
+def store_stats_by_symbol(spark, folder):
+    """Rows and time range of each symbol from the files' footers."""
+    found = store_stats(spark, daily_store_by_symbol(spark, folder), ("symbol",))
+    return found.select("symbol", "rows", "first_timestamp", "last_timestamp", "unreadable")
+
+
+@query
+def store_stats_by_month(spark, folder):
+    """Rows of each month after an upsert: what was replaced does not count."""
+    base = scratch_path(spark, "prices_1d")
+    P.write_bars(stored_until(spark, folder), base, "1d", BY_BUCKET)
+    P.upsert_bars(spark, base, corrections(spark, folder), "1d", BY_BUCKET, ntz=True)
+    return store_stats(spark, base).select("year", "month", "rows", "first_timestamp", "last_timestamp")

@@ -12,7 +12,7 @@ from barsmith.plans.sql import register_function, register_views, sync_table
 from barsmith.schema import bar_schema
 from barsmith.sources import raw as R, snapshots as S, store as P
 from barsmith.sources.paths import create_new, read_text
-from barsmith.sources.probe import list_files, probe_files, quarantined
+from barsmith.sources.probe import list_files, probe_files, quarantined, store_stats
 from helpers import same, to_spark, walk
 
 LAYOUTS = [P.Layout(by="symbol"), P.Layout(buckets=3)]
@@ -401,6 +401,23 @@ def test_unreadable_files_are_named(spark, tmp_path, layout):
     assert sum(r.rows for r in counted) == read(spark, base, layout, ignore_corrupt=True).count()
     P.upsert_bars(spark, base, to_spark(spark, walk("C", 3, 1, start="2021-01-01")), "1d", layout, ntz=True)
     assert quarantined(spark, base).count() == 3
+    stats = store_stats(spark, base, ("interval",)).first()
+    assert stats.interval == "1d" and stats.unreadable == 3
+
+
+def test_stats_come_from_footers(spark, tmp_path, layout):
+    base = str(tmp_path / "store")
+    frames = [walk("A", 90, 1), walk("B +%/x", 50, 2)]
+    assert store_stats(spark, base).count() == 0
+    P.write_bars(to_spark(spark, *frames).withColumn("timestamp", F.col("timestamp").cast("timestamp")), base, "1d", layout)
+    P.upsert_bars(spark, base, to_spark(spark, walk("A", 3, 3)).withColumn("timestamp", F.col("timestamp").cast("timestamp")), "1d", layout)
+    by = ("symbol",) if layout.by == "symbol" else ("year",)
+    got = sorted((r[0], r.rows, str(r.first_timestamp), str(r.last_timestamp)) for r in store_stats(spark, base, by).collect())
+    if layout.by == "bucket":
+        assert got == [(2020, 140, "2020-01-02 00:00:00", "2020-03-31 00:00:00")]
+    else:
+        want = [(f["symbol"].iloc[0], len(f), str(f["timestamp"].min()), str(f["timestamp"].max())) for f in frames]
+        assert got == sorted(want)
 
 
 def test_wide_text_files(spark, tmp_path):
