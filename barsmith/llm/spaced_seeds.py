@@ -7,7 +7,8 @@ stretch counts if every window of `WINDOW` words in it has at least `WINDOW - SU
 equal words. Any such window holds a hit of some mask (tests try all placements), so the join
 loses none.
 
-Documents are read once. Hashes that cannot be in the benchmark are left out by a Bloom filter of
+Documents are read once, and each text that meets an item goes through one shuffle, with the numbers of all
+its items: a passage that many documents and items share makes many results, not many texts. Hashes that cannot be in the benchmark are left out by a Bloom filter of
 fixed size (2 MB, whatever the benchmark's size), so that only hits are shuffled, and only
 documents with a hit are written.
 
@@ -35,6 +36,8 @@ ship(__name__)
 WINDOW, SUBSTITUTIONS, SHORTEST = 12, 2, 5
 MASKS = ("1111011", "11001111", "110101011")
 BLOOM_BITS = 24
+# Items' texts travel with the tasks up to so many bytes in all; beyond it a document's items come in shares.
+ITEM_BYTES, SHARES = 16 << 20, 64
 WORD = re.compile(r"\w+")
 
 
@@ -124,14 +127,25 @@ def stretches(equal: np.ndarray, window: int, wrong: int) -> list[tuple[int, int
     return out
 
 
-def verified(doc: np.ndarray, item: np.ndarray, all_places: list[tuple[int, ...]]):
+class Seeds(dict):
+    """A text's words, and their hashes under each seed, made when they are asked for."""
+
+    def __init__(self, words: np.ndarray, all_places: list[tuple[int, ...]]):
+        self.words, self.all_places = words, all_places
+
+    def __missing__(self, k: int) -> np.ndarray:
+        value = self[k] = seeds(self.words, self.all_places[k], k)
+        return value
+
+
+def verified(text: Seeds, item: np.ndarray, all_places: list[tuple[int, ...]]):
     """The best stretch as (doc start, end, item start, end, equal words), and the number of the
     item's words that any stretch covers; None if there is no stretch."""
-    window = min(WINDOW, item.size)
+    doc, window = text.words, min(WINDOW, item.size)
     wrong = SUBSTITUTIONS if item.size >= WINDOW else 0
     diagonals: set[int] = set()
     for k, theirs in item_seeds(item, all_places):
-        ours = seeds(doc, all_places[k], k)
+        ours = text[k]
         order = np.argsort(theirs, kind="stable")
         low = np.searchsorted(theirs[order], ours)
         high = np.searchsorted(theirs[order], ours, "right")
@@ -206,26 +220,37 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "hits",
     )
     pairs = met.select("row", F.explode("hits").alias("hash")).join(theirs, "hash").select("row", "item").distinct()
-    both = (
-        pairs.join(items.withColumnRenamed("text", "item_text"), "item")
-        .join(met.select("row", "doc_id", "text"), "row")
-        .select("doc_id", "text", "item_id", "item_text")
-    )
     names = ["doc_id", "text_hash", "item_id", "doc_start", "doc_end", "item_start", "item_end", "matched", "coverage"]
+    schema = ", ".join(f"{n} {'double' if n == 'coverage' else 'bigint'}" for n in names)
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    known = {r.item: (r.item_id, r.text) for r in items.collect()} if size <= ITEM_BYTES else {}
+    # what a document is verified against: numbers of items that travel with the tasks, or else their texts
+    asked = F.struct("item")
+    if not known:
+        pairs = pairs.join(items.select("item", "item_id", F.col("text").alias("item_text")), "item")
+        asked = F.struct("item", "item_id", "item_text")
+    share = F.pmod(F.xxhash64("item"), F.lit(1 if known else SHARES)).alias("share")
+    lists = pairs.groupBy("row", share).agg(F.collect_list(asked).alias("asked")).drop("share")
 
     def verify(batches):
-        cache = Hashes()
+        """A document's text is hashed once for all its items."""
+        cache, held, kinds = Hashes(), {}, [pa.int64()] * 8 + [pa.float64()]
         for b in batches:
-            out = []
-            for doc_id, text_hash, text, item_id, item in zip(*(c.to_pylist() for c in b.columns)):
-                words = word_hashes(item, cache)
-                found = verified(word_hashes(text, cache), words, all_places)
-                if found:
-                    out.append((doc_id, text_hash, item_id, *found[:5], found[5] / words.size))
-            if out:
-                kinds = [pa.int64()] * 8 + [pa.float64()]
-                columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    schema = ", ".join(f"{n} {'double' if n == 'coverage' else 'bigint'}" for n in names)
-    return both.select("doc_id", F.xxhash64("text"), "text", "item_id", "item_text").mapInArrow(verify, schema)
+            for doc_id, text_hash, text, its_items in zip(*b.columns):
+                mine, out = Seeds(word_hashes(text.as_py(), cache), all_places), []
+                for one in its_items.as_py():
+                    item_id, item = known.get(one["item"]) or (one["item_id"], one["item_text"])
+                    words = held.get(one["item"])
+                    if words is None:
+                        words = word_hashes(item, cache)
+                        if known:
+                            held[one["item"]] = words
+                    found = verified(mine, words, all_places)
+                    if found:
+                        out.append((doc_id.as_py(), text_hash.as_py(), item_id, *found[:5], found[5] / words.size))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
+
+    texts = met.select("row", "doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    both = texts.join(lists, "row").select("doc_id", "text_hash", "text", "asked")
+    return both.mapInArrow(verify, schema)

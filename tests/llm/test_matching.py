@@ -198,3 +198,17 @@ def test_items_without_ids_and_different_texts_under_one(docs, spark):
     frame = frame.unionByName(docs([(0, texts[0], "s")]).select("doc_id", "text"))
     found = spaced_seeds.overlaps(frame, bench).collect()
     assert sorted((r.doc_id, r.item_id or -1) for r in found) == [(0, -1), (0, -1), (1, 7), (2, 7), (2, 7), (4, 7)]
+
+
+def test_one_stem_in_many_items(spark, monkeypatch):
+    """Items and documents that share a passage: every pair is found, with items shipped or joined."""
+    stem = " ".join(f"stem{i}" for i in range(13))
+    bench = spark.createDataFrame([(i, f"{stem} item{i} " * 2) for i in range(60)], "item_id bigint, text string")
+    frame = spark.createDataFrame([(i, f"own{i} {stem} words{i}") for i in range(200)], "doc_id bigint, text string")
+    ways = []
+    for limit in (spaced_seeds.ITEM_BYTES, 0):
+        monkeypatch.setattr(spaced_seeds, "ITEM_BYTES", limit)
+        found = spaced_seeds.overlaps(frame, bench)
+        ways.append(sorted(map(tuple, found.collect())))
+    assert ways[0] == ways[1] and {w[:1] + w[2:3] for w in ways[0]} == {(d, i) for d in range(200) for i in range(60)}
+    assert {w[3:5] + w[7:8] for w in ways[0]} == {(1, 14, 13)}
