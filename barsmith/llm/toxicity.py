@@ -3,19 +3,22 @@
 Only documents confirmed as toxic are used as labelled examples; the other class is never
 labelled. A classifier is fitted to the risk
 
-    prior * E_p[l(z)] + max(0, E_u[l(-z)] - prior * E_p[l(-z)])
+    prior * E_p[l(z)] + (1 - prior) / (1 - hidden) * max(0, E_u[l(-z)] - hidden * E_p[l(-z)])
 
 over positives p and unlabelled documents u: the unlabelled set holds hidden positives,
-whose part the class prior takes out again, and the estimate of a risk cannot be below zero.
-Where it is, the step goes back up that term. l is the logistic loss, so scores are
-probabilities.
+whose part is taken out again, and the estimate of a risk cannot be below zero. Where it is, the
+step goes back up that term. The confirmed documents are not in the unlabelled set, so fewer are hidden there
+than the class prior says: of a share c of labelled documents, hidden = prior * (1 - c) / (1 - prior * c).
+l is the logistic loss, so scores are probabilities among all documents.
 
 `Params.positives` and `Params.unlabelled` bound the sample that is fitted (lowest hashes of
 the ids); the prior is counted over all labels, and every whole document is scored.
 
 Defined cases: a null text counts as empty, and an empty text scores as the bias alone. A
 null id is held out. A document with several label rows is toxic if one of them says so; null
-labels say nothing. Without a confirmed toxic document every score is 0.
+labels say nothing. Of several rows with one id the text of the smallest hash is learnt from, and each row
+is scored. Without a confirmed toxic document every score is 0. `score` needs a column name that the frame
+has not; `fresh` makes one.
 """
 
 from __future__ import annotations
@@ -70,11 +73,13 @@ def confirmed(labels: DataFrame) -> DataFrame:
     )
 
 
-def nnpu(codes: np.ndarray, rows: np.ndarray, positive: np.ndarray, size: int, prior: float, p: Params):
+def nnpu(codes: np.ndarray, rows: np.ndarray, positive: np.ndarray, size: int, prior: float, hidden: float, p: Params):
     """Weights and bias of one linear classifier over word presence.
 
-    codes, rows: word and document of each presence; positive: of each document.
+    codes, rows: word and document of each presence; positive: of each document; hidden: the share of
+    positives among the others.
     """
+    whole = (1 - prior) / (1 - hidden)
     n_pos, n_unl = max(1, positive.sum()), max(1, (~positive).sum())
     w = np.zeros(size + 1)
     w[-1] = math.log(prior / (1 - prior))
@@ -83,9 +88,9 @@ def nnpu(codes: np.ndarray, rows: np.ndarray, positive: np.ndarray, size: int, p
         z = np.bincount(rows, w[codes], positive.size) + w[-1]
         s = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         loss_neg = np.logaddexp(0, z)
-        negative = loss_neg[~positive].mean() - prior * loss_neg[positive].mean()
+        negative = loss_neg[~positive].mean() - hidden * loss_neg[positive].mean()
         as_pos = np.where(positive, prior * (s - 1) / n_pos, 0)
-        as_neg = np.where(positive, -prior * s / n_pos, s / n_unl)
+        as_neg = whole * np.where(positive, -hidden * s / n_pos, s / n_unl)
         g = as_pos + as_neg if negative >= 0 else -as_neg
         grad = np.append(np.bincount(codes, g[rows], size), g.sum())
         grad[:-1] += p.l2 * w[:-1]
@@ -94,7 +99,7 @@ def nnpu(codes: np.ndarray, rows: np.ndarray, positive: np.ndarray, size: int, p
     return w[:-1], w[-1]
 
 
-def fit_group(prior: float, p: Params):
+def fit_group(prior: float, hidden: float, p: Params):
     def fit(group: pa.Table) -> pa.Table:
         lists = group["words"].combine_chunks()
         positive = np.asarray(group["positive"].to_numpy(), bool)
@@ -116,7 +121,7 @@ def fit_group(prior: float, p: Params):
         place = np.full(size, -1)
         place[kept] = np.arange(kept.size)
         known = place[codes] >= 0
-        weights, bias = nnpu(place[codes[known]], rows[known], positive, kept.size, prior, p)
+        weights, bias = nnpu(place[codes[known]], rows[known], positive, kept.size, prior, hidden, p)
         part = group["part"][0].as_py()
         return pa.table(
             {
@@ -140,13 +145,15 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> list[tuple[
     if prior <= 0:
         return []
     prior = min(prior, 0.95)
+    learnt = docs.select("doc_id").where(F.col("doc_id").isNotNull() & (fold("doc_id", FOLDS) != 0)).distinct()
+    count, labelled = learnt.join(known, "doc_id", "left").agg(F.count("*"), F.count("toxic")).first()
+    c = labelled / max(count, 1)
+    hidden = prior * (1 - c) / (1 - prior * c)
     positives = (
         known.where("toxic = 1").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(p.positives)
     )
     unlabelled = (
-        docs.select("doc_id")
-        .where(F.col("doc_id").isNotNull() & (fold("doc_id", FOLDS) != 0))
-        .join(known.where("toxic = 1"), "doc_id", "left_anti")
+        learnt.join(known.where("toxic = 1"), "doc_id", "left_anti")
         .orderBy(F.xxhash64(F.lit(1), "doc_id"), "doc_id")
         .limit(p.unlabelled)
     )
@@ -157,15 +164,15 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> list[tuple[
                 F.col("doc_id").alias("id"),
                 F.lit(False).alias("positive"),
                 F.pmod(F.xxhash64(F.lit(2), "doc_id"), F.lit(p.classifiers)).cast("int").alias("part"),
-            ).distinct()
+            )
         ),
         "sample",
     )
-    chosen = (
-        docs.select("doc_id", "text")
-        .join(F.broadcast(sample), F.col("doc_id") == F.col("id"))  # at most 4 * 2,000 + 12,000 rows
-        .select("part", "positive", "text")
-    )
+    ids = F.broadcast(sample.select("id").distinct())  # at most 2,000 + 12,000 rows
+    texts = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id")
+    # one text an id, however many rows have it
+    texts = texts.groupBy("id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    chosen = texts.join(F.broadcast(sample), "id").select("part", "positive", "text")
 
     def presences(batches):
         for b in batches:
@@ -177,7 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> list[tuple[
     fitted = (
         chosen.mapInArrow(presences, "part int, positive boolean, words array<string>")
         .groupBy("part")
-        .applyInArrow(fit_group(prior, p), "part int, word string, weight double")
+        .applyInArrow(fit_group(prior, hidden, p), "part int, word string, weight double")
         .toPandas()
     )
     out = []

@@ -128,7 +128,7 @@ def test_nonnegative_risk_separates():
     present = rng.random((400, 30)) < 0.2
     present[:, 0] = np.where(truth, rng.random(400) < 0.8, False)
     rows, codes = np.nonzero(present)
-    w, b = toxicity.nnpu(codes, rows, positive, 30, 0.1, toxicity.Params())
+    w, b = toxicity.nnpu(codes, rows, positive, 30, 0.1, 0.1, toxicity.Params())
     z = present @ w + b
     assert w[0] > 3 * np.abs(w[1:]).max() and z[~truth].mean() < 0
 
@@ -161,6 +161,42 @@ def test_toxicity_never_learns_held_out_labels(toxic, spark):
     assert kept and all(zlib.crc32(str(r.doc_id).encode()) % 5 for r in kept)
 
 
+def test_risk_is_that_of_all_documents():
+    """With the confirmed taken out of the unlabelled, the score of a bare classifier is still the prior."""
+    rng = np.random.default_rng(5)
+    truth = rng.random(200_000) < 0.2
+    labelled = rng.random(truth.size) < 0.5
+    positive = truth & labelled
+    prior, c = truth.mean(), labelled.mean()
+    hidden = prior * (1 - c) / (1 - prior * c)
+    assert abs(truth[~positive].mean() - hidden) < 0.005
+    none = np.zeros(0, int)
+    _, bias = toxicity.nnpu(none, none, positive, 0, prior, hidden, toxicity.Params())
+    assert abs(1 / (1 + math.exp(-bias)) - prior) < 0.01
+
+
+def test_toxicity_fits_one_row_of_an_id(toxic, spark, monkeypatch):
+    """Half of the rows have one id; groups stay within the parameters."""
+    frame, labels, rows = toxic
+    many = spark.range(20_000).selectExpr("3L as doc_id", "concat('plain', id % 7) as text", "'s' as source")
+    plain_fit = toxicity.fit_group
+
+    def counted(prior, hidden, p):
+        inner = plain_fit(prior, hidden, p)
+
+        def fit(group):
+            out = inner(group)
+            if group.num_rows > p.positives + p.unlabelled:
+                raise AssertionError(f"{group.num_rows} rows in a group")
+            return out
+
+        return fit
+
+    monkeypatch.setattr(toxicity, "fit_group", counted)
+    p = toxicity.Params(positives=100, unlabelled=400)
+    assert len(toxicity.fit(frame.unionByName(many), labels, p)) == p.classifiers
+
+
 def test_toxicity_without_examples(docs, spark):
     frame = docs(["one", "", None])
     none = spark.createDataFrame([(0, 0)], "doc_id bigint, toxic int")
