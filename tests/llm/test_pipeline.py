@@ -156,7 +156,8 @@ def test_pipeline_against_a_plain_version(spark, tmp_path):
 
     places, cache = spaced_seeds.offsets([]), spaced_seeds.Hashes()
     items = [spaced_seeds.word_hashes(t, cache) for _, t in bench]
-    kept = [r for r in kept if not any(spaced_seeds.verified(spaced_seeds.word_hashes(r[1] or "", cache), i, places) for i in items)]
+    seeds = lambda text: spaced_seeds.Seeds(spaced_seeds.word_hashes(text or "", cache), places)
+    kept = [r for r in kept if not any(spaced_seeds.verified(seeds(r[1]), i, places) for i in items)]
 
     frame = spark.createDataFrame(kept, "doc_id bigint, text string, lang string, source string, n_chars bigint")
     masked = [tuple(r) for r in private.redacted(frame).collect()]
