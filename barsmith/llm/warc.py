@@ -21,9 +21,11 @@ the largest id. A null url is an empty one; control characters and blanks in it
 percent-encoded. An empty table makes no package. Extra columns are ignored. A page is held in
 memory as a whole, a package or an index never is.
 
-What cannot be read is reported, not raised: a file that is no ZIP gives a row of `members` with an
-error, a member that is not stored is listed but has no records, and a record that cannot be parsed
-or whose payload has another digest has an error.
+What cannot be read is reported, not raised: a file that is no ZIP gives a row of `members` and of
+`ranges` with an error and has no records, a member that is not stored is listed but has no records,
+a package that cannot be read to its end has a record with an error behind those that were found, and
+so has one with other than the `records` of its manifest; a record that cannot be parsed or whose
+payload has another digest has an error. `pages`, the way back of what `write` made, raises all those.
 """
 
 from __future__ import annotations
@@ -70,7 +72,7 @@ VERSION = b"WARC/1.1"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 MEMBERS = "package string, name string, method int, start bigint, bytes bigint, error string"
-RANGES = "package string, name string, start bigint, bytes bigint"
+RANGES = "package string, name string, start bigint, bytes bigint, error string"
 RECORDS = (
     "package string, start bigint, record_id string, type string, url string, date string, refers_to string, "
     "payload_bytes bigint, payload_digest string, error string"
@@ -207,13 +209,19 @@ class File:
         self.file.close()
 
 
-def directory(file: File) -> list[tuple[str, int, int, int]]:
-    """(name, method, start, bytes) of each member, from the central directory."""
+def _end(file: File) -> tuple[int, bytes, int]:
+    """Where the file's last bytes begin, those, and where the end of a central directory is in them, or -1."""
     tail_at = max(0, file.size - struct.calcsize(END_FORM) - MANY)
     tail = file.read(tail_at, file.size - tail_at)
     at = tail.rfind(END, 0, max(0, len(tail) - 18))
     while at >= 0 and at + struct.calcsize(END_FORM) + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
         at = tail.rfind(END, 0, at)  # the mark may stand in the comment
+    return tail_at, tail, at
+
+
+def directory(file: File) -> list[tuple[str, int, int, int]]:
+    """(name, method, start, bytes) of each member, from the central directory."""
+    tail_at, tail, at = _end(file)
     if at < 0:
         raise ValueError("no end of a central directory")
     _, _, _, _, count, size, offset, _ = struct.unpack_from(END_FORM, tail, at)
@@ -280,6 +288,8 @@ def indexed(file: File, start: int, size: int):
         if len(parts) == 3:
             facts = json.loads(parts[2])
             yield facts["filename"], int(facts["offset"]), int(facts["length"])
+        elif line.strip() and not line.startswith(b"!"):  # no line of the index's own head
+            raise ValueError("an index line without a place")
 
 
 def scanned(file: File, start: int, size: int, packed: bool):
@@ -305,27 +315,25 @@ def scanned(file: File, start: int, size: int, packed: bool):
             piece = opened.unused_data
             yield begin, end - len(piece) - begin
             begin, opened = end - len(piece), zlib.decompressobj(31)
+    if begin < size:
+        raise EOFError("the archive ends within a record")
 
 
-def ranges_of(path: str):
+def ranges_of(file: File):
     """(archive, start, bytes) of the records of a package; starts count from its first byte."""
-    file = File(path)
-    try:
-        stored = [m for m in directory(file) if m[1] == STORED]
-        archives = {n.rsplit("/", 1)[-1]: (n, at, size) for n, _, at, size in stored if re.search(r"\.warc(\.gz)?$", n)}
-        covered = set()
-        for name, _, at, size in stored:
-            if name.endswith(".cdxj"):
-                for of, offset, length in indexed(file, at, size):
-                    if of in archives:
-                        covered.add(of)
-                        yield archives[of][0], archives[of][1] + offset, length
-        for of, (name, at, size) in archives.items():
-            if of not in covered:
-                for offset, length in scanned(file, at, size, name.endswith(".gz")):
-                    yield name, at + offset, length
-    finally:
-        file.close()
+    stored = [m for m in directory(file) if m[1] == STORED]
+    archives = {n.rsplit("/", 1)[-1]: (n, at, size) for n, _, at, size in stored if re.search(r"\.warc(\.gz)?$", n)}
+    covered = set()
+    for name, _, at, size in stored:
+        if name.endswith(".cdxj"):
+            for of, offset, length in indexed(file, at, size):
+                if of in archives:
+                    covered.add(of)
+                    yield archives[of][0], archives[of][1] + offset, length
+    for of, (name, at, size) in archives.items():
+        if of not in covered:
+            for offset, length in scanned(file, at, size, name.endswith(".gz")):
+                yield name, at + offset, length
 
 
 def fields(head: bytes) -> dict[str, str]:
@@ -365,22 +373,22 @@ def parsed(data: bytes) -> dict:
     return out | {"payload": payload, "payload_bytes": len(payload), "payload_digest": own, "error": wrong}
 
 
-def _each(packages: DataFrame, read, schema: str) -> DataFrame:
-    """`read(path)` gives rows for each package, each package in a task of its own if there are enough."""
+def _each(packages: DataFrame, read, schema: str, *more) -> DataFrame:
+    """`read(path, *more)` gives rows for each package, each package in a task of its own if there are enough."""
     names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches):
         for batch in batches:
-            for path in batch.column(0).to_pylist():
+            for given in zip(*(c.to_pylist() for c in batch.columns)):
                 rows = []
-                for row in read(path):
+                for row in read(*given):
                     rows.append(row)
                     if len(rows) == 10_000:
                         yield _batch(names, rows, schema)
                         rows = []
                 yield _batch(names, rows, schema)
 
-    paths = packages.select("package").where(F.col("package").isNotNull())
+    paths = packages.select("package", *more).where(F.col("package").isNotNull())
     return paths.repartition(width(packages.sparkSession), "package").mapInArrow(run, schema)
 
 
@@ -416,19 +424,38 @@ def members(packages: DataFrame) -> DataFrame:
 
 
 def ranges(packages: DataFrame) -> DataFrame:
-    """package, name (of the archive), start, bytes of every record."""
+    """package, name (of the archive), start, bytes of every record; or an error.
 
-    def read(path):
+    Records found before the damage stay. An error's start is 0, or null if the file is no ZIP at all.
+    With a column `records`, as manifests have, each package must have that many.
+    """
+    due = F.col("records").cast("bigint") if "records" in packages.columns else F.lit(None).cast("bigint")
+
+    def read(path, due):
+        found, start = 0, 0
         try:
-            yield from ((path, *r) for r in ranges_of(path))
-        except (ValueError, OSError, KeyError, zlib.error, struct.error):
-            return  # `members` says why; records found before the damage stay
+            file = File(path)
+            try:
+                if due is None and file.read(0, 4) != LOCAL and _end(file)[2] < 0:
+                    start = None  # it neither begins nor ends as a ZIP
+                for r in ranges_of(file):
+                    yield path, *r, None
+                    found += 1
+            finally:
+                file.close()
+            if due not in (None, found):
+                raise ValueError(f"{found} records of {due}")
+        except (ValueError, OSError, KeyError, TypeError, IndexError, EOFError, zlib.error, struct.error) as error:
+            yield path, None, start, None, f"{type(error).__name__}: {error}"[:200]
 
-    return _each(packages, read, RANGES)
+    return _each(packages, read, RANGES, due.alias("due"))
 
 
 def records(ranges: DataFrame, payloads: bool = False) -> DataFrame:
-    """The records of the ranges; with `payloads` also their payloads (null for revisits)."""
+    """The records of the ranges; with `payloads` also their payloads (null for revisits).
+
+    An error of the ranges is a record with that error, but for files that are no ZIP.
+    """
     schema = RECORDS + (", payload binary" if payloads else "")
     names = [f.split()[0] for f in schema.split(", ")]
 
@@ -436,7 +463,10 @@ def records(ranges: DataFrame, payloads: bool = False) -> DataFrame:
         path, file = None, None
         for batch in batches:
             rows, held = [], 0
-            for package, start, size in zip(*(c.to_pylist() for c in batch.columns)):
+            for package, start, size, damage in zip(*(c.to_pylist() for c in batch.columns)):
+                if damage is not None:
+                    rows.append(tuple({"package": package, "start": start, "error": damage}.get(n) for n in names))
+                    continue
                 if package != path:
                     if file:
                         file.close()
@@ -455,19 +485,26 @@ def records(ranges: DataFrame, payloads: bool = False) -> DataFrame:
         if file:
             file.close()
 
-    dealt = ranges.select("package", "start", "bytes", F.floor(F.col("start") / STRETCH).alias("stretch"))
+    damage = F.col("error") if "error" in ranges.columns else F.lit(None).cast("string").alias("error")
+    dealt = ranges.select("package", "start", "bytes", damage, F.floor(F.col("start") / STRETCH).alias("stretch"))
+    dealt = dealt.where("start is not null")
     dealt = dealt.repartition(width(ranges.sparkSession), "package", "stretch").sortWithinPartitions("package", "start")
-    return dealt.select("package", "start", "bytes").mapInArrow(run, schema)
+    return dealt.select("package", "start", "bytes", "error").mapInArrow(run, schema)
 
 
 def pages(records: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to of records that `write` made."""
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of records that `write` made.
+
+    A record with an error ends the job: no page may be missing or have another's facts.
+    """
 
     def number(column: str):
         digits = F.regexp_extract(column, "^<urn:page:(-?[0-9]+)>$", 1)
         return F.when(digits != "", digits.cast("bigint"))
 
-    return records.select(
+    said = F.concat_ws(" ", F.lit("not read back:"), "package", "start", "error")
+    whole = records.where(F.when(F.col("error").isNull(), True).otherwise(F.raise_error(said).cast("boolean")))
+    return whole.select(
         number("record_id").alias("page_id"),
         "payload_bytes",
         "payload_digest",

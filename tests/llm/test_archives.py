@@ -172,6 +172,56 @@ def test_damage_is_reported(spark, tmp_path):
     assert errors == [None, "the payload has another digest"]
 
 
+def test_what_is_lost_of_a_manifest_is_an_error(spark, tmp_path):
+    """Pages that cannot all be read back are no result, whatever part of a package is damaged."""
+    manifest = warc.write(table(spark, many(40)).repartition(2), str(tmp_path))
+    first = manifest.orderBy("package").first().package
+    with open(first, "rb") as f:
+        whole = f.read()
+    place = {name: (at, size) for name, _, at, size in warc.directory(warc.File(first))}
+    (index, size), (data, _) = place[warc.INDEX], place[warc.ARCHIVE]
+    line = whole.index(b"\n", index) - index + 1  # of the index, its first
+    damaged = {
+        "records of": whole[:index] + b"\n" * line + whole[index + line :],
+        "without a place": whole[: index + size - 9] + b"\n" + b"x" * 8 + whole[index + size :],
+        "gzip": whole[:data] + b"\x1f\x8b" + b"x" * 8 + whole[data + 10 :],
+        "central directory": whole[:-9],
+        "ValueError": b"no package",
+    }
+    for said, now in damaged.items():
+        with open(first, "wb") as f:
+            f.write(now)
+        found = warc.records(warc.ranges(manifest))
+        assert found.where("error is not null").count() > 0, said
+        with pytest.raises(Exception, match="not read back"):
+            warc.pages(found).count()
+    os.remove(first)
+    with pytest.raises(Exception, match="not read back.*No such file"):
+        warc.pages(warc.records(warc.ranges(manifest))).count()
+
+
+def test_damage_within_packages_of_others_is_reported(spark, tmp_path):
+    """Each found record stays, and one with an error says that others may be missing."""
+    rows = many(6)
+    with zipfile.ZipFile(tmp_path / "short.zip", "w") as package:
+        package.writestr("archive/data.warc.gz", archive(rows)[:-3])
+    with zipfile.ZipFile(tmp_path / "index.zip", "w") as package:
+        package.writestr("archive/data.warc.gz", archive(rows))
+        package.writestr("indexes/index.cdxj", "!head 1.0\n\ncom,h)/ 2020 {")
+    body = io.BytesIO()
+    with zipfile.ZipFile(body, "w") as package:
+        package.writestr("archive/data.warc.gz", archive(rows))
+    (tmp_path / "cut.zip").write_bytes(body.getvalue()[:-40])
+    (tmp_path / "none.zip").write_bytes(b"no package")
+    ranges = warc.ranges(warc.packages(spark, str(tmp_path)))
+    seen = sorted((os.path.basename(r.package), r.error and r.error.split(":")[0]) for r in ranges.where("error is not null").collect())
+    wrong = [("cut.zip", "ValueError"), ("index.zip", "JSONDecodeError"), ("none.zip", "ValueError"), ("short.zip", "EOFError")]
+    assert seen == wrong
+    found = warc.records(ranges).collect()
+    assert sorted((os.path.basename(r.package), r.error.split(":")[0]) for r in found if r.error) == wrong[:2] + wrong[3:]
+    assert sorted(r.record_id for r in found if not r.error) == [f"<urn:page:{i}>" for i in range(5)]
+
+
 def test_empty_table_and_one_payload_in_most_rows(spark, tmp_path):
     manifest = warc.write(table(spark, []), str(tmp_path / "a"))
     assert warc.pages(warc.records(warc.ranges(manifest))).count() == 0 and manifest.count() == 0
