@@ -62,6 +62,32 @@ def test_scores_are_probabilities():
     assert math.isclose(model.scores(long, np.array([100]), 2)[0], model.scores(long, np.array([100]))[0], rel_tol=1e-5)
 
 
+def test_context_is_seen_and_gets_no_vectors(monkeypatch):
+    """A text's later windows give a vector for the places they score only, the same as whole windows do."""
+    rng, real, places = np.random.default_rng(4), attention.forward, []
+    shape, klass = attention.Shape(rows=9, classes=5), rng.integers(0, 5, 9)
+    flat = shape.start(np.zeros(5)) + rng.normal(0, 0.3, shape.size).astype(np.float32)
+    model = attention.Model(shape, flat, np.arange(9), klass, np.log(rng.random((9, 5), np.float32)))
+    lengths = np.array([1, 320, 32, 33, 2000])
+    tokens, w = rng.integers(0, 9, int(lengths.sum()) + lengths.size), shape.split(flat)
+
+    want = np.zeros(lengths.size)
+    for t, at, use in zip(*attention.windows(lengths, shape.context, shape.overlap)):
+        logits = (real(w, tokens[at][None])["z"] @ w["out"] + w["out_bias"])[use].astype(np.float64)
+        here, ahead = tokens[at][use], tokens[at + 1][use]
+        picked = logits[np.arange(ahead.size), klass[ahead]] + model.within[ahead, klass[here]]
+        want[t] += (picked - np.log(np.exp(logits).sum(axis=1))).sum()
+
+    def counting(*given):
+        found = real(*given)
+        places.append(len(found["z"]))
+        return found
+
+    monkeypatch.setattr(attention, "forward", counting)
+    assert np.allclose(model.scores(tokens, lengths, 7), want, rtol=1e-5)
+    assert sum(places) <= lengths.sum() + lengths.size * shape.context
+
+
 def test_language_model(docs):
     texts = ODD + fixture_texts(400)
     ids = [None, *range(1, len(texts))]
